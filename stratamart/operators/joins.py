@@ -16,8 +16,8 @@ from stratamart.operators.skew import NO_HOT_KEYS, HotKeys, replicated, salted
 SALTS = 64
 
 
-def _on(left: DataFrame, right: DataFrame, left_key: str, right_key: str):
-    return (left[left_key] == right[right_key]) & (left["_salt"] == right["_rsalt"])
+def _on(left_key: str, right_key: str):
+    return (F.col(left_key) == F.col(right_key)) & (F.col("_salt") == F.col("_rsalt"))
 
 
 def inner_join(
@@ -27,10 +27,10 @@ def inner_join(
     """Inner join; ``hot`` are heavy keys of ``left``."""
     hot = hot.without_null()  # null keys never match and are filtered by the join
     if not hot:
-        return left.join(right, left[left_key] == right[right_key])
+        return left.join(right, F.col(left_key) == F.col(right_key))
     split = salted(left, left_key, hot, salts)
     copies = replicated(right, right_key, hot, salts, "_rsalt")
-    return split.join(copies, _on(split, copies, left_key, right_key)).drop("_salt", "_rsalt")
+    return split.join(copies, _on(left_key, right_key)).drop("_salt", "_rsalt")
 
 
 def left_join(
@@ -47,12 +47,12 @@ def left_join(
     hot_right = hot_right.without_null()
     hot_left = hot_left - hot_right
     if not hot_left and not hot_right:
-        return left.join(right, left[left_key] == right[right_key], "left")
+        return left.join(right, F.col(left_key) == F.col(right_key), "left")
     rest_left = left.filter(~hot_right.holds(F.col(left_key)))
     rest_right = right.filter(~hot_right.holds(F.col(right_key)))
     split = salted(rest_left, left_key, hot_left, salts)
     copies = replicated(rest_right, right_key, hot_left.without_null(), salts, "_rsalt")
-    joined = split.join(copies, _on(split, copies, left_key, right_key), "left").drop("_salt", "_rsalt")
+    joined = split.join(copies, _on(left_key, right_key), "left").drop("_salt", "_rsalt")
     if not hot_right:
         return joined
     heavy = inner_join(
@@ -80,7 +80,7 @@ def full_join(
     rest_right = right.filter(~hot.holds(F.col(right_key))) if hot else right
     split = salted(rest_left, left_key, null_key, salts)
     other = salted(rest_right, right_key, null_key, salts, "_rsalt")
-    joined = split.join(other, _on(split, other, left_key, right_key), "full").drop("_salt", "_rsalt")
+    joined = split.join(other, _on(left_key, right_key), "full").drop("_salt", "_rsalt")
     if not hot:
         return joined
     heavy_left = left.filter(hot.holds(F.col(left_key)))
@@ -88,7 +88,7 @@ def full_join(
     matched = left_join(heavy_left, heavy_right, left_key, right_key, hot_left, hot_right, salts)
     # At most MAX_HOT_KEYS distinct keys per side, so this broadcast is bounded.
     seen = heavy_left.select(F.col(left_key).alias("_seen")).distinct()
-    lonely = heavy_right.join(F.broadcast(seen), heavy_right[right_key] == seen["_seen"], "left_anti")
+    lonely = heavy_right.join(F.broadcast(seen), F.col(right_key) == F.col("_seen"), "left_anti")
     return joined.unionByName(matched.select(*joined.columns)).unionByName(lonely, allowMissingColumns=True)
 
 
@@ -99,5 +99,5 @@ def semi_join(left: DataFrame, right: DataFrame, left_keys: list[str], right_key
     """
     right_keys = right_keys or left_keys
     keys = right.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(right_keys)]).distinct()
-    on = [F.col(k) == keys[f"_k{i}"] for i, k in enumerate(left_keys)]
+    on = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(left_keys)]
     return left.join(keys, on, "left_semi")

@@ -44,17 +44,24 @@ class HotKeys:
 NO_HOT_KEYS = HotKeys()
 
 
-def find_hot_keys(df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS) -> HotKeys:
-    """Heavy values of ``key``, by one map-side pass over that column alone.
+def find_all_hot_keys(df: DataFrame, *keys: str, min_rows: int = MIN_HOT_ROWS) -> dict[str, HotKeys]:
+    """Heavy values of several key columns, by one map-side pass over those columns.
 
     The frequent-items sketch is merged from fixed-size partials: no shuffle on
-    the key, and at most ``MAX_HOT_KEYS`` values come back. A key the sketch
-    reports really occurs. It only steers the plan; results never depend on it.
+    a key, and at most ``MAX_HOT_KEYS`` values per column come back. A value the
+    sketch reports really occurs. It only steers plans; results never depend on it.
     """
-    top = df.agg(
-        F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {TRACKED_ITEMS})").alias("top")
-    ).head()["top"]
-    return HotKeys(tuple(entry["item"] for entry in top if entry["count"] >= min_rows))
+    row = df.agg(*[
+        F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {TRACKED_ITEMS})").alias(key) for key in keys
+    ]).head()
+    return {
+        key: HotKeys(tuple(entry["item"] for entry in row[key] if entry["count"] >= min_rows)) for key in keys
+    }
+
+
+def find_hot_keys(df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS) -> HotKeys:
+    """Heavy values of one key column."""
+    return find_all_hot_keys(df, key, min_rows=min_rows)[key]
 
 
 def salt_of(df: DataFrame, salts: int) -> Column:
