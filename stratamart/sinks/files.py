@@ -18,8 +18,14 @@ def write_csv(
     df: DataFrame, path: str, mode: str = "errorifexists", header: bool = False,
     delimiter: str = ",", files: int | None = None,
 ) -> str:
-    """CSV files. One single file means one task, so ask for it only for small results."""
-    _sized(df, files).write.mode(mode).option("header", header).option("delimiter", delimiter).csv(path)
+    """CSV files. One single file means one task, so ask for it only for small results.
+
+    Values keep their blanks at both ends, which Spark's writer trims by default.
+    """
+    (
+        _sized(df, files).write.mode(mode).option("header", header).option("delimiter", delimiter)
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    )
     return path
 
 

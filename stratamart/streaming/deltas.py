@@ -17,15 +17,16 @@ from stratamart.sources.schemas import DELTA
 
 
 def apply_batch(
-    batch: DataFrame, type1_table: str | None, type2_table: str | None, max_bad_records: int = MAX_BAD_RECORDS,
+    spark: SparkSession, batch: DataFrame, type1_table: str | None, type2_table: str | None, max_bad_records: int = MAX_BAD_RECORDS,
 ) -> None:
     """Apply newly landed rows day by day, oldest first.
 
     The batch is parsed once, into a staging table partitioned by data date;
     each day then reads its own partition. Both loads give the same tables when
-    a batch is replayed after a failure.
+    a batch is replayed after a failure. A stream hands over batches of a cloned
+    session; the tables are changed through ``spark``, the caller's session, so
+    that its cached file listings stay right.
     """
-    spark = batch.sparkSession
     with staged(batch.hint("rebalance", "datadt"), "datadt") as stage:
         rows = spark.table(stage)
         over = (
@@ -67,7 +68,7 @@ def pick_up_deltas(
     )
 
     def apply(batch: DataFrame, _batch_id: int) -> None:
-        apply_batch(batch, type1_table, type2_table, max_bad_records)
+        apply_batch(spark, batch, type1_table, type2_table, max_bad_records)
 
     return (
         landed.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
