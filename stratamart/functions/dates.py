@@ -49,6 +49,11 @@ def uri_date(uri: Column) -> Column:
     return F.to_date(F.right(uri, F.lit(8)), FILE_DATE_FORMAT)
 
 
+def path_date(path: Column) -> Column:
+    """Date a data file's name, or the folder it lies in, ends with."""
+    return F.to_date(F.regexp_extract(path, "([0-9]{8})(/[^/]*)?$", 1), FILE_DATE_FORMAT)
+
+
 def uri_day(uri: str) -> date:
     """Date from the last eight characters of a path string; bad text is an error."""
     return datetime.strptime(uri[-8:], "%Y%m%d").date()

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratamart.clock import RunClock
 from stratamart.functions import dates, geo, keys, text
+from stratamart.functions.dates import clamp_future, in_year
 from stratamart.operators.dedup import keep_highest
 from stratamart.operators.predicates import of_year, older_than
 
@@ -109,6 +113,21 @@ def curate_mobile_year(raw: DataFrame, year: int, clock: RunClock, clamp: bool =
     return of_year(curate_mobile(raw, clock, clamp=True), year, "dt")
 
 
+def curate_mobile_years(raw: DataFrame, years: Sequence[int], clock: RunClock, clamped_year: int) -> DataFrame:
+    """Rows of several years in one pass over the source.
+
+    Equals the union of ``curate_mobile_year`` over the years, with the clamp for
+    ``clamped_year`` alone, which must be the last of them.
+    """
+    if clamped_year != max(years):
+        raise ValueError("only the last year can be clamped in one pass")
+    day = F.col("dt").cast("date")
+    others = [in_year(day, y) for y in years if y != clamped_year]
+    plain = reduce(or_, others, F.lit(False))
+    kept = F.when(plain, day).when(in_year(clamp_future(day, clock), clamped_year), clamp_future(day, clock))
+    return curate_mobile(raw.withColumn("dt", kept).filter(F.col("dt").isNotNull()), clock)
+
+
 def customers_over(raw: DataFrame, age: int = 30) -> DataFrame:
     """Customers above an age, named ``first,last``, unknown professions marked."""
     return older_than(raw, age).select(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from stratamart.functions.dates import uri_date
+from stratamart.functions.dates import path_date
 
 BAD_RECORD = "_corrupt_record"
 
@@ -69,5 +69,5 @@ def read_flagged(
 
 
 def with_file_date(df: DataFrame, name: str = "datadt") -> DataFrame:
-    """Add the date a file name ends with (``custs_header_20250701``)."""
-    return df.withColumn(name, uri_date(F.col("_metadata.file_path")))
+    """Add the date that a file's name, or its folder's, ends with (``custs_header_20250701``)."""
+    return df.withColumn(name, path_date(F.col("_metadata.file_path")))

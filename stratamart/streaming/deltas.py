@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from stratamart.functions.dates import uri_date
+from stratamart.functions.dates import path_date
 from stratamart.plans.customer_changes import apply_type1, apply_type2
 from stratamart.plans.curation import curate_delta
 from stratamart.session import staged
@@ -52,6 +52,7 @@ def pick_up_deltas(
 ) -> StreamingQuery:
     """Start a stream that applies every file not seen before, then stops.
 
+    ``pattern`` matches dated files, or dated folders of part files.
     The checkpoint remembers which files are done; a rerun without new files
     changes nothing. Run it from any scheduler as often as files may land.
     """
@@ -59,12 +60,11 @@ def pick_up_deltas(
     reader = (
         spark.readStream.format("csv").schema(schema).option("header", True).option("enforceSchema", True)
         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_RECORD)
-        .option("pathGlobFilter", pattern)
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    landed = reader.load(folder).select(
-        "*", F.col("_metadata.file_path").alias("_file"), uri_date(F.col("_metadata.file_path")).alias("datadt"),
+    landed = reader.load(f"{folder}/{pattern}").select(
+        "*", F.col("_metadata.file_path").alias("_file"), path_date(F.col("_metadata.file_path")).alias("datadt"),
     )
 
     def apply(batch: DataFrame, _batch_id: int) -> None:
