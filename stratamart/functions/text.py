@@ -37,7 +37,7 @@ def id_number(mixed: Column, strict: bool = False) -> Column:
 def id_letters(mixed: Column) -> Column:
     """Lower-case letters of a mixed id, ``'na'`` when it has none or is null."""
     letters = F.regexp_replace(F.lower(mixed), "[^a-z]", "")
-    return F.when(F.length(F.trim(letters)) > 0, letters).otherwise(F.lit(NO_LETTERS))
+    return F.coalesce(F.nullif(letters, F.lit("")), F.lit(NO_LETTERS))
 
 
 def has_token(text: Column, word: str) -> Column:

@@ -76,20 +76,17 @@ class Tables:
 
     def online_raw(self) -> DataFrame:
         """Orders as nested documents of none to three products."""
-        items = ", ".join(
-            f"struct(CASE (o_orderkey + {i}) % 4 WHEN 0 THEN CAST(o_orderkey % 900 + {i} AS STRING) "
-            f"WHEN 1 THEN concat(CAST(o_orderkey % 900 + {i} AS STRING), 'P') "
-            f"WHEN 2 THEN concat('A', CAST(o_orderkey % 900 + {i} AS STRING), 'b') ELSE 'X' END AS productId, "
-            f"CASE (o_orderkey + {i}) % 3 WHEN 0 THEN 'Furniture' WHEN 1 THEN 'Laptop' ELSE 'Mobile' END AS productCategory, "
-            f"concat('item ', CAST(o_orderkey % 100 AS STRING), '-{i}') AS productName, "
-            f"CAST(CAST(floor(o_totalprice / 1000) AS BIGINT) + {i} AS STRING) AS productPrice)"
-            for i in (1, 2, 3)
-        )
         return self.read("orders").selectExpr(
             "CAST(o_orderkey AS STRING) AS orderId",
             "o_orderstatus AS storeLocation",
             "CAST(o_custkey AS STRING) AS customerId",
-            f"slice(array({items}), 1, CAST(o_orderkey % 4 AS INT)) AS products",
+            "transform(slice(array(1, 2, 3), 1, CAST(o_orderkey % 4 AS INT)), i -> struct("
+            " CASE (o_orderkey + i) % 4 WHEN 0 THEN CAST(o_orderkey % 900 + i AS STRING)"
+            "  WHEN 1 THEN concat(CAST(o_orderkey % 900 + i AS STRING), 'P')"
+            "  WHEN 2 THEN concat('A', CAST(o_orderkey % 900 + i AS STRING), 'b') ELSE 'X' END AS productId,"
+            " CASE (o_orderkey + i) % 3 WHEN 0 THEN 'Furniture' WHEN 1 THEN 'Laptop' ELSE 'Mobile' END AS productCategory,"
+            " concat('item ', CAST(o_orderkey % 100 AS STRING), '-', CAST(i AS STRING)) AS productName,"
+            " CAST(CAST(floor(o_totalprice / 1000) AS BIGINT) + i AS STRING) AS productPrice)) AS products",
         )
 
     def delta_day1(self) -> DataFrame:
