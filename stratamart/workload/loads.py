@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratamart.plans import customer_changes as changes
-from stratamart.plans import layers
+from stratamart.plans import layers, transfers
 from stratamart.plans.audit import counted, reconcile
 from stratamart.plans.curation import curate_delta, unnest_products
+from stratamart.plans.outbound import export_report
 from stratamart.session import new_database, new_path
 from stratamart.sinks import tables
 from stratamart.sinks.files import export_csv, write_csv, write_json
@@ -23,6 +24,7 @@ from stratamart.sources.budget import load_external
 from stratamart.sources.schemas import CONSUMER, CONSUMER_NAMES, CONSUMER_SHORT, DELTA, ONLINE, POS
 from stratamart.streaming.deltas import pick_up_deltas
 from stratamart.workload.adapters import CLOCK, DAY1, DAY2
+from stratamart.workload.domain import REPORT, WIDE
 from stratamart.workload.registry import query
 
 D1, D2 = date.fromisoformat(DAY1), date.fromisoformat(DAY2)
@@ -358,3 +360,82 @@ def layered_kpi(t):
     return t.spark.table(f"{names.discovery}.trans_aggr").select(
         "state", "city", "category", "product", "max_amt", "min_amt", "sum_amt"
     )
+
+
+@query(f"""SELECT custno, product AS productname, online_pos_category AS productcategory, trans_type, txnno,
+                  online_pos_amount, activity, city FROM ({WIDE}) w""")
+def layered_wide(t):
+    names, _ = _layered(t)
+    wide = t.spark.table(f"{names.discovery}.consumer_trans_pos_mob_online")
+    return wide.select(
+        "custno", F.col("product").alias("productname"), F.col("online_pos_category").alias("productcategory"),
+        "trans_type", F.when(F.col("trans_day").isNotNull(), F.col("txnno")).alias("txnno"), "online_pos_amount",
+        "activity", "city",
+    )
+
+
+@query(f"SELECT custno, txnno, outdoor_cat, category, rpad_cat, rownum_amt, cumedist_amt, prev_trans FROM ({REPORT}) r")
+def outbound_export(t):
+    """The report exported as CSV shards and read back; padding survives."""
+    path = export_report(t.pos(), CLOCK, new_path(t.spark, "export"))
+    schema = (
+        "custno BIGINT, txnno DECIMAL(38,9), outdoor_cat BOOLEAN, category STRING, strpos_cat INT, rpad_cat STRING, "
+        "rev_cat STRING, len_cat INT, amount DOUBLE, rownum_amt BIGINT, rnk_amt BIGINT, densernk_amt BIGINT, "
+        "cumedist_amt DOUBLE, first_trans_amt DOUBLE, third_highest_trans DOUBLE, next_trans DOUBLE, prev_trans DOUBLE"
+    )
+    return files.read_typed(t.spark, path, schema, header=True).select(
+        "custno", "txnno", "outdoor_cat", "category", "rpad_cat", "rownum_amt", "cumedist_amt", "prev_trans"
+    )
+
+
+# -- transfers ---------------------------------------------------------------
+
+
+def _customer_files(t) -> str:
+    return write_csv(t.consumer_raw().select(*CONSUMER_NAMES), new_path(t.spark, "custs"))
+
+
+@query("""SELECT custid AS custno, firstname || ',' || CAST(CAST(lastname AS BIGINT) AS VARCHAR) AS name, age,
+          coalesce(profession, 'unknown') AS profession FROM consumer_raw WHERE age > 30""")
+def raw_curated_customers(t):
+    """Files to a raw table with inferred types, then to a curated table."""
+    db = _database(t)
+    out = transfers.raw_and_curated_customers(t.spark, _customer_files(t), f"{db}.customer_raw", f"{db}.customer_curated")
+    return out.withColumns({c: F.col(c).cast("bigint") for c in ("custno", "age")})
+
+
+@query("SELECT CAST(custid AS VARCHAR) AS custid, firstname AS fname, lastname AS lname, CAST(age AS VARCHAR) AS age, profession FROM consumer_raw")
+def files_to_table(t):
+    """Files copied with a count check, loaded into a table; another table exported as JSON."""
+    db, out = _database(t), new_path(t.spark, "transfer")
+    tables.refresh_table(t.pos().select("txnno", "amount"), f"{db}.txnrecords")
+    loaded = transfers.files_to_table_to_json(
+        t.spark, _customer_files(t), f"{out}/custdata_", f"{db}.custs", f"{db}.txnrecords", f"{out}/txndata_json_", CLOCK
+    )
+    return loaded.toDF("custid", "fname", "lname", "age", "profession")
+
+
+@query("SELECT custid AS id, firstname AS custfname, lastname AS custlname, age AS custage FROM consumer_raw")
+def typed_age_partitions(t):
+    """Typed files to a table partitioned by age, exported as JSON and as two CSV files; the JSON read back."""
+    out = new_path(t.spark, "transfer")
+    transfers.typed_files_to_partitions(
+        t.spark, _customer_files(t), f"{_database(t)}.cust_info", f"{out}/cust_output_json_", f"{out}/cust_csv", CLOCK
+    )
+    rows = files.read_json_lines(t.spark, f"{out}/cust_output_json_{CLOCK.suffix()}", CONSUMER_SHORT)
+    return rows.select(F.col("id").cast("bigint"), "custfname", "custlname", F.col("custage").cast("bigint"))
+
+
+@query("SELECT custid, age, profession FROM consumer_raw")
+def csv_header_inferred(t):
+    """Column names from the header row, types by inference."""
+    path = write_csv(t.consumer_raw(), new_path(t.spark, "csv"), header=True)
+    rows = files.read_inferred(t.spark, path, header=True)
+    return rows.select(F.col("custid").cast("bigint"), F.col("age").cast("bigint"), "profession")
+
+
+@query(BOTH_DAYS)
+def dated_delta_files(t):
+    """Both days' files in one read, each row dated by its path."""
+    landing = _delta_files(t)[0]
+    return curate_delta(files.with_file_date(files.read_typed(t.spark, f"{landing}/custs_header_*", DELTA, header=True)))
