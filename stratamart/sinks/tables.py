@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 from datetime import date
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -122,8 +123,11 @@ def _dynamic_overwrite(spark: SparkSession):
 
 
 def partition_values(spark: SparkSession, name: str) -> set[str]:
-    """Partition values of a table with one partition column (a metadata call)."""
-    return {row[0].split("=", 1)[1] for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    """Partition values of a table with one partition column (a metadata call).
+
+    Partition names carry ``%XX`` escapes for characters a path cannot hold.
+    """
+    return {unquote(row[0].split("=", 1)[1]) for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
 
 
 def replace_partitions(rows: DataFrame, name: str, column: str, touched: list) -> None:
@@ -141,8 +145,8 @@ def replace_partitions(rows: DataFrame, name: str, column: str, touched: list) -
             _in_table_order(spark.table(stage), name).write.insertInto(name, overwrite=True)
         for value in touched:
             if (HIVE_NULL if value is None else str(value)) not in filled:
-                spec = f"{column} = " + ("NULL" if value is None else f"'{value}'")
-                spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
+                spec = "NULL" if value is None else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+                spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({column} = {spec})")
 
 
 def touched_partitions(rows: DataFrame, column: str) -> list:

@@ -69,5 +69,5 @@ def read_flagged(
 
 
 def with_file_date(df: DataFrame, name: str = "datadt") -> DataFrame:
-    """Add the date that a file's name, or its folder's, ends with (``custs_header_20250701``)."""
+    """Add the date that a file's name, or its folder's, ends with (``customers_20250701``)."""
     return df.withColumn(name, path_date(F.col("_metadata.file_path")))

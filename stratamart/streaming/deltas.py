@@ -48,7 +48,7 @@ def apply_batch(
 
 def pick_up_deltas(
     spark: SparkSession, folder: str, checkpoint: str, type1_table: str | None = None, type2_table: str | None = None,
-    pattern: str = "custs_header_*", max_bad_records: int = MAX_BAD_RECORDS, max_files: int | None = None,
+    pattern: str = "customers_*", max_bad_records: int = MAX_BAD_RECORDS, max_files: int | None = None,
 ) -> StreamingQuery:
     """Start a stream that applies every file not seen before, then stops.
 

@@ -41,7 +41,7 @@ def _delta_files(t) -> tuple[str, str, str]:
     landing = new_path(t.spark, "landing")
     paths = []
     for rows, day in ((t.delta_day1(), D1), (t.delta_day2(), D2)):
-        paths.append(write_csv(rows, f"{landing}/custs_header_{day:%Y%m%d}", header=True))
+        paths.append(write_csv(rows, f"{landing}/customers_{day:%Y%m%d}", header=True))
     return landing, *paths
 
 
@@ -438,4 +438,4 @@ def csv_header_inferred(t):
 def dated_delta_files(t):
     """Both days' files in one read, each row dated by its path."""
     landing = _delta_files(t)[0]
-    return curate_delta(files.with_file_date(files.read_typed(t.spark, f"{landing}/custs_header_*", DELTA, header=True)))
+    return curate_delta(files.with_file_date(files.read_typed(t.spark, f"{landing}/customers_*", DELTA, header=True)))

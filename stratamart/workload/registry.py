@@ -18,6 +18,8 @@ def query(sql: str | None):
 
     def register(build: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
+            # Instants are compared as UTC text; casts take the zone when they are built.
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
             return comparable(build(Tables(spark, folder)))
 
         run.__doc__ = build.__doc__

@@ -168,7 +168,7 @@ def regex_split_id(t):
 @query("""SELECT event_id, strftime(ts, '%Y%m%d') AS tail, strftime(ts, '%Y-%m-%d') AS datadt FROM events""")
 def uri_date(t):
     uris = t.read("events").selectExpr(
-        "event_id", "concat('/landing/custs_header_', replace(substring(CAST(ts AS STRING), 1, 10), '-', '')) AS uri"
+        "event_id", "concat('/landing/customers_', replace(substring(CAST(ts AS STRING), 1, 10), '-', '')) AS uri"
     )
     return uris.select(
         "event_id", text.last_chars(F.col("uri"), 8).alias("tail"), dates.uri_date(F.col("uri")).alias("datadt")

@@ -47,7 +47,7 @@ def in_order(spark, name):
 def files(tmp_path):
     out = []
     for day, text in (("20250701", DAY1), ("20250702", DAY2)):
-        path = tmp_path / f"custs_header_{day}"
+        path = tmp_path / f"customers_{day}"
         path.write_text(text)
         out.append(str(path))
     return out
@@ -90,7 +90,7 @@ def test_unknown_flag_loads_nothing(spark, db, files):
 
 
 def test_failures_are_audited_and_stop_the_run(spark, db, tmp_path):
-    path = tmp_path / "custs_header_20250703"
+    path = tmp_path / "customers_20250703"
     path.write_text(DAY1 + "x,a\ny,b\nz,c\n")
     with pytest.raises(TooManyBadRecords):
         changes.customer_etl(spark, str(path), "scd1", db)
@@ -114,7 +114,7 @@ def test_stream_picks_up_each_file_once(spark, db, files, tmp_path):
     assert in_order(spark, one) == SCD1 and in_order(spark, two) == SCD2
     run()
     assert in_order(spark, one) == SCD1 and in_order(spark, two) == SCD2
-    (folder / "custs_header_20250703").write_text("h\n4000011,Fran,Mc,48,,2025-07-03 00:00:00\n")
+    (folder / "customers_20250703").write_text("h\n4000011,Fran,Mc,48,,2025-07-03 00:00:00\n")
     run()
     assert spark.table(one).filter("datadt = date'2025-07-03'").count() == 1
     assert spark.table(one).count() == 5 and spark.table(two).count() == 7

@@ -57,10 +57,10 @@ def test_dates(spark):
         one(spark, dates.parse_pos_date(F.col("v")), v="2025/07/21")
     assert one(spark, dates.merge_date_time(F.col("v"), F.lit("10:30:00")), v=date(2025, 7, 21)) == datetime(2025, 7, 21, 10, 30)
     assert one(spark, dates.merge_date_time(F.col("v"), F.lit("23")), v=date(2025, 7, 21)) == datetime(2025, 7, 21, 23)
-    assert one(spark, dates.uri_date(F.col("v")), v="gs://b/custs_header_20250701") == date(2025, 7, 1)
-    assert dates.uri_day("/data/custs_header_20250702") == date(2025, 7, 2)
+    assert one(spark, dates.uri_date(F.col("v")), v="gs://b/customers_20250701") == date(2025, 7, 1)
+    assert dates.uri_day("/data/customers_20250702") == date(2025, 7, 2)
     with pytest.raises(ValueError):
-        dates.uri_day("/data/custs_header_2025")
+        dates.uri_day("/data/customers_2025")
 
 
 def test_clamp_and_birth_year(spark):

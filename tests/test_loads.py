@@ -108,6 +108,16 @@ def test_null_partition_is_replaced(spark, target):
     assert rows(spark.table(target)) == [(3, "c", D1)]
 
 
+def test_partition_values_with_special_characters(spark, db):
+    name = f"{db}.s"
+    tables.refresh_table(spark.createDataFrame([(1, "a:b/c"), (2, "it's"), (3, "x y")], "i int, p string"), name, "p")
+    assert tables.partition_values(spark, name) == {"a:b/c", "it's", "x y"}
+    tables.update_where(spark, name, F.col("i") == 1, {"i": 10})
+    tables.delete_where(spark, name, F.col("i") == 2)
+    assert rows(spark.table(name)) == [(10, "a:b/c"), (3, "x y")]
+    assert tables.partition_values(spark, name) == {"a:b/c", "x y"}
+
+
 def test_upsert_moves_updates_inserts(spark, target):
     tables.append_rows(frame(spark, [(1, "chn", D1), (2, "mum", D1), (9, "old", D3)]), target)
     upsert_type1(frame(spark, [(1, "blr", D2), (3, "hyd", D2)]), target)

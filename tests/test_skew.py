@@ -24,19 +24,21 @@ def sides(spark):
     )
 
 
-HOT = [HotKeys(), HotKeys((1,)), HotKeys((1, 9, None)), HotKeys((5,)), HotKeys((2, 5, 1))]
+HOT = [HotKeys(), HotKeys((1,)), HotKeys((1, 9, None)), HotKeys((2, 5, 1))]
+PAIRS = [
+    (HotKeys(), HotKeys()), (HotKeys((1,)), HotKeys()), (HotKeys((1, 9, None)), HotKeys((5, 7))),
+    (HotKeys(), HotKeys((3, 9))), (HotKeys((2, 5, 1)), HotKeys((1, None))),
+]
 
 
-@pytest.mark.parametrize("hot_left", HOT)
-@pytest.mark.parametrize("hot_right", [HotKeys(), HotKeys((5, 7)), HotKeys((1, None)), HotKeys((3, 9))])
+@pytest.mark.parametrize("hot_left, hot_right", PAIRS)
 def test_left_join(sides, hot_left, hot_right):
     left, right = sides
     plain = left.join(right, F.col("lk") == F.col("rk"), "left")
     assert rows(left_join(left, right, "lk", "rk", hot_left, hot_right, salts=5)) == rows(plain)
 
 
-@pytest.mark.parametrize("hot_left", HOT)
-@pytest.mark.parametrize("hot_right", [HotKeys(), HotKeys((5, 7)), HotKeys((1, None)), HotKeys((3, 9))])
+@pytest.mark.parametrize("hot_left, hot_right", PAIRS)
 def test_full_join(sides, hot_left, hot_right):
     left, right = sides
     plain = left.join(right, F.col("lk") == F.col("rk"), "full")
@@ -71,8 +73,7 @@ def test_hot_key_detection(spark):
     assert not find_hot_keys(df.limit(0), "k", min_rows=1)
 
 
-@pytest.mark.parametrize("seed, spread", [(1, 3), (2, 1), (3, 40), (4, 2), (5, 100000)])
-@pytest.mark.parametrize("ranges", [1, 3, 16])
+@pytest.mark.parametrize("seed, spread, ranges", [(1, 3, 16), (2, 1, 3), (3, 40, 16), (4, 2, 1), (5, 100000, 3)])
 def test_ranking_by_ranges_equals_windows(spark, seed, spread, ranges):
     rng = random.Random(seed)
     data = [

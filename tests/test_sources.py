@@ -61,7 +61,7 @@ def test_json_lines(spark, tmp_path):
 def test_bad_record_budget(spark, tmp_path, bad, passes):
     text = "custid,firstname,lastname,age,profession\n1,A,B,3,C,2024-08-01 00:00:01\n2,A,B,4,C,2024-08-01 00:00:01\n"
     text += "".join(["x,A,B,3,C,2024-08-01 00:00:01\n", "5,A\n", "6,A,B,old,C,2024-08-01 00:00:01\n"][:bad])
-    path = put(tmp_path / "custs_header_20250701", text)
+    path = put(tmp_path / "customers_20250701", text)
     if not passes:
         with pytest.raises(TooManyBadRecords):
             load_external(spark, path, DELTA, "v_bad")
@@ -74,8 +74,8 @@ def test_bad_record_budget(spark, tmp_path, bad, passes):
 
 
 def test_file_date(spark, tmp_path):
-    put(tmp_path / "custs_header_20250701", "h\n1,A,B,3,C,2024-08-01 00:00:01\n")
-    put(tmp_path / "custs_header_20250702", "h\n2,A,B,3,C,2024-08-01 00:00:01\n")
+    put(tmp_path / "customers_20250701", "h\n1,A,B,3,C,2024-08-01 00:00:01\n")
+    put(tmp_path / "customers_20250702", "h\n2,A,B,3,C,2024-08-01 00:00:01\n")
     df = files.with_file_date(files.read_typed(spark, str(tmp_path), DELTA, header=True))
     assert rows(df.select("custno", "datadt")) == [(1, date(2025, 7, 1)), (2, date(2025, 7, 2))]
 
