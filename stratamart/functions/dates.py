@@ -40,6 +40,18 @@ def clamp_future(day: Column, clock: RunClock) -> Column:
     return F.when(day > clock.day_col, clock.day_col).otherwise(day)
 
 
+def clamps_into_year(day: Column, year: int, clock: RunClock) -> Column:
+    """Whether a date lies in ``year`` once future dates become the run date.
+
+    Said of the date as stored, so that statistics and partitions can prune: in
+    the run year every date from January on qualifies, in an earlier year the
+    clamp changes nothing, and a later year is never reached.
+    """
+    if clock.day.year == year:
+        return day >= F.lit(date(year, 1, 1))
+    return in_year(day, year) if clock.day.year > year else F.lit(False)
+
+
 def year_of_birth(age: Column, clock: RunClock) -> Column:
     return F.lit(clock.day.year) - age
 

@@ -7,8 +7,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A key with fewer rows than this fits one task and needs no splitting.
+#: A key with fewer rows than this fits one task and needs no splitting. The
+#: session setting ``spark.stratamart.minHotRows`` overrides it.
 MIN_HOT_ROWS = 5_000_000
+MIN_HOT_ROWS_CONF = "spark.stratamart.minHotRows"
 #: Counters the sketch keeps per task. Its error is about 3.5 / tracked, so every
 #: key above roughly 0.02 % of all rows is found.
 TRACKED_ITEMS = 32_768
@@ -44,13 +46,15 @@ class HotKeys:
 NO_HOT_KEYS = HotKeys()
 
 
-def find_all_hot_keys(df: DataFrame, *keys: str, min_rows: int = MIN_HOT_ROWS) -> dict[str, HotKeys]:
+def find_all_hot_keys(df: DataFrame, *keys: str, min_rows: int | None = None) -> dict[str, HotKeys]:
     """Heavy values of several key columns, by one map-side pass over those columns.
 
     The frequent-items sketch is merged from fixed-size partials: no shuffle on
     a key, and at most ``MAX_HOT_KEYS`` values per column come back. A value the
     sketch reports really occurs. It only steers plans; results never depend on it.
     """
+    if min_rows is None:
+        min_rows = int(df.sparkSession.conf.get(MIN_HOT_ROWS_CONF, str(MIN_HOT_ROWS)))
     row = df.agg(*[
         F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {TRACKED_ITEMS})").alias(key) for key in keys
     ]).head()
@@ -59,7 +63,7 @@ def find_all_hot_keys(df: DataFrame, *keys: str, min_rows: int = MIN_HOT_ROWS) -
     }
 
 
-def find_hot_keys(df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS) -> HotKeys:
+def find_hot_keys(df: DataFrame, key: str, min_rows: int | None = None) -> HotKeys:
     """Heavy values of one key column."""
     return find_all_hot_keys(df, key, min_rows=min_rows)[key]
 

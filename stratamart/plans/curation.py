@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import date
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratamart.clock import RunClock
 from stratamart.functions import dates, geo, keys, text
-from stratamart.functions.dates import clamp_future, in_year
+from stratamart.functions.dates import clamps_into_year, in_year
 from stratamart.operators.dedup import keep_highest
-from stratamart.operators.predicates import of_year, older_than
+from stratamart.operators.predicates import older_than
 
 
 def curate_consumers(raw: DataFrame, clock: RunClock, key: str = "custid") -> DataFrame:
@@ -107,25 +104,23 @@ def curate_mobile(raw: DataFrame, clock: RunClock, clamp: bool = False) -> DataF
 
 def curate_mobile_year(raw: DataFrame, year: int, clock: RunClock, clamp: bool = False) -> DataFrame:
     """Rows of one year; with ``clamp``, after future dates moved to the run date."""
-    if not clamp:  # filter on the source column, where statistics can skip data
-        raw = of_year(raw.withColumn("dt", F.col("dt").cast("date")), year, "dt")
-        return curate_mobile(raw, clock)
-    return of_year(curate_mobile(raw, clock, clamp=True), year, "dt")
+    day = F.col("dt").cast("date")
+    rows = raw.filter(clamps_into_year(day, year, clock) if clamp else in_year(day, year))
+    return curate_mobile(rows, clock, clamp)
 
 
-def curate_mobile_years(raw: DataFrame, years: Sequence[int], clock: RunClock, clamped_year: int) -> DataFrame:
-    """Rows of several years in one pass over the source.
+def curate_mobile_years(raw: DataFrame, years: range, clock: RunClock) -> DataFrame:
+    """Rows of consecutive years in one pass, future dates clamped into the last of them.
 
     Equals the union of ``curate_mobile_year`` over the years, with the clamp for
-    ``clamped_year`` alone, which must be the last of them.
+    the last year alone.
     """
-    if clamped_year != max(years):
-        raise ValueError("only the last year can be clamped in one pass")
     day = F.col("dt").cast("date")
-    others = [in_year(day, y) for y in years if y != clamped_year]
-    plain = reduce(or_, others, F.lit(False))
-    kept = F.when(plain, day).when(in_year(clamp_future(day, clock), clamped_year), clamp_future(day, clock))
-    return curate_mobile(raw.withColumn("dt", kept).filter(F.col("dt").isNotNull()), clock)
+    last = years[-1]
+    earlier = (day >= F.lit(date(years[0], 1, 1))) & (day < F.lit(date(last, 1, 1)))
+    if clock.day.year == last:  # both conditions together are one lower bound
+        return curate_mobile(raw.filter(day >= F.lit(date(years[0], 1, 1))), clock, clamp=True)
+    return curate_mobile(raw.filter(earlier | clamps_into_year(day, last, clock)), clock)
 
 
 def customers_over(raw: DataFrame, age: int = 30) -> DataFrame:

@@ -15,7 +15,7 @@ from stratamart.plans import curation
 
 AS_OF = "2023-06-30T08:04:11"
 CLOCK = RunClock.at(AS_OF)
-YEARS = (2021, 2022, 2023)
+YEARS = range(2021, 2024)
 DAY1, DAY2 = "2025-07-01", "2025-07-02"
 
 
@@ -42,9 +42,8 @@ class Tables:
         )
 
     def pos_raw(self) -> DataFrame:
-        nation = self.read("nation").join(self.read("region"), F.expr("n_regionkey = r_regionkey"))
         return (
-            self.read("orders").join(nation, F.expr("o_custkey % 25 = n_nationkey"))
+            self.read("orders").join(self.read("nation"), F.expr("o_custkey % 25 = n_nationkey"))
             .selectExpr(
                 "CAST(o_orderkey AS DECIMAL(38,9)) AS txnno",
                 "date_format(date_add(DATE'2021-01-01', CAST(o_orderkey % 1000 AS INT)), 'MM-dd-yyyy') AS txndt",
@@ -53,7 +52,7 @@ class Tables:
                 "CASE o_orderkey % 4 WHEN 0 THEN 'Outdoor Recreation' WHEN 1 THEN 'Team Sports' "
                 "WHEN 2 THEN 'outdoor-play & Garden' ELSE o_orderpriority END AS category",
                 "nullif(concat('Product ', CAST(o_orderkey % 40 AS STRING)), 'Product 7') AS product",
-                "concat(r_name, ' ', CAST(n_nationkey AS STRING)) AS city",
+                "concat('City ', CAST(n_regionkey AS STRING), '-', CAST(n_nationkey AS STRING)) AS city",
                 "CASE n_nationkey % 5 WHEN 0 THEN 'Texas' WHEN 1 THEN 'Nevada' ELSE n_name END AS state",
                 "CASE o_orderstatus WHEN 'F' THEN 'cash' WHEN 'O' THEN 'credit' END AS spendby",
             )
@@ -117,7 +116,7 @@ class Tables:
         return curation.curate_pos(self.pos_raw(), CLOCK)
 
     def mobile(self) -> DataFrame:
-        return curation.curate_mobile_years(self.mobile_raw(), YEARS, CLOCK, 2023)
+        return curation.curate_mobile_years(self.mobile_raw(), YEARS, CLOCK)
 
     def mobile_of(self, year: int) -> DataFrame:
         return curation.curate_mobile_year(self.mobile_raw(), year, CLOCK, clamp=year == 2023)
@@ -154,10 +153,10 @@ WITH consumer_raw AS (
          CASE o_orderkey % 4 WHEN 0 THEN 'Outdoor Recreation' WHEN 1 THEN 'Team Sports'
            WHEN 2 THEN 'outdoor-play & Garden' ELSE o_orderpriority END AS category,
          nullif('Product ' || CAST(o_orderkey % 40 AS VARCHAR), 'Product 7') AS product,
-         r_name || ' ' || CAST(n_nationkey AS VARCHAR) AS city,
+         'City ' || CAST(n_regionkey AS VARCHAR) || '-' || CAST(n_nationkey AS VARCHAR) AS city,
          CASE n_nationkey % 5 WHEN 0 THEN 'Texas' WHEN 1 THEN 'Nevada' ELSE n_name END AS state,
          CASE o_orderstatus WHEN 'F' THEN 'cash' WHEN 'O' THEN 'credit' END AS spendby
-  FROM orders JOIN nation ON o_custkey % 25 = n_nationkey JOIN region ON n_regionkey = r_regionkey
+  FROM orders JOIN nation ON o_custkey % 25 = n_nationkey
 ), mobile_raw AS (
   SELECT CASE WHEN event_id % 31 = 0 THEN NULL ELSE event_id END AS txnno,
          CASE WHEN event_id % 3 = 0 THEN DATE '2021-01-01' + CAST(event_id % 1000 AS INTEGER)

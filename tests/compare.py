@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from pathlib import Path
@@ -51,10 +52,13 @@ def compare(spark, con, name, run, sql, folder):
 def main(folder: str, *names: str) -> int:
     sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
     import __spark_entry__ as entry
+    from stratamart.operators.skew import MIN_HOT_ROWS_CONF
     from stratamart.session import build_session
 
     spark = build_session("compare", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="6g")
     spark.sparkContext.setLogLevel("ERROR")
+    if "MIN_HOT_ROWS" in os.environ:  # a low value sends the queries through the split paths
+        spark.conf.set(MIN_HOT_ROWS_CONF, os.environ["MIN_HOT_ROWS"])
     con, oracles, bad = connect(folder), entry.oracle_sql(), 0
     for name, run in entry.queries().items():
         if names and name not in names:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from stratamart.clock import RunClock
 from stratamart.functions import dates, geo, keys, text
 from stratamart.operators import predicates
+from stratamart.plans import curation
 
 
 def one(spark, column, **values):
@@ -99,3 +100,25 @@ def test_case_mapping_and_scalar(spark):
 
 def test_run_clock_suffix():
     assert RunClock.at("2025-07-21T03:04:05.678").suffix() == "20250721030405"
+
+
+@pytest.mark.parametrize("as_of", ["2022-06-30", "2023-06-30", "2024-06-30"])
+def test_mobile_years_with_clamp(spark, as_of):
+    """Pruned filters keep the rows that clamping first and filtering later keeps."""
+    clock = RunClock.at(f"{as_of}T00:00:00")
+    days = [None] + [date(y, m, 15) for y in range(2019, 2027) for m in (1, 6, 7, 12)]
+    raw = spark.createDataFrame(
+        [(i, d, "10:00:00", 1.0, 2.0, "n", "p", "a", 5, "t") for i, d in enumerate(days)],
+        "txnno bigint, dt date, hour string, long double, lat double, net string, provider string, activity string, "
+        "postal_code bigint, town_name string",
+    )
+
+    def kept(df):
+        return sorted((r.txnno, r.dt) for r in df.collect())
+
+    limit, expected = clock.day, {}
+    for year in (2021, 2022, 2023):
+        moved = [(i, min(d, limit) if year == 2023 else d) for i, d in enumerate(days) if d]
+        expected[year] = sorted((i, d) for i, d in moved if d.year == year)
+        assert kept(curation.curate_mobile_year(raw, year, clock, clamp=year == 2023)) == expected[year]
+    assert kept(curation.curate_mobile_years(raw, range(2021, 2024), clock)) == sorted(sum(expected.values(), []))
