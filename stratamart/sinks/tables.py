@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from stratamart.session import staged
 
 HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
+#: Up to so many partitions are written without a shuffle that gathers each of them.
+FEW_PARTITIONS = 4
 
 
 def create_table(
@@ -139,7 +141,10 @@ def replace_partitions(rows: DataFrame, name: str, column: str, touched: list) -
     tables have no transactions; after a failure the call can be repeated.
     """
     spark = rows.sparkSession
-    with staged(_in_table_order(rows, name).hint("rebalance", column), column) as stage:
+    rows = _in_table_order(rows, name)
+    if len(touched) > FEW_PARTITIONS:  # else each task writes at most this many files anyway
+        rows = rows.hint("rebalance", column)
+    with staged(rows, column) as stage:
         filled = partition_values(spark, stage)
         with _dynamic_overwrite(spark):
             _in_table_order(spark.table(stage), name).write.insertInto(name, overwrite=True)
