@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from stratamart.plans import discovery
 from stratamart.workload.adapters import DAY1, DAY2, Tables
+from stratamart.workload.registry import ORACLES, QUERIES
 from tests.compare import compare, connect
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
