@@ -1,4 +1,4 @@
 """Imports every operator module, so that its query is registered."""
 
-from stratamart.llm import url_filters  # noqa: F401
+from stratamart.llm import byte_bpe, toxicity, url_filters  # noqa: F401
 from stratamart.llm.registry import ORACLES, QUERIES  # noqa: F401
