@@ -44,6 +44,19 @@ def crc_mod(key: Column, divisor: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % divisor
 
 
+def labelled_sample(labels: DataFrame, key: str, label: str, learn: Column | None, per_class: int) -> tuple[DataFrame, dict]:
+    """At most ``per_class`` keys of each label 0 and 1, as (key, __y), and the number of all labelled keys by class.
+
+    The keys with the smallest hashes are taken. Null keys and labels are left out; a key
+    with several labels counts by the largest.
+    """
+    known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull())
+    known = (known if learn is None else known.where(learn)).groupBy(key).agg(F.max(label).cast("int").alias("__y"))
+    totals = {r["__y"]: r["count"] for r in known.groupBy("__y").count().collect()}
+    picks = [known.where(F.col("__y") == y).orderBy(F.xxhash64(key), key).limit(per_class) for y in (0, 1)]
+    return picks[0].unionByName(picks[1]), totals
+
+
 # --- 64-bit hashing in numpy -------------------------------------------------
 
 def mix64(x: np.ndarray) -> np.ndarray:
