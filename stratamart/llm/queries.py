@@ -1,4 +1,15 @@
 """Imports every operator module, so that its query is registered."""
 
-from stratamart.llm import byte_bpe, toxicity, url_filters  # noqa: F401
+from stratamart.llm import (  # noqa: F401
+    byte_bpe,
+    fingerprints,
+    jaccard_join,
+    language_id,
+    license_scan,
+    packing,
+    quality,
+    top_inner,
+    toxicity,
+    url_filters,
+)
 from stratamart.llm.registry import ORACLES, QUERIES  # noqa: F401
