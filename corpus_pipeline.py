@@ -1,5 +1,50 @@
-"""placeholder"""
+"""Corpus pipeline over the table ``documents``: quality, toxicity, near duplicates, packing.
 
+Each stage is (name, function); a function takes (spark, docs, sf_dir) and returns a
+DataFrame. Every stage's result is written as Parquet and read again as the next stage's
+documents. All but the last return the columns of ``documents``; the last returns
+where each document is packed.
+"""
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from stratamart.llm.common import stored, table
+from stratamart.llm.jaccard_join import keep_one
+from stratamart.llm.packing import pack
+from stratamart.llm.quality import drop_poor
+from stratamart.llm.toxicity import drop_toxic
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose posterior of being good is high enough."""
+    return drop_poor(docs, table(spark, sf_dir, "labels"))
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents below the toxicity threshold."""
+    return drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked sets of five-word shingles (Jaccard 0.8 and more)."""
+    return keep_one(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bucket, batch and slot of every document kept."""
+    return pack(docs)
+
+
+STAGES = [("quality", quality), ("toxicity", toxicity), ("near_duplicates", near_duplicates), ("packing", packing)]
+
+#: The first two stages are trained models, which SQL cannot express; tests hold every stage against brute force.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
