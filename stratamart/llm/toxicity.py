@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratamart.llm.common import crc_mod, drop_stored, mix64, stored, table
+from stratamart.llm.common import crc_mod, drop_stored, labelled_sample, mix64, stored, table
 from stratamart.llm.registry import query
 
 #: Bound of the training sample, rows of each class.
@@ -67,22 +67,9 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -35, 35))))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, key: str, label: str, learn: Column) -> tuple[DataFrame, dict]:
-    """The bounded sample (key, label) and the number of all labelled rows by class."""
-    known = (
-        labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).where(learn)
-        .groupBy(key).agg(F.max(label).cast("int").alias("__y"))
-    )
-    totals = {r["__y"]: r["count"] for r in known.groupBy("__y").count().collect()}
-    order = F.xxhash64(key)
-    picks = [known.where(F.col("__y") == y).orderBy(order, key).limit(MAX_ROWS) for y in (0, 1)]
-    return picks[0].unionByName(picks[1]), totals
-
-
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
         learn: Column | None = None) -> Model:
-    learn = F.lit(True) if learn is None else learn
-    sample, totals = training_rows(docs, labels, key, label, learn)
+    sample, totals = labelled_sample(labels, key, label, learn, MAX_ROWS)
     share = totals.get(1, 0) / max(1, sum(totals.values()))
     if not 0 < share < 1:
         return Model(np.zeros(1 << BUCKET_BITS, np.float32), 35.0 * (2 * share - 1))
@@ -100,14 +87,16 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         some = np.flatnonzero(counts.sum(0))
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[0, some], pa.int64()), pa.array(counts[1, some], pa.int64())], ["b", "n0", "n1"])
 
-    counted = (
+    counted = stored(
         rows.select("__y", "__t").mapInArrow(count, "b long, n0 long, n1 long").groupBy("b")
-        .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).where(F.col("n0") + F.col("n1") >= MIN_ROWS).toPandas()
-    )
-    ratio = log_count_ratio(counted.n0.to_numpy(float), counted.n1.to_numpy(float))
-    strong = np.argsort(-np.abs(ratio) * np.sqrt(counted.n0 + counted.n1).to_numpy(), kind="stable")[:MAX_WEIGHTS]
-    kept = np.sort(counted.b.to_numpy()[strong])
-    scale = ratio[strong][np.argsort(counted.b.to_numpy()[strong])]
+        .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).where(F.col("n0") + F.col("n1") >= MIN_ROWS), "toxicity-counts")
+    # Only the strongest n-grams reach the driver.
+    sums = counted.agg(F.sum(F.col("n0") + 1).alias("s0"), F.sum(F.col("n1") + 1).alias("s1")).first()
+    ratio = log_count_ratio(F.col("n0"), F.col("n1"), sums["s0"] or 1, sums["s1"] or 1)
+    strength = F.abs(F.col("ratio")) * F.sqrt(F.col("n0") + F.col("n1"))
+    strong = counted.withColumn("ratio", ratio).orderBy(strength.desc(), "b").limit(MAX_WEIGHTS).select("b", "ratio").toPandas().sort_values("b")
+    drop_stored(counted)
+    kept, scale = strong.b.to_numpy(np.int64), strong.ratio.to_numpy(float)
     number = np.full(1 << BUCKET_BITS, -1, np.int32)
     number[kept] = np.arange(len(kept))
 
@@ -128,10 +117,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     return Model(full, float(intercept))
 
 
-def log_count_ratio(negative: np.ndarray, positive: np.ndarray) -> np.ndarray:
-    """Log ratio of the smoothed shares of each n-gram in the two classes."""
-    p, q = positive + 1, negative + 1
-    return np.log(p / p.sum()) - np.log(q / q.sum())
+def log_count_ratio(negative: Column, positive: Column, all_negative: int, all_positive: int) -> Column:
+    """Log ratio of the smoothed shares of an n-gram in the two classes."""
+    return F.log((positive + 1) / all_positive) - F.log((negative + 1) / all_negative)
 
 
 def logistic(rows: list[np.ndarray], y: np.ndarray, scale: np.ndarray, steps: int = 200, ridge: float = 0.02):
