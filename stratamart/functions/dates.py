@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date, datetime
 
 from pyspark.sql import Column
@@ -62,10 +63,10 @@ def uri_date(uri: Column) -> Column:
 
 
 def path_date(path: Column) -> Column:
-    """Date a data file's name, or the folder it lies in, ends with."""
-    return F.to_date(F.regexp_extract(path, "([0-9]{8})(/[^/]*)?$", 1), FILE_DATE_FORMAT)
+    """Date a data file's name (before its extensions), or the folder it lies in, ends with; null without one."""
+    return F.try_to_date(F.regexp_extract(path, "([0-9]{8})([.][^/]*)?(/[^/]*)?$", 1), FILE_DATE_FORMAT)
 
 
 def uri_day(uri: str) -> date:
-    """Date from the last eight characters of a path string; bad text is an error."""
-    return datetime.strptime(uri[-8:], "%Y%m%d").date()
+    """Date that a path string ends with, before any extensions; bad text is an error."""
+    return datetime.strptime(re.sub(r"[.][^/]*$", "", uri.rstrip("/"))[-8:], "%Y%m%d").date()

@@ -2,7 +2,9 @@
 
 Without heavy keys each function is one plain Spark join, and AQE picks
 broadcast, hash or sort-merge by measured size. Heavy keys are salted: one
-side is split, the other replicated for those keys only. No row is dropped.
+side is split (into parts by the key's weight, or into ``salts``), the other
+replicated for those keys only. No row is dropped. With heavy keys an input is read
+more than once: give stored tables, or ``pinned`` frames.
 Both inputs must have distinct column names.
 """
 
@@ -13,16 +15,13 @@ from pyspark.sql import functions as F
 
 from stratamart.operators.skew import NO_HOT_KEYS, HotKeys, replicated, salted
 
-SALTS = 64
-
-
 def _on(left_key: str, right_key: str):
     return (F.col(left_key) == F.col(right_key)) & (F.col("_salt") == F.col("_rsalt"))
 
 
 def inner_join(
     left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-    hot: HotKeys = NO_HOT_KEYS, salts: int = SALTS,
+    hot: HotKeys = NO_HOT_KEYS, salts: int | None = None,
 ) -> DataFrame:
     """Inner join; ``hot`` are heavy keys of ``left``."""
     hot = hot.without_null()  # null keys never match and are filtered by the join
@@ -35,7 +34,7 @@ def inner_join(
 
 def left_join(
     left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-    hot_left: HotKeys = NO_HOT_KEYS, hot_right: HotKeys = NO_HOT_KEYS, salts: int = SALTS,
+    hot_left: HotKeys = NO_HOT_KEYS, hot_right: HotKeys = NO_HOT_KEYS, salts: int | None = None,
 ) -> DataFrame:
     """Left outer join, safe for heavy keys of either side.
 
@@ -65,30 +64,31 @@ def left_join(
 
 def full_join(
     left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-    hot_left: HotKeys = NO_HOT_KEYS, hot_right: HotKeys = NO_HOT_KEYS, salts: int = SALTS,
+    hot_left: HotKeys = NO_HOT_KEYS, hot_right: HotKeys = NO_HOT_KEYS, salts: int | None = None,
 ) -> DataFrame:
     """Full outer join, safe for heavy keys of either side and for null keys.
 
-    Null keys never match, so they are spread by a salt instead of meeting in
-    one task. Spark cannot split a full outer join at run time; heavy keys go
+    Null keys never match: their rows are added as they are and not shuffled. The
+    others meet in a plain full join, so that column pruning and filters reach
+    both scans. Spark cannot split a full outer join at run time; heavy keys go
     through a left join plus the right rows whose key the left side lacks.
     """
-    null_key = HotKeys((None,))
     hot_left, hot_right = hot_left.without_null(), hot_right.without_null()
     hot = hot_left | hot_right
-    rest_left = left.filter(~hot.holds(F.col(left_key))) if hot else left
-    rest_right = right.filter(~hot.holds(F.col(right_key))) if hot else right
-    split = salted(rest_left, left_key, null_key, salts)
-    other = salted(rest_right, right_key, null_key, salts, "_rsalt")
-    joined = split.join(other, _on(left_key, right_key), "full").drop("_salt", "_rsalt")
+    some_left, some_right = left.filter(F.col(left_key).isNotNull()), right.filter(F.col(right_key).isNotNull())
+    rest_left = some_left.filter(~hot.holds(F.col(left_key))) if hot else some_left
+    rest_right = some_right.filter(~hot.holds(F.col(right_key))) if hot else some_right
+    joined = rest_left.join(rest_right, F.col(left_key) == F.col(right_key), "full")
+    joined = joined.unionByName(left.filter(F.col(left_key).isNull()), allowMissingColumns=True)
+    joined = joined.unionByName(right.filter(F.col(right_key).isNull()), allowMissingColumns=True)
     if not hot:
         return joined
     heavy_left = left.filter(hot.holds(F.col(left_key)))
     heavy_right = right.filter(hot.holds(F.col(right_key)))
     matched = left_join(heavy_left, heavy_right, left_key, right_key, hot_left, hot_right, salts)
-    # At most MAX_HOT_KEYS distinct keys per side, so this broadcast is bounded.
+    # At most MAX_HOT_KEYS distinct keys per side.
     seen = heavy_left.select(F.col(left_key).alias("_seen")).distinct()
-    lonely = heavy_right.join(F.broadcast(seen), F.col(right_key) == F.col("_seen"), "left_anti")
+    lonely = heavy_right.join(seen, F.col(right_key) == F.col("_seen"), "left_anti")
     return joined.unionByName(matched.select(*joined.columns)).unionByName(lonely, allowMissingColumns=True)
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratamart.operators.skew import NO_HOT_KEYS, HotKeys
-from stratamart.session import new_path
+from stratamart.session import pinned
 
 
 @dataclass(frozen=True)
@@ -83,16 +83,13 @@ def _by_ranges(df, key, value, tie, nth, names: RankNames, ranges: int | None) -
     3. One summary row per (range, key) - ranges plus keys in number - gives the
        rows and distinct values before it, and the ends its peers reach.
     """
-    spark = df.sparkSession
     order = [F.col(key).asc_nulls_first(), F.col(value).asc_nulls_first(), F.col(tie).asc_nulls_first()]
     split = df.repartitionByRange(ranges, *order) if ranges else df.repartitionByRange(*order)
-    path = new_path(spark, "ranges")
-    split.withColumn("_range", F.spark_partition_id()).write.parquet(path)
-    pinned = spark.read.parquet(path)
+    fixed = pinned(split.withColumn("_range", F.spark_partition_id()), "ranges")
 
     peers = Window.partitionBy("_range", key).orderBy(value)
     rows = Window.partitionBy("_range", key).orderBy(value, tie)
-    local = pinned.select(
+    local = fixed.select(
         "*",
         F.row_number().over(rows).cast("long").alias("_rn"),
         F.rank().over(peers).cast("long").alias("_rank"),
@@ -102,14 +99,14 @@ def _by_ranges(df, key, value, tie, nth, names: RankNames, ranges: int | None) -
         F.lag(value).over(rows).alias("_prev"),
     )
 
-    summary = _range_summary(pinned, key, value, nth)
+    summary = _range_summary(fixed, key, value, nth)
     here = summary.select(
         F.col("_range").alias("_srange"), F.col(key).alias("_skey"),
         "_off", "_n", "_doff", "_lo", "_hi", "_lo_start", "_hi_end", "_total", "_first", "_nth", "_before", "_after",
     )
-    # The summary has at most (ranges + heavy keys) rows: a bounded broadcast.
+    # The summary has at most (ranges + heavy keys) rows; Spark broadcasts it by its size.
     joined = local.join(
-        F.broadcast(here), (F.col("_range") == F.col("_srange")) & _same(F.col(key), F.col("_skey"))
+        here, (F.col("_range") == F.col("_srange")) & _same(F.col(key), F.col("_skey"))
     )
     last = F.when(_same(F.col(value), F.col("_hi")), F.col("_hi_end")).otherwise(F.col("_off") + F.col("_upto"))
     return joined.select(
@@ -126,10 +123,11 @@ def _by_ranges(df, key, value, tie, nth, names: RankNames, ranges: int | None) -
     )
 
 
-def _range_summary(pinned: DataFrame, key: str, value: str, nth: int) -> DataFrame:
+def _range_summary(rows: DataFrame, key: str, value: str, nth: int) -> DataFrame:
     """One row per (range, key): what lies in it, before it and after it."""
     # Equal values are counted first, so a value with many copies stays one row.
-    counted = pinned.groupBy("_range", key, value).agg(F.count(F.lit(1)).alias("_c"))
+    # Read three times below, so written once.
+    counted = pinned(rows.groupBy("_range", key, value).agg(F.count(F.lit(1)).alias("_c")), "range-counts")
     # struct(flag, value) orders nulls first, as the window does.
     entry = F.struct(F.col(value).isNotNull().cast("int").alias("f"), F.col(value).alias("v"), F.col("_c").alias("c"))
     per_range = counted.groupBy("_range", key).agg(

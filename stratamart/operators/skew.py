@@ -11,30 +11,54 @@ from pyspark.sql import functions as F
 #: session setting ``spark.stratamart.minHotRows`` overrides it.
 MIN_HOT_ROWS = 5_000_000
 MIN_HOT_ROWS_CONF = "spark.stratamart.minHotRows"
-#: Counters the sketch keeps per task. Its error is about 3.5 / tracked, so every
-#: key above roughly 0.02 % of all rows is found.
-TRACKED_ITEMS = 32_768
-#: Most keys that can be that heavy, which bounds what reaches the driver.
-MAX_HOT_KEYS = 5_000
+#: Most keys of a column that are split, the heaviest first; bounds what reaches the driver.
+#: A key that is left whole has at most 1 / MAX_HOT_KEYS of all rows.
+MAX_HOT_KEYS = 20_000
+#: Most parts of one key: bounds the copies of the other side's rows.
+MAX_SALTS = 4096
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Heavy values of one key column; ``None`` stands for the null key."""
+    """Heavy values of one key column; ``None`` stands for the null key.
+
+    ``parts`` says into how many parts each value's rows go (all ``DEFAULT_SALTS`` if not given).
+    """
 
     values: tuple = field(default_factory=tuple)
+    parts: tuple[int, ...] = field(default_factory=tuple)
 
     def __bool__(self) -> bool:
         return bool(self.values)
 
+    def _only(self, keep) -> "HotKeys":
+        found = [(v, n) for v, n in zip(self.values, self._parts()) if keep(v)]
+        return HotKeys(tuple(v for v, _ in found), tuple(n for _, n in found))
+
+    def _parts(self) -> tuple[int, ...]:
+        return self.parts or (DEFAULT_SALTS,) * len(self.values)
+
     def __or__(self, other: "HotKeys") -> "HotKeys":
-        return HotKeys(tuple(dict.fromkeys(self.values + other.values)))
+        most = dict(zip(self.values, self._parts()))
+        for v, n in zip(other.values, other._parts()):
+            most[v] = max(n, most.get(v, 0))
+        return HotKeys(tuple(most), tuple(most.values()))
 
     def __sub__(self, other: "HotKeys") -> "HotKeys":
-        return HotKeys(tuple(v for v in self.values if v not in set(other.values)))
+        return self._only(lambda v: v not in set(other.values))
 
     def without_null(self) -> "HotKeys":
-        return HotKeys(tuple(v for v in self.values if v is not None))
+        return self._only(lambda v: v is not None)
+
+    def salts(self, key: Column, fixed: int | None = None) -> Column:
+        """Number of parts of each row's key; 1 for keys that are not heavy."""
+        if fixed is not None:
+            return F.when(self.holds(key), fixed).otherwise(1)
+        out = F.lit(1)
+        for n in sorted(set(self._parts())):
+            same = self._only(lambda v, n=n: dict(zip(self.values, self._parts()))[v] == n)
+            out = F.when(same.holds(key), n).otherwise(out)
+        return out
 
     def holds(self, key: Column) -> Column:
         """True or false, never null, for every row."""
@@ -43,24 +67,30 @@ class HotKeys:
         return found | key.isNull() if None in self.values else found
 
 
+DEFAULT_SALTS = 64
 NO_HOT_KEYS = HotKeys()
 
 
 def find_all_hot_keys(df: DataFrame, *keys: str, min_rows: int | None = None) -> dict[str, HotKeys]:
-    """Heavy values of several key columns, by one map-side pass over those columns.
+    """Heavy values of several key columns, by exact counts.
 
-    The frequent-items sketch is merged from fixed-size partials: no shuffle on
-    a key, and at most ``MAX_HOT_KEYS`` values per column come back. A value the
-    sketch reports really occurs. It only steers plans; results never depend on it.
+    A table with fewer than ``min_rows`` rows has none. Otherwise each key is counted:
+    combined on the map side, spread over all tasks, and only the heaviest
+    values reach the driver. Results of joins never depend on it. Ask once for a stored
+    table and hand the answer to every plan that joins it.
     """
     if min_rows is None:
         min_rows = int(df.sparkSession.conf.get(MIN_HOT_ROWS_CONF, str(MIN_HOT_ROWS)))
-    row = df.agg(*[
-        F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {TRACKED_ITEMS})").alias(key) for key in keys
-    ]).head()
-    return {
-        key: HotKeys(tuple(entry["item"] for entry in row[key] if entry["count"] >= min_rows)) for key in keys
-    }
+    if df.select(*[f"`{k}`" for k in keys]).count() < min_rows:
+        return dict.fromkeys(keys, NO_HOT_KEYS)
+    out = {}
+    for key in keys:
+        counted = df.groupBy(F.col(key).alias("item")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_rows)
+        found = counted.orderBy(F.col("n").desc(), "item").limit(MAX_HOT_KEYS).collect()
+        # A power of two of parts with at most min_rows rows each: few different numbers.
+        parts = [min(MAX_SALTS, max(2, 1 << (-(-r["n"] // max(1, min_rows)) - 1).bit_length())) for r in found]
+        out[key] = HotKeys(tuple(r["item"] for r in found), tuple(parts))
+    return out
 
 
 def find_hot_keys(df: DataFrame, key: str, min_rows: int | None = None) -> HotKeys:
@@ -68,22 +98,28 @@ def find_hot_keys(df: DataFrame, key: str, min_rows: int | None = None) -> HotKe
     return find_all_hot_keys(df, key, min_rows=min_rows)[key]
 
 
-def salt_of(df: DataFrame, salts: int) -> Column:
+def above_mean(df: DataFrame, key: str, times: float = 1.25) -> int:
+    """A row count that some keys exceed at every scale: a multiple of the mean."""
+    return int(times * df.count() / max(1, df.select(key).distinct().count())) + 1
+
+
+def salt_of(df: DataFrame, salts: Column | int) -> Column:
     """A salt in [0, salts) that a retried task computes again.
 
     Row content spreads different rows; the partition id spreads equal copies
     that came from different input splits. A random salt would change on retry.
     """
     content = [F.col(f"`{c}`") for c, t in df.dtypes if "map<" not in t and t != "variant"]
-    return F.pmod(F.xxhash64(*content, F.spark_partition_id()), F.lit(salts)).cast("int")
+    salts = salts if isinstance(salts, Column) else F.lit(salts)
+    return F.pmod(F.xxhash64(*content, F.spark_partition_id()), salts).cast("int")
 
 
-def salted(df: DataFrame, key: str, hot: HotKeys, salts: int, name: str = "_salt") -> DataFrame:
+def salted(df: DataFrame, key: str, hot: HotKeys, salts: int | None = None, name: str = "_salt") -> DataFrame:
     """Side that is split: heavy rows get a salt, all others 0."""
-    return df.withColumn(name, F.when(hot.holds(F.col(key)), salt_of(df, salts)).otherwise(F.lit(0)))
+    spread = salt_of(df, hot.salts(F.col(key), salts))
+    return df.withColumn(name, F.when(hot.holds(F.col(key)), spread).otherwise(F.lit(0)))
 
 
-def replicated(df: DataFrame, key: str, hot: HotKeys, salts: int, name: str = "_salt") -> DataFrame:
-    """Other side: one copy of each heavy-key row per salt."""
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    return df.withColumn(name, F.explode(F.when(hot.holds(F.col(key)), every).otherwise(F.array(F.lit(0)))))
+def replicated(df: DataFrame, key: str, hot: HotKeys, salts: int | None = None, name: str = "_salt") -> DataFrame:
+    """Other side: one copy of each heavy-key row per salt of its key."""
+    return df.withColumn(name, F.explode(F.sequence(F.lit(0), hot.salts(F.col(key), salts) - 1)))

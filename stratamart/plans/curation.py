@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -109,6 +111,15 @@ def curate_mobile_year(raw: DataFrame, year: int, clock: RunClock, clamp: bool =
     return curate_mobile(rows, clock, clamp)
 
 
+def curate_mobile_of(raw: DataFrame, years: Sequence[int], clamped_year: int, clock: RunClock) -> DataFrame:
+    """Rows of some years in one pass; only what belongs to ``clamped_year`` has future dates clamped."""
+    years = sorted(years)
+    if years == list(range(years[0], years[-1] + 1)) and clamped_year == years[-1]:
+        return curate_mobile_years(raw, range(years[0], years[-1] + 1), clock)
+    out = [curate_mobile_year(raw, year, clock, clamp=year == clamped_year) for year in years]
+    return reduce(DataFrame.unionByName, out)
+
+
 def curate_mobile_years(raw: DataFrame, years: range, clock: RunClock) -> DataFrame:
     """Rows of consecutive years in one pass, future dates clamped into the last of them.
 

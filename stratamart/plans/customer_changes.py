@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from stratamart.functions.dates import uri_day
@@ -15,7 +17,9 @@ from stratamart.sources.catalog import lookup_rule
 from stratamart.sources.schemas import DELTA
 
 CHANGE_COLUMNS = "custno BIGINT, name STRING, age BIGINT, profession STRING, datadt DATE, upd_ts TIMESTAMP"
-JOB = "sp_cust_etl"
+JOB = "customer_change_load"
+#: Step codes of the audit rows.
+READ_DELTA, STORE_SNAPSHOT, APPLY_UPSERT, UNKNOWN_FLAG = "read_delta", "store_snapshot", "apply_upsert", "unknown_flag"
 
 
 def create_change_table(spark: SparkSession, name: str) -> None:
@@ -50,31 +54,39 @@ def load_delta(
 
 
 def customer_etl(
-    spark: SparkSession, uri: str, flag: str, database: str = "curatedds", view: str = "cust_ext",
+    spark: SparkSession, uri: str, flag: str, database: str = "curatedds", view: str | None = None,
     max_bad_records: int = MAX_BAD_RECORDS, swallow: bool = False,
 ) -> str:
     """Load one dated delta file by ``flag``: ``'scd1'`` upserts, ``'scd2'`` keeps daily snapshots.
 
-    Any other flag loads nothing, drops the view and leaves an audit row. Every
-    step is audited in ``audit_tbl``; a failed step stops the run (with
-    ``swallow`` it is only logged). Returns the run id.
+    Any other flag loads nothing and leaves an audit row. Every step is audited in
+    ``audit_tbl``; a failed step stops the run (with ``swallow`` it is only logged).
+    The delta's view is named after the run, so concurrent runs do not meet, and is
+    dropped at the end with what lies behind it; a ``view`` that is given stays.
+    Returns the run id.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     log = StepLog(spark, f"{database}.audit_tbl", JOB)
-    done = {}
-    with log.step("1. external table cust_ext over the given file", swallow):
-        done["day"] = uri_day(uri)
-        done["rows"] = load_external(spark, uri, DELTA, view, max_bad_records)
-    if "rows" not in done:
-        return log.process_id
-    delta = curate_delta(done["rows"], done["day"])
-    if flag == "scd2":
-        with log.step("2. load of curated table cust_part_curated", swallow):
-            apply_type2(delta, f"{database}.cust_part_curated", done["day"])
-    elif flag == "scd1":
-        with log.step("3. load of curated table cust_part_curated_merge", swallow):
-            apply_type1(delta, f"{database}.cust_part_curated_merge")
-    else:
-        drop_external(spark, view)
-        log.record("0. nothing loaded: the flag must be scd1 or scd2", SUCCESS)
+    own = view or "cust_ext_" + re.sub("[^0-9A-Za-z]", "_", log.process_id)
+    loads = {
+        "scd1": (APPLY_UPSERT, lambda rows, day: apply_type1(rows, f"{database}.cust_part_curated_merge")),
+        "scd2": (STORE_SNAPSHOT, lambda rows, day: apply_type2(rows, f"{database}.cust_part_curated", day)),
+    }
+    try:
+        delta = None
+        with log.step(READ_DELTA, swallow):
+            day = uri_day(uri)
+            delta = curate_delta(load_external(spark, uri, DELTA, own, max_bad_records), day)
+        if delta is None:
+            return log.process_id
+        if flag in loads:
+            step, load = loads[flag]
+            with log.step(step, swallow):
+                load(delta, day)
+        else:
+            log.record(UNKNOWN_FLAG, SUCCESS)
+            drop_external(spark, own)
+    finally:
+        if view is None:
+            drop_external(spark, own)
     return log.process_id

@@ -12,6 +12,7 @@ from stratamart.operators.joins import full_join, inner_join, left_join
 from stratamart.operators.predicates import map_values, member_of
 from stratamart.operators.skew import NO_HOT_KEYS, HotKeys, find_all_hot_keys, find_hot_keys
 from stratamart.operators.summaries import multiplicity
+from stratamart.session import pinned
 
 # Labels of the wide fact and the states the KPI counts.
 SAME_DAY, MULTI_DAY = "Same Day Trans", "Multi Day Trans"
@@ -107,29 +108,38 @@ def widen(
     )
 
 
-def consumer_wide(consumers: DataFrame, online: DataFrame, mobile: DataFrame, pos: DataFrame) -> DataFrame:
+def consumer_wide(
+    consumers: DataFrame, online: DataFrame, mobile: DataFrame, pos: DataFrame,
+    hot_online: HotKeys | None = None, hot_pos: dict[str, HotKeys] | None = None,
+) -> DataFrame:
     """Wide fact from the four curated tables.
 
-    Heavy consumers are looked up in the base tables, never in a join's output.
+    Heavy consumers are looked up in the base tables, never in a join's output. With
+    any, the split join reads its inputs several times, so both stitched
+    frames are written once before (until ``release_pinned``).
     """
-    hot_online = find_hot_keys(online, "customerid")
-    hot_pos = find_all_hot_keys(pos, "txnno", "custno")
-    return widen(
-        stitch_consumer_online(consumers, online, hot_online),
-        stitch_pos_mobile(mobile, pos, hot_pos=hot_pos["txnno"]),
-        hot_online, hot_pos["custno"],
-    )
+    if hot_online is None:
+        hot_online = find_hot_keys(online, "customerid")
+    if hot_pos is None:
+        hot_pos = find_all_hot_keys(pos, "txnno", "custno")
+    cust_online = stitch_consumer_online(consumers, online, hot_online)
+    pos_mobile = stitch_pos_mobile(mobile, pos, hot_pos=hot_pos["txnno"])
+    if hot_online or hot_pos["custno"]:
+        cust_online, pos_mobile = pinned(cust_online, "consumer-online"), pinned(pos_mobile, "pos-mobile")
+    return widen(cust_online, pos_mobile, hot_online, hot_pos["custno"])
 
 
 def transactions_with_mobile(consumers: DataFrame, pos: DataFrame, mobile: DataFrame) -> DataFrame:
-    """Rows of the three-way inner join: known consumers' POS rows that have a mobile row."""
+    """Rows of the three-way inner join: known consumers' POS rows that have a mobile row.
+
+    Plain inner joins between two shuffles: AQE splits their heavy keys by itself.
+    """
     cust = consumers.select(
         F.col("custno").alias("cust_custno"), "age", "yearofbirth", "profession",
     )
     mob = mobile.select(F.col("txnno").alias("mob_txnno"), "net", "provider", "activity")
-    hot = find_all_hot_keys(pos, "txnno", "custno")
-    rows = inner_join(pos, mob, "txnno", "mob_txnno", hot["txnno"])
-    rows = inner_join(rows, cust, "custno", "cust_custno", hot["custno"])
+    rows = inner_join(pos, mob, "txnno", "mob_txnno")
+    rows = inner_join(rows, cust, "custno", "cust_custno")
     return rows.select(
         "txnno", "custno", "age", "yearofbirth", "profession", "amount", "category", "product",
         "city", "state", "spendby", "net", "provider", "activity", "txndt",
@@ -138,7 +148,7 @@ def transactions_with_mobile(consumers: DataFrame, pos: DataFrame, mobile: DataF
 
 def kpi_by_place(
     consumers: DataFrame, pos: DataFrame, mobile: DataFrame, states: Sequence[str] = KPI_STATES,
-    threshold: float = HIGH_AMOUNT, exact_customers: bool = False,
+    threshold: float = HIGH_AMOUNT, exact_customers: bool = False, hot: dict[str, HotKeys] | None = None,
 ) -> DataFrame:
     """Amounts and counts per state, city, category and product.
 
@@ -151,7 +161,8 @@ def kpi_by_place(
     mob = multiplicity(mobile, "txnno", "_txn", "_mob_rows")
     sales = pos.select("txnno", "custno", "amount", "state", "city", "category", "product")
     # The transaction join comes first: it removes the most rows.
-    hot = find_all_hot_keys(pos, "txnno", "custno")
+    if hot is None:
+        hot = find_all_hot_keys(pos, "txnno", "custno")
     joined = inner_join(sales, mob, "txnno", "_txn", hot["txnno"])
     joined = inner_join(joined, cust, "custno", "_cust", hot["custno"])
     weight = F.col("_cust_rows") * F.col("_mob_rows")

@@ -9,13 +9,16 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from stratamart.clock import RunClock
+from stratamart.operators.skew import HotKeys, find_all_hot_keys
 from stratamart.plans import curation, discovery, outbound
 from stratamart.plans.audit import ProgressLog
+from stratamart.session import release_pinned, staged
 from stratamart.sinks import tables
 from stratamart.sources.catalog import read_matching_tables
 from stratamart.sources.files import read_json_lines, read_typed
 from stratamart.sources.schemas import CONSUMER, MOBILE, ONLINE, POS
 
+# Layouts of the curated and discovery tables.
 ONLINE_COLUMNS = (
     "transsk DECIMAL(38,9), customerid BIGINT, productname STRING, productcategory STRING, productprice BIGINT, "
     "productidint BIGINT, prodidstr STRING, loadts TIMESTAMP, loaddt DATE"
@@ -62,15 +65,15 @@ def load_raw(spark: SparkSession, files: SourceFiles, layers: Layers = Layers())
     """Full refresh of the four raw tables, with progress notes."""
     layers.create(spark)
     log = ProgressLog(spark, f"{layers.raw}.audit_meta", "rawload")
-    log.note("1. consumers: CSV with a header row")
+    log.note("consumers read")
     tables.refresh_table(read_typed(spark, files.consumers, CONSUMER, header=True), f"{layers.raw}.consumer")
-    log.note("2. store transactions: CSV with a declared schema")
+    log.note("store transactions read")
     tables.refresh_table(read_typed(spark, files.pos, POS), f"{layers.raw}.trans_pos")
-    log.note("3. online transactions: nested JSON lines")
+    log.note("online transactions read")
     tables.refresh_table(read_json_lines(spark, files.online, ONLINE), f"{layers.raw}.trans_online")
-    log.note("4. mobile transactions: CSV with a header row")
+    log.note("mobile transactions read")
     tables.refresh_table(read_typed(spark, files.mobile, MOBILE, header=True), f"{layers.raw}.trans_mobile_channel")
-    log.note("5. load completed")
+    log.note("raw layer complete")
 
 
 def load_curated(
@@ -100,16 +103,18 @@ def load_curated(
     else:
         tables.reload_partition(sales, pos, "loaddt", clock.day)
 
-    for year in years:
-        name = f"{cur}.trans_mobile_autopart_{year}"
-        tables.create_table(spark, name, MOBILE_COLUMNS, "ingest_dt")
-        rows = curation.curate_mobile_year(
-            spark.table(f"{raw}.trans_mobile_channel"), year, clock, clamp=year == clamped_year
-        )
-        if append:
-            tables.append_by_ingest_day(rows, name, clock.day)
-        else:
-            tables.reload_partition(rows, name, "ingest_dt", clock.day)
+    mobile = spark.table(f"{raw}.trans_mobile_channel")
+    # One pass over the raw table, split by year; then each year's table reads its own part.
+    pass_over = curation.curate_mobile_of(mobile, years, clamped_year, clock).withColumn("_year", F.year("dt"))
+    with staged(pass_over, "_year") as stage:
+        for year in years:
+            name = f"{cur}.trans_mobile_autopart_{year}"
+            tables.create_table(spark, name, MOBILE_COLUMNS, "ingest_dt")
+            rows = spark.table(stage).filter(F.col("_year") == year).drop("_year")
+            if append:
+                tables.append_by_ingest_day(rows, name, clock.day)
+            else:
+                tables.reload_partition(rows, name, "ingest_dt", clock.day)
 
 
 def load_discovery(
@@ -117,29 +122,37 @@ def load_discovery(
 ) -> None:
     """Wide consumer fact and the KPI table.
 
-    The fact is replaced as a whole (all its inputs are); ``append`` adds to it.
+    The fact is replaced as a whole (all its inputs are); ``append`` adds to it. Heavy
+    keys are looked up once for fact, KPI and export; those of POS are returned.
     """
     cur, out = layers.curated, layers.discovery
     consumers, pos = spark.table(f"{cur}.consumer_full_load"), spark.table(f"{cur}.trans_pos_part_cluster")
     mobile = read_matching_tables(spark, cur, "trans_mobile_autopart_20*")
     wide = f"{out}.consumer_trans_pos_mob_online"
     tables.create_table(spark, wide, WIDE_COLUMNS)
-    fact = discovery.consumer_wide(consumers, spark.table(f"{cur}.trans_online_part"), mobile, pos)
+    hot = find_all_hot_keys(pos, "txnno", "custno")
+    fact = discovery.consumer_wide(consumers, spark.table(f"{cur}.trans_online_part"), mobile, pos, hot_pos=hot)
     if append:
         tables.append_rows(fact, wide)
     else:
         tables.truncate_and_insert(fact, wide)
-    kpi = discovery.kpi_by_place(consumers, pos, spark.table(f"{cur}.trans_mobile_autopart_{kpi_year}"))
+    kpi = discovery.kpi_by_place(consumers, pos, spark.table(f"{cur}.trans_mobile_autopart_{kpi_year}"), hot=hot)
     tables.refresh_table(kpi, f"{out}.trans_aggr")
+    return hot
 
 
-def export_outbound(spark: SparkSession, clock: RunClock, path: str, layers: Layers = Layers()) -> str:
-    return outbound.export_report(spark.table(f"{layers.curated}.trans_pos_part_cluster"), clock, path)
+def export_outbound(
+    spark: SparkSession, clock: RunClock, path: str, layers: Layers = Layers(), hot: HotKeys | None = None,
+) -> str:
+    return outbound.export_report(spark.table(f"{layers.curated}.trans_pos_part_cluster"), clock, path, hot)
 
 
 def run_all(spark: SparkSession, files: SourceFiles, clock: RunClock, export_path: str, layers: Layers = Layers()) -> str:
     """Raw, curated, discovery, outbound; returns the export folder."""
     load_raw(spark, files, layers)
     load_curated(spark, clock, layers)
-    load_discovery(spark, clock, layers)
-    return export_outbound(spark, clock, export_path, layers)
+    hot = load_discovery(spark, clock, layers)
+    try:
+        return export_outbound(spark, clock, export_path, layers, hot["custno"])
+    finally:
+        release_pinned(spark)

@@ -38,6 +38,6 @@ def transaction_report(pos: DataFrame, clock: RunClock, hot: HotKeys | None = No
     )
 
 
-def export_report(pos: DataFrame, clock: RunClock, path: str) -> str:
+def export_report(pos: DataFrame, clock: RunClock, path: str, hot: HotKeys | None = None) -> str:
     """Write the report as sharded CSV with a header."""
-    return export_csv(transaction_report(pos, clock), path)
+    return export_csv(transaction_report(pos, clock, hot), path)

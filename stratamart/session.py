@@ -55,6 +55,35 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/stratamart/{label}-{uuid.uuid4().hex}"
 
 
+def child_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the entries of a folder that Hadoop can open; none if it is absent."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return sorted(entry.getPath().getName() for entry in files.listStatus(path)) if files.exists(path) else []
+
+
+_SCRATCH: dict[str, list[str]] = {}
+
+
+def pinned(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame once and read it back, for plans that read it several times.
+
+    The rows stay until ``release_pinned``, because the frame is still lazy here.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, label)
+    df.write.parquet(path)
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release_pinned(spark: SparkSession) -> None:
+    """Delete everything ``pinned`` wrote in this application; call it once the results are stored."""
+    for folder in _SCRATCH.pop(spark.sparkContext.applicationId, []):
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def new_database(spark: SparkSession, label: str) -> str:
     """A fresh database whose managed tables live under the shared folder."""
     name = f"{label}_{uuid.uuid4().hex[:12]}"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from contextlib import contextmanager
 from datetime import date
 from urllib.parse import unquote
@@ -9,11 +10,12 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratamart.session import staged
+from stratamart.session import new_staging_name, staged
 
 HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
-#: Up to so many partitions are written without a shuffle that gathers each of them.
-FEW_PARTITIONS = 4
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+#: Overwrites that depend on a session setting take turns.
+_TURNS = threading.RLock()
 
 
 def create_table(
@@ -32,22 +34,54 @@ def drop_table(spark: SparkSession, name: str) -> None:
 def refresh_table(df: DataFrame, name: str, partition_by: str | None = None) -> None:
     """Full refresh: replaces data and schema.
 
-    For a partitioned table the rows are rebalanced on the partition column
-    first, so each partition gets few files and a large one gets several.
+    The rows are written to a new table first; only when that has succeeded does it
+    take the old one's place, so a failed refresh leaves the old table as it was. For
+    a partitioned table the rows are rebalanced on the partition column first, so each
+    partition gets few files and a large one gets several.
     """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
+        _store(df, name, partition_by)
+        return
+    database, _, table = name.rpartition(".")
+    fresh = f"{database + '.' if database else ''}{table}__{new_staging_name(spark).rpartition('_')[2]}"
+    try:
+        _store(df, fresh, partition_by)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        raise
+    if partition_by:
+        # Renaming a partitioned table is not possible in every catalog. Its rows are computed and stored
+        # by now; what is left is a copy of plain files.
+        try:
+            _store(spark.table(fresh), name, partition_by)
+        except Exception as error:
+            raise SwapFailed(f"{name}: the new rows are complete in {fresh}") from error
+        spark.sql(f"DROP TABLE {fresh}")
+    else:
+        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+
+
+def _store(df: DataFrame, name: str, partition_by: str | None) -> None:
     writer = (df.hint("rebalance", partition_by) if partition_by else df).write.format("parquet").mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.saveAsTable(name)
 
 
+class SwapFailed(RuntimeError):
+    """Stored rows did not take their place; the message names the table that holds them."""
+
+
 def _in_table_order(df: DataFrame, name: str) -> DataFrame:
     return df.select(*df.sparkSession.table(name).columns)
 
 
 def truncate_and_insert(df: DataFrame, name: str) -> None:
-    """Replace all rows and keep the table's definition. Columns are matched by name."""
-    df.sparkSession.sql(f"INSERT OVERWRITE {name} SELECT * FROM {{rows}}", rows=_in_table_order(df, name))
+    """Replace all rows, those of every partition, and keep the table's definition. Columns are matched by name."""
+    with _overwrite_mode(df.sparkSession, "static"):
+        df.sparkSession.sql(f"INSERT OVERWRITE {name} SELECT * FROM {{rows}}", rows=_in_table_order(df, name))
 
 
 def append_rows(df: DataFrame, name: str, by_position: bool = False) -> None:
@@ -68,8 +102,12 @@ def append_partitioned(df: DataFrame, name: str, partition_by: str) -> None:
 
 
 def append_by_ingest_day(df: DataFrame, name: str, day: date, column: str = "ingest_dt") -> None:
-    """Append to the partition of the ingestion day."""
-    append_partitioned(df.withColumn(column, F.lit(day)), name, column)
+    """Append to the partition of the ingestion day: a static partition, so nothing is shuffled."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
+        df.limit(0).withColumn(column, F.lit(day)).write.format("parquet").partitionBy(column).saveAsTable(name)
+    others = [c for c in spark.table(name).columns if c != column]
+    spark.sql(f"INSERT INTO {name} PARTITION ({column} = DATE'{day.isoformat()}') SELECT * FROM {{rows}}", rows=df.select(*others))
 
 
 def reload_partition(df: DataFrame, name: str, column: str, day: date) -> None:
@@ -113,15 +151,15 @@ def delete_all(spark: SparkSession, name: str) -> None:
 
 
 @contextmanager
-def _dynamic_overwrite(spark: SparkSession):
-    # insertInto reads this setting from the session only; a writer option is ignored.
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+def _overwrite_mode(spark: SparkSession, mode: str):
+    # INSERT reads this setting from the session only; a writer option is ignored.
+    with _TURNS:
+        before = spark.conf.get(_OVERWRITE_MODE, None)
+        spark.conf.set(_OVERWRITE_MODE, mode)
+        try:
+            yield
+        finally:
+            spark.conf.unset(_OVERWRITE_MODE) if before is None else spark.conf.set(_OVERWRITE_MODE, before)
 
 
 def partition_values(spark: SparkSession, name: str) -> set[str]:
@@ -138,20 +176,35 @@ def replace_partitions(rows: DataFrame, name: str, column: str, touched: list) -
     The rows may be computed from the same table. They are first written to a
     staging table; only then are the partitions swapped, and those without rows
     dropped. Readers can see the swap between partitions, since plain parquet
-    tables have no transactions; after a failure the call can be repeated.
+    tables have no transactions. If the swap fails, the staging table stays and the
+    error names it: ``finish_swap`` completes the swap from there.
     """
     spark = rows.sparkSession
-    rows = _in_table_order(rows, name)
-    if len(touched) > FEW_PARTITIONS:  # else each task writes at most this many files anyway
-        rows = rows.hint("rebalance", column)
-    with staged(rows, column) as stage:
-        filled = partition_values(spark, stage)
-        with _dynamic_overwrite(spark):
-            _in_table_order(spark.table(stage), name).write.insertInto(name, overwrite=True)
-        for value in touched:
-            if (HIVE_NULL if value is None else str(value)) not in filled:
-                spec = "NULL" if value is None else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
-                spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({column} = {spec})")
+    stage = new_staging_name(spark)
+    try:
+        _store(_in_table_order(rows, name), stage, column)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {stage}")
+        raise
+    try:
+        finish_swap(spark, stage, name, column, touched)
+    except Exception as error:
+        raise SwapFailed(f"{name}: complete it with finish_swap(spark, {stage!r}, {name!r}, {column!r}, {touched!r})") from error
+
+
+def finish_swap(spark: SparkSession, stage: str, name: str, column: str, touched: list) -> None:
+    """Put a staging table's partitions in place of the touched ones; may be repeated. Drops the stage at the end."""
+    filled = partition_values(spark, stage)
+    # A session of its own: the caller's settings stay as they are for its other threads.
+    own = spark.newSession()
+    own.conf.set(_OVERWRITE_MODE, "dynamic")
+    own.table(stage).select(*own.table(name).columns).write.insertInto(name, overwrite=True)
+    spark.catalog.refreshTable(name)
+    for value in touched:
+        if (HIVE_NULL if value is None else str(value)) not in filled:
+            spec = "NULL" if value is None else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({column} = {spec})")
+    spark.sql(f"DROP TABLE IF EXISTS {stage}")
 
 
 def touched_partitions(rows: DataFrame, column: str) -> list:

@@ -31,24 +31,29 @@ def load_external(
         watch, F.count_if(is_bad).alias("bad"), F.count(F.lit(1)).alias("read")
     )
     name = new_staging_name(spark)
-    flagged.filter(~is_bad).drop(BAD_RECORD).write.format("parquet").saveAsTable(name)
-    bad = watch.get["bad"]
-    if bad > max_bad_records:
-        spark.sql(f"DROP TABLE {name}")
-        raise TooManyBadRecords(f"{path}: {bad} malformed rows, {max_bad_records} allowed")
+    try:
+        flagged.filter(~is_bad).drop(BAD_RECORD).write.format("parquet").saveAsTable(name)
+        bad = watch.get["bad"]
+        if bad > max_bad_records:
+            raise TooManyBadRecords(f"{path}: {bad} malformed rows, {max_bad_records} allowed")
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        raise
     drop_external(spark, view)
     spark.table(name).createOrReplaceTempView(view)
-    _BACKING[view] = name
+    # A setting belongs to its session, as the temporary view does.
+    spark.conf.set(_BACKING + view, name)
     return spark.table(view)
 
 
-#: Staging table behind each registered view of this process.
-_BACKING: dict[str, str] = {}
+#: Session setting that names the staging table behind a registered view.
+_BACKING = "spark.stratamart.external."
 
 
 def drop_external(spark: SparkSession, view: str = "cust_ext") -> None:
-    """Drop the view and the staging table behind it, if present."""
+    """Drop this session's view and the staging table behind it, if present."""
     spark.catalog.dropTempView(view)
-    name = _BACKING.pop(view, None)
+    name = spark.conf.get(_BACKING + view, None)
     if name:
+        spark.conf.unset(_BACKING + view)
         spark.sql(f"DROP TABLE IF EXISTS {name}")

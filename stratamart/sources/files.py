@@ -50,10 +50,16 @@ def read_typed(
     )
 
 
-def read_json_lines(spark: SparkSession, path: str, schema: str | StructType | None = None) -> DataFrame:
-    """One JSON document per line; a declared schema saves the inference pass."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.json(path)
+def read_json_lines(
+    spark: SparkSession, path: str, schema: str | StructType | None = None, malformed: str = "FAILFAST",
+) -> DataFrame:
+    """One JSON document per line; a declared schema saves the inference pass.
+
+    ``malformed`` as for ``read_typed``: by default a cut line stops the load
+    instead of becoming a row of nulls.
+    """
+    reader = spark.read.option("mode", malformed)
+    return (reader if schema is None else reader.schema(schema)).json(path)
 
 
 def read_flagged(

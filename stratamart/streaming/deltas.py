@@ -2,75 +2,126 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from stratamart.functions.dates import path_date
-from stratamart.plans.customer_changes import apply_type1, apply_type2
+from stratamart.plans.audit import FAILURE, StepLog
 from stratamart.plans.curation import curate_delta
-from stratamart.session import staged
-from stratamart.sources.budget import MAX_BAD_RECORDS, TooManyBadRecords
+from stratamart.plans.customer_changes import apply_type1, apply_type2, create_change_table
+from stratamart.session import child_names
+from stratamart.sources.budget import MAX_BAD_RECORDS
 from stratamart.sources.files import BAD_RECORD
 from stratamart.sources.schemas import DELTA
 
+JOB = "delta_pickup"
+SET_ASIDE = "day_set_aside"
+
+
+def landed_days(spark: SparkSession, landed: str) -> list[date]:
+    """Days that have landed so far, oldest first: names of partition folders, not rows."""
+    days = [n.split("=", 1)[1] for n in child_names(spark, landed) if n.startswith("datadt=")]
+    return sorted(date.fromisoformat(d) for d in days if d[:1].isdigit())
+
+
+def _schema() -> StructType:
+    return StructType.fromDDL(DELTA).add(BAD_RECORD, "string")
+
+
+def landed_rows(spark: SparkSession, landed: str, day: date | None) -> DataFrame:
+    rows = spark.read.schema(_schema().add("datadt", "date").add("source", "string")).parquet(landed)
+    return rows.filter(F.col("datadt").isNull() if day is None else F.col("datadt") == F.lit(day))
+
 
 def apply_batch(
-    spark: SparkSession, batch: DataFrame, type1_table: str | None, type2_table: str | None, max_bad_records: int = MAX_BAD_RECORDS,
+    spark: SparkSession, batch: DataFrame, landed: str, type1_table: str | None, type2_table: str | None,
+    max_bad_records: int = MAX_BAD_RECORDS, audit_table: str | None = None,
 ) -> None:
-    """Apply newly landed rows day by day, oldest first.
+    """Land newly found files, then rebuild every day they touch from all files of that day.
+
+    Rows land under ``landed`` by day and file; a replayed batch replaces its own
+    files only. A day's snapshot (type 2) is reloaded from all of its files, so it
+    does not matter in how many batches they came. For the upsert (type 1) the
+    touched day and every later landed day are applied again in date order, so a late
+    file never overwrites newer values; rows that the table already holds as
+    they are take no part.
 
-    The batch is parsed once, into a staging table partitioned by data date;
-    each day then reads its own partition. Both loads give the same tables when
-    a batch is replayed after a failure. A stream hands over batches of a cloned
-    session; the tables are changed through ``spark``, the caller's session, so
-    that its cached file listings stay right.
+    The budget of malformed rows holds for a dated delta, however many files it
+    has. A day over budget, or a file without a date, is set aside with an audit
+    row and stops nothing else.
     """
-    with staged(batch.hint("rebalance", "datadt"), "datadt") as stage:
-        rows = spark.table(stage)
-        over = (
-            rows.filter(F.col(BAD_RECORD).isNotNull()).groupBy("_file")
-            .agg(F.count(F.lit(1)).alias("bad")).filter(F.col("bad") > max_bad_records).take(1)
-        )
-        if over:
-            raise TooManyBadRecords(f"{over[0]['_file']}: {over[0]['bad']} malformed rows, {max_bad_records} allowed")
-        good = rows.filter(F.col(BAD_RECORD).isNull())
-        # One value per landed day.
-        days = [r["datadt"] for r in rows.select("datadt").distinct().orderBy("datadt").collect()]
-        for day in days:
-            delta = curate_delta(good.filter(F.col("datadt") == F.lit(day)), day)
-            if type2_table:
-                apply_type2(delta, type2_table, day)
-            if type1_table:
-                apply_type1(delta, type1_table)
+    before = set(landed_days(spark, landed))
+    # Each split holds rows of one file, so a task writes one folder: no shuffle.
+    rows = batch.withColumn("source", F.sha2(F.col("_file").cast("binary"), 256)).drop("_file")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("datadt", "source").parquet(landed)
+    touched = [r["datadt"] for r in rows.select("datadt").distinct().collect()]
+    database = (type1_table or type2_table or "default.x").rpartition(".")[0] or "default"
+    log = StepLog(spark, audit_table or f"{database}.audit_tbl", JOB)
+    if None in touched:
+        log.record(SET_ASIDE, FAILURE, "a delta file carries no date in its name")
+    days = sorted(d for d in touched if d is not None)
+    if not days:
+        return
+    good = {}
+    for day in [d for d in landed_days(spark, landed) if d >= days[0]]:
+        # One pass over a small column; a day is at most one dated delta.
+        bad = landed_rows(spark, landed, day).filter(F.col(BAD_RECORD).isNotNull()).count()
+        if bad <= max_bad_records:
+            good[day] = curate_delta(landed_rows(spark, landed, day).filter(F.col(BAD_RECORD).isNull()), day)
+        elif day in days:
+            log.record(SET_ASIDE, FAILURE, f"delta of {day}: {bad} malformed rows, {max_bad_records} allowed")
+    for day in days:
+        if type2_table and day in good:
+            apply_type2(good[day], type2_table, day)
+    if type1_table:
+        for day, delta in good.items():
+            again = day in before or day not in days
+            apply_type1(unapplied(delta, type1_table) if again else delta, type1_table)
+
+
+def unapplied(delta: DataFrame, table: str) -> DataFrame:
+    """Rows of a delta that the table does not hold as they are (nulls compare equal)."""
+    create_change_table(delta.sparkSession, table)
+    held = delta.sparkSession.table(table)
+    # Only the delta's own day can hold its rows.
+    days = [F.col(f"_h_{c}").eqNullSafe(F.col(c)) for c in delta.columns]
+    condition = days[0]
+    for part in days[1:]:
+        condition = condition & part
+    return delta.join(held.select(*[F.col(c).alias(f"_h_{c}") for c in delta.columns]), condition, "left_anti")
 
 
 def pick_up_deltas(
     spark: SparkSession, folder: str, checkpoint: str, type1_table: str | None = None, type2_table: str | None = None,
     pattern: str = "customers_*", max_bad_records: int = MAX_BAD_RECORDS, max_files: int | None = None,
+    landed: str | None = None, audit_table: str | None = None,
 ) -> StreamingQuery:
     """Start a stream that applies every file not seen before, then stops.
 
-    ``pattern`` matches dated files, or dated folders of part files.
-    The checkpoint remembers which files are done; a rerun without new files
-    changes nothing. Run it from any scheduler as often as files may land.
+    ``pattern`` matches dated files, or dated folders of part files. The checkpoint
+    remembers which files are done; a rerun without new files changes nothing.
+    ``max_files`` throttles a batch and does not change the result. Landed rows are
+    kept under ``landed`` (beside the checkpoint unless given).
     """
-    schema = StructType(StructType.fromDDL(DELTA).fields).add(BAD_RECORD, "string")
     reader = (
-        spark.readStream.format("csv").schema(schema).option("header", True).option("enforceSchema", True)
+        spark.readStream.format("csv").schema(_schema()).option("header", True).option("enforceSchema", True)
         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_RECORD)
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    landed = reader.load(f"{folder}/{pattern}").select(
+    found = reader.load(f"{folder}/{pattern}").select(
         "*", F.col("_metadata.file_path").alias("_file"), path_date(F.col("_metadata.file_path")).alias("datadt"),
     )
+    store = landed or f"{checkpoint.rstrip('/')}-landed"
 
     def apply(batch: DataFrame, _batch_id: int) -> None:
-        apply_batch(spark, batch, type1_table, type2_table, max_bad_records)
+        apply_batch(spark, batch, store, type1_table, type2_table, max_bad_records, audit_table)
 
     return (
-        landed.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+        found.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
         .foreachBatch(apply).start()
     )

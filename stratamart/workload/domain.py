@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stratamart.plans import curation, discovery, outbound
+from stratamart.operators.skew import above_mean, find_hot_keys
 from stratamart.workload.adapters import CLOCK
 from stratamart.workload.registry import query
 from stratamart.workload.relations import PEERS, ROWS
@@ -75,6 +76,19 @@ def consumer_wide(t):
     )
 
 
+@query(WIDE)
+def consumer_wide_split(t):
+    """The same fact with every key above the mean treated as heavy."""
+    online, pos = t.online(), t.pos()
+    hot_pos = {k: find_hot_keys(pos, k, min_rows=above_mean(pos, k)) for k in ("txnno", "custno")}
+    hot_online = find_hot_keys(online, "customerid", min_rows=above_mean(online, "customerid"))
+    wide = discovery.consumer_wide(t.consumer(), online, t.mobile(), pos, hot_online, hot_pos)
+    return wide.select(
+        F.when(F.col("trans_day").isNotNull(), F.col("txnno")).alias("txnno"),
+        *[c for c in wide.columns if c not in ("txnno", "geo_coordinate")], "geo_coordinate.lon", "geo_coordinate.lat",
+    )
+
+
 REPORT = f"""
 SELECT custno, txnno, list_contains(string_split_regex(lower(category), '[^a-z0-9]+'), 'outdoor') AS outdoor_cat, category,
        CAST(strpos(category, 'R') AS INTEGER) AS strpos_cat, rpad(category, 30, ' ') AS rpad_cat,

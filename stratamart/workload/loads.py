@@ -293,10 +293,10 @@ def cust_etl_scd2(t):
 
 
 @query("""SELECT * FROM (VALUES
-            ('1. external table cust_ext over the given file', 'START', 'sp_cust_etl'),
-            ('1. external table cust_ext over the given file', 'SUCCESS', 'sp_cust_etl'),
-            ('2. load of curated table cust_part_curated', 'START', 'sp_cust_etl'),
-            ('2. load of curated table cust_part_curated', 'SUCCESS', 'sp_cust_etl')) v(processtype, errtype, jobname)""")
+            ('read_delta', 'START', 'customer_change_load'),
+            ('read_delta', 'SUCCESS', 'customer_change_load'),
+            ('store_snapshot', 'START', 'customer_change_load'),
+            ('store_snapshot', 'SUCCESS', 'customer_change_load')) v(processtype, errtype, jobname)""")
 def audit_trail(t):
     db = _database(t)
     changes.customer_etl(t.spark, _delta_files(t)[1], "scd2", db)
@@ -304,9 +304,9 @@ def audit_trail(t):
 
 
 @query("""SELECT * FROM (VALUES
-            ('1. external table cust_ext over the given file', 'START'),
-            ('1. external table cust_ext over the given file', 'SUCCESS'),
-            ('0. nothing loaded: the flag must be scd1 or scd2', 'SUCCESS')) v(processtype, errtype)""")
+            ('read_delta', 'START'),
+            ('read_delta', 'SUCCESS'),
+            ('unknown_flag', 'SUCCESS')) v(processtype, errtype)""")
 def cust_etl_bad_flag(t):
     db = _database(t)
     changes.customer_etl(t.spark, _delta_files(t)[1], "scd9", db)
@@ -337,6 +337,103 @@ def incremental_scd1(t):
     return t.spark.table(name)
 
 
+def _part_files(t) -> str:
+    """Both deltas as dated folders of three part files; one part of the first day is held back outside."""
+    landing = new_path(t.spark, "parts")
+    for rows, day in ((t.delta_day1(), D1), (t.delta_day2(), D2)):
+        for part in range(3):
+            late = "late" if (day, part) == (D1, 2) else "landing"
+            some = rows.filter(F.pmod(F.xxhash64("custno"), F.lit(3)) == part).coalesce(1)
+            write_csv(some, f"{landing}/{part}-{late}/customers_{day:%Y%m%d}", header=True)
+    return landing
+
+
+def _picked_up(t, **target):
+    """One file a batch; the late part lands after both days have been applied."""
+    landing = _part_files(t)
+    for pattern in ("*-landing/customers_*", "*-l*/customers_*"):
+        pick_up_deltas(t.spark, landing, f"{landing}-checkpoint-{len(pattern)}", pattern=pattern, max_files=1,
+                       landed=f"{landing}-landed", **target).awaitTermination()
+
+
+@query(BOTH_DAYS)
+def incremental_scd2_parts(t):
+    name = f"{_database(t)}.cust_part_curated"
+    _picked_up(t, type2_table=name)
+    return t.spark.table(name)
+
+
+@query(CHANGED)
+def incremental_scd1_parts(t):
+    name = f"{_database(t)}.cust_part_curated_merge"
+    _picked_up(t, type1_table=name)
+    return t.spark.table(name)
+
+
+@query("""SELECT 'read_delta' AS processtype, 'FAILURE' AS errtype, 3 AS bad_rows, (SELECT count(*) FROM delta1) AS n_rows
+          UNION ALL SELECT 'read_delta', 'START', 0, (SELECT count(*) FROM delta1)""")
+def audit_failure(t):
+    """Three spoiled rows, one more than allowed: START and FAILURE with the count, then nothing."""
+    db = _database(t)
+    day = t.delta_day1()
+    worst = [r[0] for r in day.orderBy("custno").select("custno").limit(3).collect()]
+    spoiled = day.withColumn("age", F.when(F.col("custno").isin(worst), "old").otherwise(F.col("age").cast("string")))
+    path = write_csv(spoiled, f"{new_path(t.spark, 'bad')}/customers_{D1:%Y%m%d}", header=True)
+    changes.customer_etl(t.spark, path, "scd1", db, swallow=True)
+    bad = F.coalesce(F.expr("try_cast(regexp_extract(errormsg, '([0-9]+) malformed', 1) AS int)"), F.lit(0))
+    return t.spark.table(f"{db}.audit_tbl").select(
+        "processtype", "errtype", bad.alias("bad_rows"), F.lit(day.count()).alias("n_rows"))
+
+
+@query("""SELECT 'rawload' AS proc_name, description, (SELECT count(*) FROM consumer_raw) AS consumers FROM (VALUES
+            ('consumers read'), ('store transactions read'), ('online transactions read'), ('mobile transactions read'),
+            ('raw layer complete')) v(description)""")
+def progress_notes(t):
+    names, _ = _layered(t)
+    notes = t.spark.table(f"{names.raw}.audit_meta").select("proc_name", "description")
+    return notes.withColumn("consumers", F.lit(t.spark.table(f"{names.raw}.consumer").count()))
+
+
+@query("SELECT 'age=' || CAST(age AS VARCHAR) AS partition, count(*) AS n_rows FROM consumer GROUP BY age")
+def partition_listing(t):
+    """Partitions by name, each with the rows read back from it."""
+    name = f"{_database(t)}.cust_info"
+    tables.refresh_table(t.consumer().select("custno", "age"), name, partition_by="age")
+    listed = t.spark.sql(f"SHOW PARTITIONS {name}")
+    sizes = t.spark.table(name).groupBy(F.concat(F.lit("age="), F.col("age").cast("string")).alias("name")).count()
+    return listed.join(sizes, F.col("partition") == F.col("name")).select("partition", F.col("count").alias("n_rows"))
+
+
+@query(f"SELECT custno, '{CLOCK.suffix()}' AS stamp FROM consumer")
+def run_stamp(t):
+    return t.consumer().select("custno", F.lit(catalog.run_stamp(t.spark, CLOCK)).alias("stamp"))
+
+
+@query("""SELECT orderId, customerId, p.productId AS productid, CAST(p.productPrice AS BIGINT) AS price FROM items""")
+def json_inferred(t):
+    """The nested schema is found in the data."""
+    path = write_json(t.online_raw(), new_path(t.spark, "json"))
+    return unnest_products(files.read_json_lines(t.spark, path)).select(
+        "orderId", "customerId", F.col("product.productId").alias("productid"),
+        F.col("product.productPrice").cast("bigint").alias("price"),
+    )
+
+
+@query("SELECT custno, age FROM consumer WHERE age > 40")
+def truncate_insert_partitioned(t):
+    """Rows of every old partition go, also when the session overwrites partitions dynamically."""
+    name = f"{_database(t)}.cust_info"
+    tables.refresh_table(t.consumer().select("custno", "age"), name, partition_by="age")
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = t.spark.conf.get(key, "static")
+    t.spark.conf.set(key, "dynamic")
+    try:
+        tables.truncate_and_insert(t.consumer().select("custno", "age").filter("age > 40"), name)
+    finally:
+        t.spark.conf.set(key, before)
+    return t.spark.table(name)
+
+
 def _layered(t):
     """Raw files from the tables, then all four layers."""
     db = [new_database(t.spark, n) for n in ("raw", "curated", "discovery")]

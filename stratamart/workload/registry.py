@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, TimestampType
 
 from stratamart.workload.adapters import SQL, Tables
@@ -39,6 +40,8 @@ def comparable(df: DataFrame) -> DataFrame:
         if isinstance(field.dataType, (DateType, TimestampType, TimestampNTZType)):
             column = column.cast("string").alias(field.name)
         elif isinstance(field.dataType, DecimalType):
-            column = column.cast("bigint").alias(field.name)
+            # A fraction would be lost without a trace, so it is an error.
+            whole = F.when(column.isNull() | (column == F.floor(column)), column.cast("bigint"))
+            column = whole.otherwise(F.raise_error(F.lit(f"{field.name} has a fraction"))).alias(field.name)
         out.append(column)
     return df.select(*out)

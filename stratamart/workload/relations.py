@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from stratamart.operators.dedup import keep_highest
 from stratamart.operators.joins import full_join, left_join
 from stratamart.operators.ranking import rank_within
-from stratamart.operators.skew import find_all_hot_keys, find_hot_keys
+from stratamart.operators.skew import above_mean, find_all_hot_keys, find_hot_keys
 from stratamart.operators.summaries import row_total, rows_per
 from stratamart.plans import curation, discovery
 from stratamart.workload.registry import query
@@ -180,21 +180,22 @@ ALL_RANKS = f"""SELECT custno, txnno, amount, row_number() {ROWS} AS rownum_amt,
 
 @query(ALL_RANKS)
 def win_by_ranges(t):
-    """Customers with some 15 rows or more go through the range-split ranking."""
+    """Customers with more than the mean number of rows go through the range-split ranking."""
     pos = t.pos().select("custno", "txnno", "amount")
-    return rank_within(pos, "custno", "amount", "txnno", hot=find_hot_keys(pos, "custno", min_rows=15))
+    return rank_within(pos, "custno", "amount", "txnno", hot=find_hot_keys(pos, "custno", min_rows=above_mean(pos, "custno")))
 
 
 @query("""SELECT m.userno, p.custno, count(*) AS n_rows, count(m.txnno) AS n_mob, sum(p.amount) AS sum_amt
           FROM (SELECT txnno, postal_code - 10000 AS userno FROM mobile) m FULL JOIN pos p ON m.userno = p.custno
           GROUP BY m.userno, p.custno""")
 def full_join_split(t):
-    """Many-to-many full join where keys with some 70 rows or more are treated as heavy."""
+    """Many-to-many full join where keys above the mean are treated as heavy."""
     mob = t.mobile().select("txnno", (F.col("postal_code") - 10000).alias("userno"))
     pos = t.pos().select("custno", "amount")
     joined = full_join(
         mob, pos, "userno", "custno",
-        find_hot_keys(mob, "userno", min_rows=70), find_hot_keys(pos, "custno", min_rows=70), salts=8,
+        find_hot_keys(mob, "userno", min_rows=above_mean(mob, "userno")),
+        find_hot_keys(pos, "custno", min_rows=above_mean(pos, "custno")), salts=8,
     )
     return joined.groupBy("userno", "custno").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count("txnno").alias("n_mob"), F.sum("amount").alias("sum_amt")

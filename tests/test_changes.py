@@ -86,7 +86,7 @@ def test_unknown_flag_loads_nothing(spark, db, files):
     changes.customer_etl(spark, files[0], "scd3", db)
     assert not spark.catalog.tableExists("cust_ext")
     assert {t.name for t in spark.catalog.listTables(db) if not t.isTemporary} == {"audit_tbl"}
-    assert spark.table(f"{db}.audit_tbl").filter("processtype like '0.%' and errtype = 'SUCCESS'").count() == 1
+    assert spark.table(f"{db}.audit_tbl").filter("processtype = 'unknown_flag' and errtype = 'SUCCESS'").count() == 1
 
 
 def test_failures_are_audited_and_stop_the_run(spark, db, tmp_path):
