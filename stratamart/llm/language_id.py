@@ -164,13 +164,13 @@ class Network:
         of = np.repeat(np.arange(len(sizes)), counts)
         nth = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
         begin, end = offsets[of] + nth * CORE, np.minimum(offsets[of] + (nth + 1) * CORE, offsets[of + 1])
-        padded = np.append(data, np.uint8(0))
+        padded = np.append(data, np.uint8(0)).astype(np.int16)
         steps = np.arange(-CONTEXT, CORE + CONTEXT)[:, None]
         for at in range(0, len(of), TOGETHER):
             part = slice(at, at + TOGETHER)
             place = begin[part] + steps
             inside = (place >= offsets[of[part]]) & (place < offsets[of[part] + 1])
-            symbols = np.where(inside, padded[np.where(inside, place, -1)], OUTSIDE)
+            symbols = np.where(inside, padded[np.where(inside, place, -1)], np.int16(OUTSIDE))
             n = symbols.shape[1]
             both = np.empty((2, CORE, n, HIDDEN), np.float32)
             self.left.states(symbols[:CONTEXT + CORE], both[0], CONTEXT)
@@ -233,7 +233,7 @@ def sample_windows(docs: DataFrame, key: str, text: str, lang: str, learn: Colum
                     inside = (place >= a) & (place < b)
                     if inside.any():
                         langs.append(y)
-                        windows.append(np.where(inside, data[np.clip(place, 0, len(data) - 1)], OUTSIDE).astype("<u2").tobytes())
+                        windows.append(np.where(inside, data[np.clip(place, 0, len(data) - 1)].astype(np.uint16), np.uint16(OUTSIDE)).astype("<u2").tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(windows, pa.binary())], ["y", "w"])
 
     got = chosen.mapInArrow(cut, "y string, w binary").orderBy("y", "w").toPandas()
