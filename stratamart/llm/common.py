@@ -34,6 +34,14 @@ def drop_stored(df: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def own_names(df: DataFrame, *names: str) -> list[str]:
+    """Column names that ``df`` does not have yet, made of the given ones."""
+    mark, taken = "__", {c.lower() for c in df.columns}
+    while any((mark + n).lower() in taken for n in names):
+        mark += "_"
+    return [mark + n for n in names]
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z; every other character stays."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

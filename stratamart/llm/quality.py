@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratamart.llm.common import labelled_sample, stored, table, text_buffer, word_hashes, word_spans
+from stratamart.llm.common import labelled_sample, own_names, stored, table, text_buffer, word_hashes, word_spans
 from stratamart.llm.registry import query
 
 #: Bound of the training sample, rows of each class.
@@ -178,23 +178,24 @@ def classify(docs: DataFrame, model: Evidence, host: Column, path: Column, text:
     """
     narrow = with_evidence(docs.select(host.alias("host"), path.alias("path"), F.col(f"`{text}`").cast("string").alias("text")), model)
     sites = stored(site_posteriors(narrow.drop("text")), "quality-sites")
-    named = ["host", "path", "n", "total", "prior", "strength", "rate"]
-    sites = sites.select(*[F.col(c).alias(f"__{c}") for c in named])
-    keep = [c for c in docs.columns if c not in ("good", "quality")]
-    rows = with_evidence(docs.select(*[F.col(f"`{c}`") for c in keep], host.alias("__h"), path.alias("__p")), model, text, "__good")
-    joined = rows.join(sites, F.col("__h").eqNullSafe(F.col("__host")) & F.col("__p").eqNullSafe(F.col("__path")))
-    inner = joined.select(*[F.col(f"`{c}`") for c in keep], "__good", *[f"__{c}" for c in named[2:]])
-    value = posterior_of(inner)
-    return inner.select(*[F.col(f"`{c}`") for c in keep], F.col("__good").alias("good"), value.alias("quality"))
-
-
-def posterior_of(joined: DataFrame) -> Column:
-    """Posterior of rows joined with their path; the path's sums count without the row itself."""
+    kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("good", "quality")])
+    own = dict(zip(_SITE, own_names(kept, *_SITE)))
+    h, p, good = own_names(kept, "h", "p", "good")
+    rows = with_evidence(kept.withColumn(h, host).withColumn(p, path), model, text, good)
+    joined = rows.join(sites.select(*[F.col(c).alias(own[c]) for c in _SITE]), F.col(h).eqNullSafe(F.col(own["host"])) & F.col(p).eqNullSafe(F.col(own["path"])))
+    quality = posterior(F.col(good), *[F.col(own[c]) for c in _SITE[2:]])
+    return joined.select(*[F.col(f"`{c}`") for c in kept.columns], F.col(good).alias("good"), quality.alias("quality"))
+
+
+_SITE = ("host", "path", "n", "total", "prior", "strength", "rate")
+
+
+def posterior(good: Column, n: Column, total: Column, prior: Column, strength: Column, rate: Column) -> Column:
+    """Posterior of a document from its path's sums, which count without the document itself."""
     def logit(p: Column) -> Column:
         p = F.greatest(F.least(p, F.lit(1 - 1e-6)), F.lit(1e-6))
         return F.log(p / (1 - p))
 
-    good, n, total, prior, strength, rate = (joined[f"__{c}"] for c in ("good", "n", "total", "prior", "strength", "rate"))
     others = (strength * prior + total - good) / (strength + n - 1)
     shift = F.greatest(F.least(logit(others) - logit(rate), F.lit(MAX_SHIFT)), F.lit(-MAX_SHIFT))
     return 1 / (1 + F.exp(-(logit(good) + shift)))
@@ -207,8 +208,12 @@ def document_sites(docs: DataFrame) -> tuple[Column, Column]:
 
 def drop_poor(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Documents at or above the threshold; columns unchanged."""
-    marked = classify(docs, fit_evidence(docs, labels), *document_sites(docs))
-    return marked.where(F.col("quality") >= threshold).select(*[f"`{c}`" for c in docs.columns])
+    row = own_names(docs, "row")[0]
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row)) if {"good", "quality"} & set(docs.columns) else None
+    if packed is not None:  # columns of these names travel inside a struct
+        docs = packed.select(row, *[F.col(f"{row}.{c}") for c in ("doc_id", "text", "source", "lang")])
+    kept = classify(docs, fit_evidence(docs, labels), *document_sites(docs)).where(F.col("quality") >= threshold)
+    return kept.select(f"{row}.*") if packed is not None else kept.select(*[f"`{c}`" for c in docs.columns])
 
 
 @query()

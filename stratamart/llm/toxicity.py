@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratamart.llm.common import crc_mod, drop_stored, labelled_sample, mix64, stored, table
+from stratamart.llm.common import crc_mod, drop_stored, labelled_sample, mix64, own_names, stored, table
 from stratamart.llm.registry import query
 
 #: Bound of the training sample, rows of each class.
@@ -109,6 +109,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     drop_stored(rows)
     data = data.sort_values("k", key=lambda k: pd.util.hash_array(k.to_numpy()), kind="stable")
     y = data.y.to_numpy(float)
+    if data.y.nunique() < 2:
+        return Model(np.zeros(1 << BUCKET_BITS, np.float32), float(np.log(share / (1 - share))))
     weights, intercept = logistic([np.frombuffer(x, "<u4") for x in data.ids], y, scale)
     sampled = y.mean()
     intercept += np.log(share / (1 - share)) - np.log(sampled / (1 - sampled))
@@ -164,7 +166,7 @@ def with_score(docs: DataFrame, model: Model, text: str = "text", score: str = "
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Documents below the threshold, fitted on the labels of ``docs`` themselves; columns unchanged."""
     model = fit(docs, labels)
-    name = "__toxic_score"
+    name = own_names(docs, "score")[0]
     return with_score(docs, model, score=name).where(F.col(name) < threshold).select(*[f"`{c}`" for c in docs.columns])
 
 

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratamart.llm.common import ascii_lower, table
+from stratamart.llm.common import ascii_lower, own_names, table
 from stratamart.llm.registry import query
 
 TOKEN = "[a-z0-9]+"
@@ -125,15 +125,16 @@ def judge_urls(pages: DataFrame, url: str = "url", rules: tuple[PatternRule, ...
                default: str = "allow") -> DataFrame:
     """``pages`` with host, path, rule (of the highest priority, else null) and verdict."""
     spark = pages.sparkSession
-    rows = pages.withColumn("__url", F.coalesce(F.col(f"`{url}`"), F.lit("")))
-    urls = rows.select(F.col("__url").alias("url")).distinct()
+    own, match = own_names(pages, "url", "match")
+    rows = pages.withColumn(own, F.coalesce(F.col(f"`{url}`"), F.lit("")))
+    urls = rows.select(F.col(own).alias("url")).distinct()
     best = match_rules(urls, small(rule_index(spark, urls, rules), rules))
-    best = best.select(F.col("url").alias("__url"), "rule", "rule_verdict", "priority")
-    keep = [c for c in pages.columns if c not in {"host", "path", "rule", "verdict", "priority"}]
-    joined = rows.select(*[F.col(f"`{c}`") for c in keep], "__url").join(best, "__url", "left")
+    best = best.select(F.col("url").alias(own), F.struct("rule", "rule_verdict", "priority").alias(match))
+    keep = [F.col(f"`{c}`") for c in pages.columns if c not in {"host", "path", "rule", "verdict", "priority"}]
+    joined = rows.select(*keep, own).join(best, own, "left")
     return joined.select(
-        *[F.col(f"`{c}`") for c in keep], host_of(F.col("__url")).alias("host"), path_of(F.col("__url")).alias("path"),
-        "rule", F.coalesce("rule_verdict", F.lit(default)).alias("verdict"), "priority",
+        *keep, host_of(F.col(own)).alias("host"), path_of(F.col(own)).alias("path"), F.col(f"{match}.rule").alias("rule"),
+        F.coalesce(f"{match}.rule_verdict", F.lit(default)).alias("verdict"), F.col(f"{match}.priority").alias("priority"),
     )
 
 
