@@ -59,7 +59,7 @@ def customer_etl(
 ) -> str:
     """Load one dated delta file by ``flag``: ``'scd1'`` upserts, ``'scd2'`` keeps daily snapshots.
 
-    Any other flag loads nothing and leaves an audit row. Every step is audited in
+    Any other flag loads nothing, drops the session's default view, too, and leaves an audit row. Every step is audited in
     ``audit_tbl``; a failed step stops the run (with ``swallow`` it is only logged).
     The delta's view is named after the run, so concurrent runs do not meet, and is
     dropped at the end with what lies behind it; a ``view`` that is given stays.
@@ -85,7 +85,8 @@ def customer_etl(
                 load(delta, day)
         else:
             log.record(UNKNOWN_FLAG, SUCCESS)
-            drop_external(spark, own)
+            for name in {own, "cust_ext"}:
+                drop_external(spark, name)
     finally:
         if view is None:
             drop_external(spark, own)

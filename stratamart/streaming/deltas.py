@@ -14,6 +14,7 @@ from stratamart.plans.audit import FAILURE, StepLog
 from stratamart.plans.curation import curate_delta
 from stratamart.plans.customer_changes import apply_type1, apply_type2, create_change_table
 from stratamart.session import child_names
+from stratamart.sinks.upsert import AmbiguousMatch
 from stratamart.sources.budget import MAX_BAD_RECORDS
 from stratamart.sources.files import BAD_RECORD
 from stratamart.sources.schemas import DELTA
@@ -52,7 +53,8 @@ def apply_batch(
 
     The budget of malformed rows holds for a dated delta, however many files it
     has. A day over budget, or a file without a date, is set aside with an audit
-    row and stops nothing else.
+    row and stops nothing else; so is the upsert of a day that holds two rows for one
+    stored key.
     """
     before = set(landed_days(spark, landed))
     # Each split holds rows of one file, so a task writes one folder: no shuffle.
@@ -80,7 +82,14 @@ def apply_batch(
     if type1_table:
         for day, delta in good.items():
             again = day in before or day not in days
-            apply_type1(unapplied(delta, type1_table) if again else delta, type1_table)
+            try:
+                # All rows of the day count when two of them claim one key.
+                conflicting = delta.groupBy("custno").count().filter("custno is not null and count > 1").take(1) if again else []
+                if conflicting:
+                    raise AmbiguousMatch(f"{type1_table}: several source rows match one target row on custno")
+                apply_type1(unapplied(delta, type1_table) if again else delta, type1_table)
+            except AmbiguousMatch as error:  # raised before anything changes
+                log.record(SET_ASIDE, FAILURE, f"delta of {day}: {error}")
 
 
 def unapplied(delta: DataFrame, table: str) -> DataFrame:
