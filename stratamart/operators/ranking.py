@@ -28,7 +28,7 @@ from stratamart.session import pinned
 
 
 @dataclass(frozen=True)
-class RankNames:
+class RankNames:  # fixed values: column names of the outbound report
     """Output column names."""
 
     row_number: str = "rownum_amt"

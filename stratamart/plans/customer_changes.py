@@ -16,6 +16,7 @@ from stratamart.sources.budget import MAX_BAD_RECORDS, drop_external, load_exter
 from stratamart.sources.catalog import lookup_rule
 from stratamart.sources.schemas import DELTA
 
+# Layout of the change tables.
 CHANGE_COLUMNS = "custno BIGINT, name STRING, age BIGINT, profession STRING, datadt DATE, upd_ts TIMESTAMP"
 JOB = "customer_change_load"
 #: Step codes of the audit rows.

@@ -12,6 +12,7 @@ from stratamart.streaming.deltas import pick_up_deltas
 from pyspark.sql import functions as F
 from tests.conftest import rows
 
+# A published two-day delta and the results both loads must give.
 DAY1 = """custid,firstname,lastname,age,profession,upd_ts
 4000011,Francis,McNamara,47,Therapist,2024-08-01 00:00:01
 4000012,Sandy,Raynor,26,Writer,2024-08-01 00:00:01

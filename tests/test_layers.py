@@ -13,11 +13,11 @@ from stratamart.sources.schemas import ONLINE
 from tests.conftest import rows
 
 CONSUMERS = """custid,firstname,lastname,age,profession
-11,Francis,McNamara,47,Therapist
-11,Francis,McNamara,47,Therapist
-11,Francis,McNamara,46,Nurse
-12,Sandy,Raynor,26,
-13,Marion,,41,Carpenter
+11,Ines,Okafor,47,Therapist
+11,Ines,Okafor,47,Therapist
+11,Ines,Okafor,46,Nurse
+12,Tomas,Lindqvist,26,
+13,Petra,,41,Carpenter
 14,No,Age,,Cook
 """
 POS = """1,06-29-2023,11,50.0,Outdoor Recreation,Tent,Reno,Nevada,credit
@@ -57,7 +57,7 @@ def test_consumers(spark, world):
     dbs, _, _ = world
     got = rows(spark.table(f"{dbs.curated}.consumer_full_load").select("custno", "fullname", "age", "yearofbirth", "profession"))
     assert got == [
-        (11, "Francis McNamara", 47, 1976, "Therapist"), (12, "Sandy Raynor", 26, 1997, "not provided"),
+        (11, "Ines Okafor", 47, 1976, "Therapist"), (12, "Tomas Lindqvist", 26, 1997, "not provided"),
         (13, None, 41, 1982, "Carpenter"), (14, "No Age", None, None, "Cook"),
     ]
 
