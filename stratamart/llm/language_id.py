@@ -216,9 +216,13 @@ def sample_windows(docs: DataFrame, key: str, text: str, lang: str, learn: Colum
     known = docs.where(F.col(lang).isNotNull() & F.col(key).isNotNull())
     if learn is not None:
         rows, known = docs.where(learn).select(F.col(key).alias("k"), F.col(lang).cast("string").alias("y")).where("k is not null and y is not null"), known.where(learn)
+    # The rows of a frequent language are thinned by hash first, so that no task ranks many of them.
+    counts = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
+    shares = F.create_map(*[F.lit(x) for y, n in counts.items() for x in (y, min(1.0, 4 * DOCS_PER_LANGUAGE / n))]) if counts else F.create_map(F.lit(""), F.lit(0.0))
+    thinned = rows.where(F.pmod(F.xxhash64("k"), F.lit(1 << 20)) < F.try_element_at(shares, F.col("y")) * (1 << 20))
     rank = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("k"), "k"))
-    # Spark limits the rows of each language before this shuffle; the result is bounded, and so is its broadcast.
-    keys = rows.withColumn("n", rank).where(F.col("n") <= DOCS_PER_LANGUAGE).select("k").distinct()
+    # At most DOCS_PER_LANGUAGE keys of each language: a bounded broadcast.
+    keys = thinned.withColumn("n", rank).where(F.col("n") <= DOCS_PER_LANGUAGE).select("k").distinct()
     chosen = known.select(F.col(key).alias("k"), F.col(lang).cast("string").alias("y"), F.col(text).cast("string").alias("t")).join(F.broadcast(keys), "k")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
