@@ -199,7 +199,44 @@ def scan(docs: DataFrame, keys: list[str], text: str = "text", phrases: dict[str
         F.array_join(F.array_sort(F.array_union(parts["base"], own)), ",").alias("labels"), score.alias("score"))
 
 
-@query()
+def _sql(phrases: dict[str, str], templates: tuple[Template, ...]) -> str:
+    """The same result by comparing every line with every template."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    quoted = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
+    places = []
+    for phrase in phrases:
+        parts = phrase.split()
+        same = " AND ".join(f"w[i + {k + 1}] = '{part}'" for k, part in enumerate(parts))
+        places.append(f"list_filter(range(0, greatest(len(w) - {len(parts) - 1}, 0)), lambda i: {same})")
+    lists = ", ".join(f"{x} AS p{i}" for i, x in enumerate(places))
+    base = ", ".join(f"CASE WHEN len(p{i}) > 0 THEN '{label}' END" for i, label in enumerate(phrases.values()))
+    known = ", ".join(f"('{t.label}', {quoted(t.words)}, {t.needed})" for t in templates)
+    return f"""
+WITH texts AS (
+  SELECT doc_id, translate(coalesce(text, ''), '{upper}', '{lower}') AS t FROM documents
+), worded AS (
+  SELECT doc_id, regexp_extract_all(t, '{WORD}') AS w FROM texts
+), placed AS (
+  SELECT doc_id, len(w) AS n_words, {lists} FROM worded
+), summed AS (
+  SELECT doc_id, n_words, list_concat({", ".join(f"p{i}" for i in range(len(phrases)))}) AS places,
+         list_sort(list_distinct(list_filter([{base}], lambda x: x IS NOT NULL))) AS base FROM placed
+), lines AS (
+  SELECT doc_id, list_distinct(regexp_extract_all(line, '{WORD}')) AS held
+  FROM (SELECT doc_id, unnest(regexp_split_to_array(t, '[\r\n]+')) AS line FROM texts)
+), templates(label, words, needed) AS (VALUES {known}), met AS (
+  SELECT doc_id, list(DISTINCT label) AS own, max(len(list_intersect(held, words)) / len(words)) AS best
+  FROM lines JOIN templates ON len(list_intersect(held, words)) >= needed GROUP BY doc_id
+)
+SELECT s.doc_id, n_words, len(places) AS n_base, list_min(places) AS first_word, list_max(places) AS last_word,
+       array_to_string(base, ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(base, coalesce(own, [])))), ',') AS labels,
+       CASE WHEN len(places) > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0)::DOUBLE END AS score
+FROM summed s LEFT JOIN met m ON s.doc_id = m.doc_id
+"""
+
+
+@query(_sql(PHRASES, TEMPLATES))
 def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Phrases, license labels and score of every document."""
     return scan(table(spark, folder, "documents"), ["doc_id"])
