@@ -221,3 +221,21 @@ def test_pinned_rows_are_released(spark):
     assert any(n.startswith("probe") for n in child_names(spark, root))
     release_pinned(spark)
     assert not any(n.startswith("probe") for n in child_names(spark, root))
+
+
+def test_heavy_keys_do_not_read_the_inputs_again(spark):
+    from stratamart.operators.skew import NO_HOT_KEYS
+    from stratamart.plans import discovery
+    from stratamart.workload.adapters import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    key = t.pos().select("custno").first()[0]
+
+    def scans(hot):
+        wide = discovery.consumer_wide(t.consumer(), t.online(), t.mobile(), t.pos(), hot, {"txnno": NO_HOT_KEYS, "custno": hot})
+        return wide._jdf.queryExecution().executedPlan().toString().count("FileScan")
+
+    try:
+        assert scans(HotKeys((key,), (8,))) <= 1.5 * scans(NO_HOT_KEYS)
+    finally:
+        release_pinned(spark)
