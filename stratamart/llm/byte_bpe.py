@@ -273,14 +273,14 @@ class Encoder:
 def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``docs`` with the text column replaced by ``ids``: little-endian unsigned 32-bit ids, one after the other.
 
-    The vocabulary is read on the driver and broadcast; its size does not depend on the data.
+    The vocabulary is read on the driver and shipped with the function; its size does not depend on the data.
     """
     ranks = read_ranks(ranks_path)
-    shared = docs.sparkSession.sparkContext.broadcast((ranks, MergeTable(ranks)))
+    merges = MergeTable(ranks)
     rest = [c for c in docs.columns if c != text and c != ids]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(*shared.value, pattern)
+        encoder = Encoder(ranks, merges, pattern)
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)

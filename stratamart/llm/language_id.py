@@ -258,13 +258,12 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
 
 def with_language(docs: DataFrame, network: Network, text: str = "text", spans: bool = False) -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` and, if asked for, ``lang_spans`` (byte runs of equal labels)."""
-    shared = docs.sparkSession.sparkContext.broadcast(network)
     names = [c for c in docs.columns if c not in ("lang_pred", "score", "lang_spans")]
     at = names.index(text)
     kind = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = network
         for whole in batches:
             for start in range(0, whole.num_rows, 1000):
                 batch = whole.slice(start, 1000)

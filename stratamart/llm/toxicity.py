@@ -148,15 +148,13 @@ def logistic(rows: list[np.ndarray], y: np.ndarray, scale: np.ndarray, steps: in
 
 
 def with_score(docs: DataFrame, model: Model, text: str = "text", score: str = "score") -> DataFrame:
-    """``docs`` with ``score`` in 0..1; the model (fixed size) is broadcast."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    """``docs`` with ``score`` in 0..1; the model (fixed size) is shipped with the function."""
     keep = [c for c in docs.columns if c != score]
     at = keep.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
         for batch in batches:
-            scores = [known.score(t) for t in batch.column(at).to_pylist()]
+            scores = [model.score(t) for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*keep, score])
 
     kept = docs.select(*[F.col(f"`{c}`") for c in keep])
