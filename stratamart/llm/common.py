@@ -78,6 +78,14 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; sorting is several times faster here than numpy's hashing."""
+    x = np.sort(x)
+    fresh = np.ones(len(x), bool)
+    fresh[1:] = x[1:] != x[:-1]
+    return x[fresh]
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and its n+1 offsets; nulls count as empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -13,10 +13,11 @@ A document's set are its distinct word shingles. Two sets x, y link when
    any linked set has in its own prefix. Nodes whose prefix holds only unshared shingles are done.
 4. *Groups.* Nodes of equal prefix and equal size are one group; only groups meet through
    the shared prefix shingles, with size and positional filters.
-5. *Verify.* First every node against the first of its group, and every group against the
-   first of each of its shingles (linear in the prefixes); what links is contracted into
-   components. Then all remaining candidates whose nodes lie in different components
-   are expanded to members and verified exactly, so no link between components is lost.
+5. *Verify.* First every node against the first of its group, and every group against two
+   leaders of each of its shingles, in rounds (linear in the prefixes); what links is
+   contracted into components. Then all remaining candidates whose nodes lie in different
+   components are expanded to members and verified exactly, so no link between components
+   is lost. Within a component links are not listed.
 
 Shingles are 64-bit hashes. Null, empty and wordless texts have empty sets and link with
 nothing; with fewer words than a shingle the whole sequence is the one shingle. Rows with
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratamart.llm.common import drop_stored, mix64, parts_for, stored, table, text_buffer, word_hashes, word_spans
+from stratamart.llm.common import distinct, drop_stored, mix64, parts_for, stored, table, text_buffer, word_hashes, word_spans
 from stratamart.llm.components import components
 from stratamart.llm.registry import query
 
@@ -41,6 +42,11 @@ WORDS = 4
 PERCENT = 85
 #: Documents of a chunk: bounds the memory of a task.
 CHUNK_DOCS = 4096
+#: Rounds with leaders before the exact rest; they only save work.
+LEADER_ROUNDS = 2
+#: Prefixes of up to so many shared shingles travel with each of their entries. Pairs of longer ones are met at
+#: each common shingle and made distinct afterwards; the result is the same.
+PREFIX_SENT = 256
 #: Bits of a shingle's hash that the global order uses; more shingles only blur the order, never the result.
 ORDER_BITS = 52
 
@@ -59,12 +65,12 @@ def shingle_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
     counts = np.bincount(owner, minlength=len(texts))
     begin = np.concatenate([[0], np.cumsum(counts)])
     rolled = mix64(hashes)
-    for k in range(1, words):
+    for k in range(1, min(words, len(hashes))):
         rolled[:len(hashes) - k] = mix64(rolled[:len(hashes) - k] * np.uint64(0x9E3779B97F4A7C15) + hashes[k:])
     out = []
     for a, b in zip(begin[:-1].tolist(), begin[1:].tolist()):
         if b - a >= words:
-            out.append(np.unique(rolled[a:b - words + 1]))
+            out.append(distinct(rolled[a:b - words + 1]))
         elif b > a:  # the whole sequence; its length keeps it apart from full shingles
             whole = np.array([b - a], np.uint64)
             for h in hashes[a:b]:
@@ -110,9 +116,9 @@ def first_pass(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
                 marks = [_mark(s) for s in sets]
                 keep = []
                 for mark, s in zip(marks, sets):
-                    keep.append(len(s) > 0 and mark not in seen)
+                    keep.append(len(keep) if len(s) > 0 and mark not in seen else None)
                     seen.add(mark)
-                texts = pa.compute.if_else(pa.array(keep, pa.bool_()), batch.column(1), pa.scalar(None, batch.column(1).type))
+                texts = batch.column(1).take(pa.array(keep, pa.int64()))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(marks, pa.binary()), pa.array([len(s) for s in sets], pa.int64()), texts], ["id", "mark", "n", "text"])
 
@@ -232,10 +238,44 @@ def _size_fits(x: str, y: str, percent: int):
 
 
 def _can_reach(a: str, b: str, percent: int):
-    """Positional filter: one shared shingle at these places, and all that may follow and precede it in both."""
-    na, nb, pa_, pb = (F.col(c) for c in (f"n_{a}", f"n_{b}", f"p_{a}", f"p_{b}"))
-    most = F.least(pa_, pb) + 1 + F.least(na - pa_ - 1, nb - pb - 1)
-    return most * (100 + percent) >= (na + nb) * percent
+    """Filters of a pair of groups that share a prefix shingle at places p.
+
+    *Positional*: what precedes it in both, unshared shingles (the first s) aside, it, and what
+    follows in both must reach the overlap that a link needs. *Count*: up to the last shingle of
+    the prefix that ends first in the global order, common shingles lie in both prefixes; the
+    rest of that set has needed(n) - 1. A pair passes at its first common shingle only.
+    """
+    na, nb, pa_, pb, sa, sb = (F.col(f"{c}_{side}") for c in "nps" for side in (a, b))
+    most = F.least(pa_ - sa, pb - sb) + 1 + F.least(na - pa_ - 1, nb - pb - 1)
+    both = F.array_intersect(f"sent_{a}", f"sent_{b}")
+    rest = F.ceil(F.greatest(na, nb) * percent / 100) - 1
+    counted = (F.get(both, F.lit(0)) == F.col("token")) & ((F.size(both) + rest) * (100 + percent) >= (na + nb) * percent)
+    return (most * (100 + percent) >= (na + nb) * percent) & (F.col(f"sent_{a}").isNull() | F.col(f"sent_{b}").isNull() | counted)
+
+
+def _leader_pairs(index: DataFrame, percent: int) -> DataFrame:
+    """(grp, other): each group with the leader of each of its shingles in its size class and the next larger one.
+
+    The leader is the group with the fewest unshared shingles: of near copies, the one closest to
+    their origin. ``index`` has the group's component; groups of the leader's component
+    are left out, and the first of those left leads the others.
+    """
+    size_class = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
+    name = F.concat(F.lpad(F.col("s").cast("string"), 12, "0"), F.hex("grp"))
+    classed = index.select("grp", "comp", "token", size_class.alias("class"), name.alias("name"))
+    around = classed.select("grp", "comp", "token", F.explode(F.array(F.col("class"), F.col("class") + 1)).alias("class"))
+
+    def led(members: DataFrame, candidates: DataFrame) -> DataFrame:
+        best = candidates.groupBy("token", "class").agg(F.min("name").alias("name"))
+        best = best.join(candidates, ["token", "class", "name"]).select("token", "class", F.col("grp").alias("other"), F.col("comp").alias("other_comp"))
+        return members.join(best, ["token", "class"]).where("comp <> other_comp")
+
+    first = led(around, classed)
+    # A second leader among those that the first one's component does not hold.
+    outside = classed.join(classed.groupBy("token", "class").agg(F.min("name").alias("name")).join(
+        classed.select("token", "class", "name", F.col("comp").alias("lead")), ["token", "class", "name"]).drop("name"), ["token", "class"]).where("comp <> lead").drop("lead")
+    second = led(first.select("grp", "comp", "token", "class"), outside)
+    return first.select("grp", "other").unionByName(second.select("grp", "other")).distinct()
 
 
 def links_between(nodes: DataFrame, percent: int) -> DataFrame:
@@ -243,46 +283,45 @@ def links_between(nodes: DataFrame, percent: int) -> DataFrame:
     ids = nodes.select("mark", "node")
     heads = nodes.groupBy("grp").agg(F.min(F.hex("mark")).alias("head"), F.max("n").alias("n")).select("grp", F.unhex("head").alias("head"), "n")
     heads = stored(heads, "jaccard-groups")
-    # One entry for each group, shingle and place: the members' prefixes are equal.
+    # One entry for each group and shingle: the members' prefixes are equal. Long prefixes stay behind.
+    sent = F.when(F.size("tokens") <= PREFIX_SENT, F.col("tokens"))
     index = nodes.join(heads.select("head"), nodes["mark"] == heads["head"], "left_semi").select(
-        "grp", "n", F.posexplode("tokens").alias("at", "token"), "places").select("grp", "n", "token", F.get("places", F.col("at")).alias("p"))
-    index = stored(index, "jaccard-index")
-
-    # Linear round: members with the first of their group, groups with the first of each shingle in their size class
-    # and in the next larger one.
-    inner = nodes.join(heads, "grp").where(F.col("mark") != F.col("head")).select(F.col("mark").alias("a"), F.col("head").alias("b"))
-    size_class = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
-    classed = index.withColumn("class", size_class)
-    least = classed.groupBy("token", "class").agg(F.min(F.hex("grp")).alias("first"))
-    around = classed.select("grp", "n", "token", F.explode(F.array(F.col("class"), F.col("class") + 1)).alias("class"))
-    outer = around.join(least, ["token", "class"]).select("grp", F.unhex("first").alias("other")).where("grp <> other").distinct()
+        "grp", "node", "n", sent.alias("sent"), F.get("places", F.lit(0)).alias("s"), F.posexplode("tokens").alias("at", "token"), "places")
+    index = stored(index.select("grp", "node", "n", "s", "sent", "token", F.get("places", F.col("at")).alias("p")), "jaccard-index")
     named = heads.select("grp", "head")
-    outer = outer.join(named, "grp").withColumnRenamed("head", "a").join(named.select(F.col("grp").alias("other"), F.col("head").alias("b")), "other").select("a", "b")
-    swap = F.col("a") > F.col("b")
-    candidates = inner.unionByName(outer).select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b")).distinct()
-    first = stored(verified(candidates, nodes, percent), "jaccard-links")
-    as_nodes = lambda links: (
-        links.join(ids.select(F.col("mark").alias("a"), F.col("node").alias("x")), "a").join(ids.select(F.col("mark").alias("b"), F.col("node").alias("y")), "b")
-        .select(F.col("x").alias("a"), F.col("y").alias("b")))
-    found = stored(as_nodes(first), "jaccard-links")
-    drop_stored(first)
+
+    def as_nodes(links: DataFrame) -> DataFrame:
+        left, right = (ids.select(F.col("mark").alias(side), F.col("node").alias(f"{side}_node")) for side in "ab")
+        return links.join(left, "a").join(right, "b").select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+
+    # Linear rounds: members with the first of their group, then groups with leaders.
+    found = stored(as_nodes(verified(
+        nodes.join(heads, "grp").where(F.col("mark") != F.col("head")).select(F.col("mark").alias("a"), F.col("head").alias("b")), nodes, percent)), "jaccard-links")
+    comps = None
+    for _ in range(LEADER_ROUNDS):
+        placed = index.select("grp", "n", "s", "token", "node")
+        placed = placed.withColumn("comp", F.col("node")) if comps is None else placed.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node"))
+        outer = _leader_pairs(placed, percent)
+        outer = outer.join(named, "grp").withColumnRenamed("head", "a").join(named.select(F.col("grp").alias("other"), F.col("head").alias("b")), "other")
+        swap = F.col("a") > F.col("b")
+        outer = outer.select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b")).distinct()
+        found = found.unionByName(stored(as_nodes(verified(outer, nodes, percent)), "jaccard-links"))
+        comps = components(found)
 
     # The rest: entries of a shingle whose nodes lie in several components.
-    comps = components(found)
     placed = nodes.select("grp", "mark", "node").join(comps, "node", "left").select("grp", "mark", F.coalesce("component", "node").alias("comp"))
     placed = stored(placed, "jaccard-placed")
-    parts = index.join(placed.select("grp", "comp").distinct(), "grp")
+    parts = index.drop("node").join(placed.select("grp", "comp").distinct(), "grp")
     mixed = parts.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("token")
     parts = stored(parts.join(mixed, "token", "left_semi"), "jaccard-rest")
-    side = lambda s: parts.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("grp", "n", "p", "comp")])
+    side = lambda x: parts.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("grp", "n", "s", "p", "comp", "sent")])
     rest = (
         side("x").join(side("y"), "token").where((F.col("comp_x") < F.col("comp_y")) & _size_fits("n_x", "n_y", percent) & _can_reach("x", "y", percent))
         .select("grp_x", "comp_x", "grp_y", "comp_y").distinct()
     )
-    member = lambda s, c: placed.select(F.col("grp").alias(f"grp_{s}"), F.col("comp").alias(f"comp_{s}"), F.col("mark").alias(c))
+    member = lambda x, c: placed.select(F.col("grp").alias(f"grp_{x}"), F.col("comp").alias(f"comp_{x}"), F.col("mark").alias(c))
     pairs = rest.join(member("x", "a"), ["grp_x", "comp_x"]).join(member("y", "b"), ["grp_y", "comp_y"]).select("a", "b")
-    more = stored(as_nodes(verified(pairs, nodes, percent)), "jaccard-links")
-    return found.unionByName(more)
+    return found.unionByName(stored(as_nodes(verified(pairs, nodes, percent)), "jaccard-links"))
 
 
 def similarity_components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:

@@ -99,6 +99,11 @@ def test_words_do_not_cross_texts():
     assert [len(s) for s in sets] == [1, 1, 0, 1] and sets[0][0] != sets[3][0]
 
 
+@pytest.mark.parametrize("texts", [["a b"], ["a"], [""], [None, None], ["a", "b"]])
+def test_batches_with_fewer_words_than_a_shingle(texts):
+    assert [len(x) for x in J.shingle_sets(pa.array(texts, pa.string()), 5)] == [int(bool(t)) for t in texts]
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 130)] + [(129, 200), (7, 7)]
     out = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
