@@ -24,13 +24,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratamart.llm.common import labelled_sample, own_names, stored, table, text_buffer, word_hashes, word_spans
+from stratamart.llm.common import distinct, labelled_sample, own_names, stored, table, text_buffer, word_hashes, word_spans
 from stratamart.llm.registry import query
 
 #: Bound of the training sample, rows of each class.
 MAX_ROWS = 8_000
 #: Documents below this posterior are rejected.
 THRESHOLD = 0.5
+#: Texts whose statistics are computed together.
+TOGETHER = 256
 #: Group evidence moves a document's log odds by at most so much.
 MAX_SHIFT = 4.0
 
@@ -45,7 +47,12 @@ _CLASS[[ord(c) for c in ".,;:?'\"()-/"]] = _POINT
 
 
 def surface(texts: pa.Array) -> np.ndarray:
-    """One row of statistics for each text, from all of its bytes."""
+    """One row of statistics for each text, from all of its bytes; a few hundred texts at a time bound the memory."""
+    parts = [_surface(texts.slice(at, TOGETHER)) for at in range(0, len(texts), TOGETHER)]
+    return np.concatenate([np.zeros((0, 15)), *parts])
+
+
+def _surface(texts: pa.Array) -> np.ndarray:
     data, offsets = text_buffer(texts)
     n, sizes = len(texts), np.diff(offsets)
     kind = _CLASS[data]
@@ -57,7 +64,6 @@ def surface(texts: pa.Array) -> np.ndarray:
     same[1:] = (hashes[1:] == hashes[:-1]) & (owner[1:] == owner[:-1])
     signs = np.concatenate([[0], np.cumsum(kind == _SIGN)])
     marked = signs[stops] > signs[starts]
-    distinct = np.bincount(_distinct_owner(owner, hashes), minlength=n)
     size, some = np.maximum(sizes, 1), np.maximum(words, 1)
     letters = counts[:, _LOWER] + counts[:, _UPPER]
     upper = counts[:, _UPPER] / np.maximum(letters, 1)
@@ -65,18 +71,15 @@ def surface(texts: pa.Array) -> np.ndarray:
     repeats = np.bincount(owner[same], minlength=n) / some
     return np.column_stack([
         np.log1p(sizes), letters / size, upper, counts[:, _DIGIT] / size, counts[:, _POINT] / size, sign,
-        letters / some, marks, repeats, np.log1p(distinct) / np.log1p(some),
+        letters / some, marks, repeats, np.log1p(_distinct_words(owner, hashes, n)) / np.log1p(some),
         np.sqrt(upper), np.sqrt(sign), np.sqrt(marks), np.sqrt(repeats), words == 0,
     ])
 
 
-def _distinct_owner(owner: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """The owner of each distinct (owner, hash)."""
-    order = np.lexsort((hashes, owner))
-    o, h = owner[order], hashes[order]
-    fresh = np.ones(len(o), bool)
-    fresh[1:] = (o[1:] != o[:-1]) | (h[1:] != h[:-1])
-    return o[fresh]
+def _distinct_words(owner: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
+    """Distinct words of each of at most 65536 texts (48 bits of a hash tell words apart)."""
+    keys = distinct(owner.astype(np.uint64) << np.uint64(48) | hashes >> np.uint64(16))
+    return np.bincount((keys >> np.uint64(48)).astype(np.int64), minlength=n)
 
 
 @dataclass
@@ -131,24 +134,26 @@ def fit_evidence(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
 
 def with_evidence(docs: DataFrame, model: Evidence, text: str = "text", good: str = "good") -> DataFrame:
     """``docs`` with the document's own probability of being good."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [c for c in docs.columns if c != good]
     at = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shared.value.good(batch.column(at)))], [*names, good])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.good(batch.column(at)))], [*names, good])
 
     kept = docs.select(*[F.col(f"`{c}`") for c in names])
     return kept.mapInArrow(run, kept.withColumn(good, F.lit(0.0)).schema)
 
 
-def _strength(mean: Column, rate: Column, n: Column) -> Column:
-    """Aggregate: beta prior strength whose spread is the spread of group rates beyond that of sampling."""
-    between = F.sum(n * (rate - mean) * (rate - mean)) / F.sum(n)
-    sampling = F.max(mean * (1 - mean)) * F.count("*") / F.sum(n)
-    var = F.greatest(between - sampling, F.lit(1e-6))
-    return F.least(F.greatest(F.max(mean * (1 - mean)) / var - 1, F.lit(1.0)), F.lit(1e6))
+def _prior_strength(groups: DataFrame, mean: Column) -> float:
+    """Beta prior strength whose spread is the spread of group rates beyond that of sampling; ``groups`` has n and total."""
+    rate = F.col("total") / F.col("n")
+    row = groups.agg(
+        (F.sum(F.col("n") * (rate - mean) * (rate - mean)) / F.sum("n")).alias("between"), F.max(mean * (1 - mean)).alias("most"),
+        (F.count("*") / F.sum("n")).alias("share")).first()
+    if row["most"] is None:
+        return 1.0
+    return min(max(row["most"] / max(row["between"] - row["most"] * row["share"], 1e-6) - 1, 1.0), 1e6)
 
 
 def site_posteriors(evidence: DataFrame) -> DataFrame:
@@ -156,18 +161,15 @@ def site_posteriors(evidence: DataFrame) -> DataFrame:
 
     ``prior`` is the host's posterior mean, itself shrunk to the global ``rate``;
     ``strength`` is how many documents the prior weighs. Groups with null keys are kept.
+    Only the global rate and the two strengths reach the driver.
     """
-    paths = evidence.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("good").alias("total"))
-    hosts = paths.groupBy("host").agg(F.sum("n").alias("host_n"), F.sum("total").alias("host_total"))
-    world = hosts.agg((F.sum("host_total") / F.sum("host_n")).alias("rate"))
-    spread = hosts.join(F.broadcast(world)).agg(
-        F.max("rate").alias("rate"), _strength(F.col("rate"), F.col("host_total") / F.col("host_n"), F.col("host_n")).alias("host_strength"))
-    # Both broadcasts are one row.
-    hosts = hosts.join(F.broadcast(spread)).select(
-        "host", "rate", ((F.col("host_strength") * F.col("rate") + F.col("host_total")) / (F.col("host_strength") + F.col("host_n"))).alias("prior"))
-    joined = paths.join(hosts.withColumnRenamed("host", "__host"), F.col("host").eqNullSafe(F.col("__host"))).drop("__host")
-    strength = joined.agg(_strength(F.col("prior"), F.col("total") / F.col("n"), F.col("n")).alias("strength"))
-    return joined.join(F.broadcast(strength))
+    paths = stored(evidence.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("good").alias("total")), "quality-paths")
+    hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    rate = F.lit(hosts.agg(F.sum("total") / F.sum("n")).first()[0]).cast("double")
+    weight = _prior_strength(hosts, rate)
+    hosts = hosts.select(F.col("host").alias("__host"), ((weight * rate + F.col("total")) / (weight + F.col("n"))).alias("prior"))
+    joined = stored(paths.join(hosts, F.col("host").eqNullSafe(F.col("__host"))).drop("__host"), "quality-priors")
+    return joined.select("*", F.lit(_prior_strength(joined, F.col("prior"))).alias("strength"), rate.alias("rate"))
 
 
 def classify(docs: DataFrame, model: Evidence, host: Column, path: Column, text: str = "text") -> DataFrame:
