@@ -1,5 +1,6 @@
 """Exact top-k by inner product with norm buckets.
 
+Of equal vectors the k + 1 smallest ids stay candidates: no other can be in a result.
 Candidates are range-split by length into buckets of at most ``BUCKET`` vectors, longest
 first. Queries travel in blocks of at most ``QUERIES``. Each query's k best of the first
 buckets give a score that the k-th best cannot fall below. With it:
@@ -155,7 +156,10 @@ def _take(out_q, out_p, out_s, queries, rows, scores, q_ids, ids, k, floor) -> N
 def top_inner(vectors: DataFrame, queries: Column, k: int, key: str = "vec_id", vector: str = "embedding", scale: int = 64) -> DataFrame:
     """(query_id, rank, vec_id, score): the k largest products of each query row with all other rows."""
     spark = vectors.sparkSession
-    points = quantised(vectors, key, vector, scale)
+    # Of equal vectors only the k + 1 smallest ids can be among any query's k best. Spark limits each
+    # group inside its tasks before the shuffle, so a very common vector is no hot group.
+    order = F.dense_rank().over(Window.partitionBy("v").orderBy("id"))
+    points = quantised(vectors, key, vector, scale).withColumn("nth", order).where(F.col("nth") <= k + 1).drop("nth")
     probes = stored(blocks(points, BUCKET), "norm-buckets")
     asked = stored(blocks(quantised(vectors.where(queries), key, vector, scale), QUERIES), "query-blocks")
     # One number and one length for each bucket of BUCKET vectors.
