@@ -41,7 +41,7 @@ from stratamart.llm.registry import query
 WORDS = 4
 PERCENT = 85
 #: Documents of a chunk: bounds the memory of a task.
-CHUNK_DOCS = 4096
+CHUNK_DOCS = 2048
 #: Rounds with leaders before the exact rest; they only save work.
 LEADER_ROUNDS = 2
 #: Prefixes of up to so many shared shingles travel with each of their entries. Pairs of longer ones are met at
