@@ -59,3 +59,28 @@ def test_pruning_keeps_the_best():
         mine = i == n
         order = np.lexsort((j[mine], -s[mine]))
         assert j[mine][order].tolist() == want.tolist()
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_large_components(spark, monkeypatch, kind):
+    """Components of 1e6 and more take part, and scores beyond 2**53 are exact to the last unit."""
+    monkeypatch.setattr(T, "BUCKET", 32)
+    monkeypatch.setattr(T, "QUERIES", 8)
+    dice = random.Random(5)
+    rows = [(i, [dice.gauss(0, 0.3) for _ in range(8)]) for i in range(150)]
+    rows += [(200 + i, [dice.gauss(0, 1) * 10 ** dice.uniform(4, 7) for _ in range(8)]) for i in range(150)]
+    rows += [(400 + i, [float(2**20)] * 8) for i in range(30)]
+    # Products that differ by less than doubles of their size can hold.
+    rows += [(500 + i, [1e7] * 7 + [1e7 + dice.randint(-9, 9) / 64]) for i in range(60)]
+    frame = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>").repartition(3)
+    rows = [(r.vec_id, r.embedding) for r in frame.collect()]
+    got = sorted(map(tuple, T.top_inner(frame, F.col("vec_id") % 20 == 0, 20).collect()))
+    assert got == brute(rows, 20, 20)
+    assert any(abs(s) > 2**53 for *_, s in got)
+
+
+def test_scores_beyond_64_bits_stop(spark):
+    frame = spark.createDataFrame([(0, [1e300, 0.0]), (1, [0.0, 1.0]), (20, [0.0, 3.0])], "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, T.top_inner(frame, F.col("vec_id") == 0, 2).collect())) == [(0, 1, 1, 0), (0, 2, 20, 0)]
+    with pytest.raises(Exception, match="does not fit a 64-bit integer"):
+        T.top_inner(frame.union(frame.selectExpr("vec_id + 2", "embedding")), F.col("vec_id") == 0, 2).collect()
