@@ -9,6 +9,9 @@ a block meets a template through a shared prefix word if it is long enough (leng
 filter) and if the words on both sides of the shared one can still add up to t
 (positional filter). What is left is verified by intersection.
 
+The query, its SQL and ``scan`` define a block as a line. ``notices`` finds wrapped notices too,
+in runs of about the template's length, and keeps apart templates that share most words.
+
 Beside it, fixed phrases are counted where their words stand consecutively.
 
 Everything is DataFrame operations. Null and empty texts have no words. Texts are
@@ -199,6 +202,74 @@ def scan(docs: DataFrame, keys: list[str], text: str = "text", phrases: dict[str
         F.array_join(F.array_sort(F.array_union(parts["base"], own)), ",").alias("labels"), score.alias("score"))
 
 
+#: Words that must stand one after the other in a notice of the label: what sets it apart from the others.
+DISTINGUISHING = {
+    "apache-2.0": ("apache license", "2 0"),
+    "gpl-3.0": ("gnu general public license", "version 3"),
+    "gpl-2.0": ("gnu general public license", "version 2"),
+    "lgpl": ("gnu lesser general public license",),
+    "agpl-3.0": ("gnu affero general public license", "version 3"),
+    "mit-notice": ("mit license",),
+    "cc-by-nc-4.0": ("by nc 4 0",),
+    "cc-by-sa-4.0": ("by sa 4 0",),
+    "cc-by-4.0": ("by 4 0",),
+    "bsd": ("redistribution and use",),
+    "mit-grant": ("free of charge",),
+    "isc-grant": ("permission to use", "or without fee"),
+    "mpl-2.0": ("mozilla public license", "2 0"),
+    "public-domain": ("public domain",),
+}
+#: Words that may be added inside a notice.
+ADDED = 2
+
+
+def notices(docs: DataFrame, keys: list[str], text: str = "text", templates: tuple[Template, ...] = TEMPLATES,
+            distinguishing: dict[str, tuple[str, ...]] = DISTINGUISHING) -> DataFrame:
+    """keys, template and containment (the largest) of the notices in every text, across line breaks.
+
+    A block is a run of as many words as the template has, and ``ADDED`` more, around a place of
+    one of its prefix words. It must hold ``CONTAINMENT`` of the template's distinct words and
+    the label's distinguishing words. Texts without a notice have no row.
+    """
+    index = TemplateIndex.build(templates, word_frequencies(docs, sorted({w for t in templates for w in t.words}), text))
+    prefix = index.prefix_words() or [""]
+    width = {t.label: len(re.findall(WORD, t.text.lower())) + ADDED for t in templates}
+    reach = max(width.values(), default=1) - 1
+    names = {n: w for w, n in index.numbers.items()}
+    strings = lambda words: F.array(*map(F.lit, words)).cast("array<string>")
+    entries = [
+        F.struct(F.lit(names[n]).alias("word"), F.lit(label).alias("template"), strings([names[x] for x in words]).alias("t_words"),
+                 F.lit(needed).alias("needed"), F.lit(width[label]).alias("width"), strings(distinguishing.get(label, ())).alias("must"))
+        for label, words, needed in index.rows for n in words[:len(words) - needed + 1]
+    ]
+    named = [F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)]
+    order = [f"k{i}" for i in range(len(keys))]
+    body = lowered(docs, text)
+    may = F.lit(False)
+    for word in prefix:
+        may = may | F.contains(body, F.lit(word))
+    worded = docs.where(may).select(*named, F.xxhash64(F.col(f"`{text}`").cast("string")).alias("mark"), words_of(body).alias("words"))
+    at = F.filter(F.transform("words", lambda w, i: F.when(F.array_contains(strings(prefix), w), i)), lambda i: i.isNotNull())
+    # The words around each place are cut out before the rows multiply: a place's row is of bounded size.
+    around = F.transform(at, lambda i: F.struct(
+        F.get("words", i).alias("word"), F.least(i, F.lit(reach)).alias("centre"),
+        F.slice("words", F.greatest(i - reach, F.lit(0)) + 1, F.least(i, F.lit(reach)) + reach + 1).alias("near")))
+    places = worded.select(*order, "mark", F.inline(around))
+    # A row for each prefix word of the given templates: a bounded broadcast.
+    met = places.join(F.broadcast(docs.sparkSession.range(1).select(F.inline(F.array(*entries)))), "word")
+
+    def common(start: Column) -> Column:
+        block = F.slice("near", start + 1, F.col("width"))
+        line = F.concat(F.lit(" "), F.array_join(block, " "), F.lit(" "))
+        whole = F.forall("must", lambda m: F.contains(line, F.concat(F.lit(" "), m, F.lit(" "))))
+        return F.when(whole, F.size(F.array_intersect(block, F.col("t_words")))).otherwise(0)
+
+    starts = F.sequence(F.greatest(F.col("centre") - F.col("width") + 1, F.lit(0)), F.col("centre"))
+    met = met.withColumn("common", F.array_max(F.transform(starts, common))).where(F.col("common") >= F.col("needed"))
+    found = met.groupBy(*order, "mark", "template").agg(F.max(F.col("common") / F.size("t_words")).alias("containment"))
+    return found.select(*[F.col(c).alias(k) for c, k in zip(order, keys)], "template", "containment")
+
+
 def _sql(phrases: dict[str, str], templates: tuple[Template, ...]) -> str:
     """The same result by comparing every line with every template."""
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

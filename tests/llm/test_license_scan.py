@@ -80,3 +80,32 @@ def test_query_equals_brute_force(spark):
     folder = "/root/testdata/sf0.001"
     want = sorted((r.doc_id, *brute(r.text, S.TEMPLATES)) for r in spark.read.parquet(f"{folder}/documents.parquet").collect())
     assert sorted(map(tuple, S.op10_license_scan(spark, folder).collect())) == want
+
+
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:"""
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files, to deal"""
+ISC = """ * Permission to use, copy, modify, and/or distribute this software for any
+ * purpose with or without fee is hereby granted, provided that the above"""
+
+
+@pytest.mark.parametrize("text,want", [
+    (BSD, ["bsd"]), (MIT, ["mit-grant"]), (ISC, ["isc-grant"]), ("x y\n" * 50 + BSD + "\r\n\r\n" + MIT, ["bsd", "mit-grant"]),
+    ("This work is licensed under the GNU General Public License, version 3.", ["gpl-3.0"]),
+    ("licensed under the GNU General\nPublic License, version 2", ["gpl-2.0"]),
+    ("licensed under the GNU Lesser General Public License, version 3", ["lgpl"]),
+    ("licensed under the GNU Affero General Public License, version 3", ["agpl-3.0"]),
+    ("Licensed under CC BY-NC 4.0.", ["cc-by-nc-4.0"]), ("Licensed under CC BY-SA 4.0", ["cc-by-sa-4.0"]), ("Licensed under CC BY 4.0", ["cc-by-4.0"]),
+    ("Released under the BSD License", []), ("Released under the MIT License", ["mit-notice"]),
+    ("released " + "word " * 40 + "under " + "word " * 40 + "the license " + "word " * 40 + "mit", []),
+    ("", []), (None, []),
+])
+def test_one_notice_one_label(spark, text, want):
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert sorted(r.template for r in S.notices(docs, ["doc_id"]).collect()) == want
+
+
+def test_every_template_is_its_own_notice(spark):
+    docs = spark.createDataFrame([(t.label, t.text) for t in S.TEMPLATES], "doc_id string, text string")
+    assert sorted(map(tuple, S.notices(docs, ["doc_id"]).collect())) == sorted((t.label, t.label, 1.0) for t in S.TEMPLATES)
