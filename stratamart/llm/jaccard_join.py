@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratamart.llm.common import distinct, drop_stored, mix64, parts_for, stored, table, text_buffer, word_hashes, word_spans
+from stratamart.llm.common import distinct, drop_stored, mix64, own_names, parts_for, stored, table, text_buffer, word_hashes, word_spans
 from stratamart.llm.components import components
 from stratamart.llm.registry import query
 
@@ -342,12 +342,59 @@ def similarity_components(docs: DataFrame, key: str = "doc_id", text: str = "tex
     return joined.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
+def _with_marks(docs: DataFrame, words: int, name: str) -> DataFrame:
+    columns = docs.columns
+    at = columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 1000):
+                batch = whole.slice(start, 1000)
+                marks = [_mark(s) for s in shingle_sets(batch.column(at), words)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(marks, pa.binary())], [*columns, name])
+
+    return docs.mapInArrow(run, docs.withColumn(name, F.lit(b"")).schema)
+
+
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """One row of each component: the one of the smallest doc_id. Rows with null ids stay; columns unchanged."""
-    kept = similarity_components(docs, words=words, percent=percent).where("doc_id = component_id").select("doc_id").distinct()
-    kept = stored(kept, "kept-documents")
-    chosen = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return chosen.unionByName(docs.where(F.col("doc_id").isNull())).select(*[f"`{c}`" for c in docs.columns])
+    """One row of each component of sets: the one of the smallest doc_id, then of the smallest text.
+
+    Sets are the nodes here, so rows of one doc_id whose texts do not link stay apart. Wordless rows
+    of one doc_id are one. Rows with null ids stay; columns unchanged.
+    """
+    chunks = parts_for(docs.count(), CHUNK_DOCS)
+    seen = first_pass(docs, "doc_id", "text", words)
+    nodes = stored(prefixed(seen.where(F.col("text").isNotNull()), chunks, words, percent), "jaccard-prefixes")
+    rows = stored(seen.select("id", "mark", "n").where("id is not null"), "jaccard-rows")
+    # Several sets can share their smallest id, so each has a number of its own; written once, as numbers may not change.
+    sets = rows.where("n > 0").groupBy("mark").agg(F.min("id").alias("id"))
+    sets = stored(sets.withColumn("node", F.monotonically_increasing_id()), "kept-sets")
+    named = stored(nodes.join(sets.select("mark", "node"), "mark"), "jaccard-nodes")
+    drop_stored(nodes)
+    comps = components(links_between(named, percent))
+    drop_stored(named)
+    placed = sets.join(comps, "node", "left").select("mark", "id", F.coalesce("component", "node").alias("component"))
+    placed = stored(placed, "kept-placed")
+    first = placed.groupBy("component").agg(F.min("id").alias("id"))
+    # The sets that hold their component's smallest id; wordless rows have no component.
+    chosen = placed.join(first, ["component", "id"]).select("id", "mark", "component")
+    empty = rows.where("n = 0").select("id", "mark", F.lit(None).cast("long").alias("component")).distinct()
+    kept = stored(chosen.unionByName(empty), "kept-documents")
+    repeated = stored(rows.groupBy("id").count().where("count > 1").select(F.col("id").alias("doc_id")), "repeated-ids")
+    single = docs.join(kept.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+    out = docs.where(F.col("doc_id").isNull()).select(*[f"`{c}`" for c in docs.columns])
+    if repeated.isEmpty():
+        return single.select(*[f"`{c}`" for c in docs.columns]).unionByName(out)
+    single = single.join(repeated, "doc_id", "left_anti")
+    # Rows of an id that occurs more than once: each is told by its set, ties by its text.
+    mark, group, least = own_names(docs, "mark", "group", "least")
+    several = _with_marks(docs.join(repeated, "doc_id", "left_semi").select(*[f"`{c}`" for c in docs.columns]), words, mark)
+    several = several.join(kept.select(F.col("id").alias("doc_id"), F.col("mark").alias(mark), F.col("component").alias(group)), ["doc_id", mark])
+    several = stored(several.withColumn(group, F.coalesce(F.col(group), F.lit(-1))), "kept-several")
+    body = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    smallest = several.groupBy("doc_id", group).agg(F.min(body).alias(least))
+    several = several.join(smallest, ["doc_id", group]).where(body == F.col(least)).dropDuplicates(["doc_id", group])
+    return single.select(*[f"`{c}`" for c in docs.columns]).unionByName(several.select(*[f"`{c}`" for c in docs.columns])).unionByName(out)
 
 
 SQL = r"""

@@ -88,6 +88,19 @@ def test_keep_one(spark):
     assert got.count(None) == 2
 
 
+def test_keep_one_with_an_id_of_two_texts(spark):
+    dice = random.Random(9)
+    one, two, three = (" ".join(f"{c}{dice.randrange(10**6)}" for _ in range(40)) for c in "abc")
+    rows = [(5, one), (5, two), (5, two), (1, one + " more"), (7, two + " more"), (9, three), (9, three.upper()), (9, three + " x"),
+            (11, ""), (11, None), (11, three + " y"), (3, None), (2, "alone"), (2, "another")]
+    docs = spark.createDataFrame([(d, t, "x") for d, t in rows], "doc_id long, text string, mark string").repartition(3)
+    kept = J.keep_one(docs)
+    assert kept.columns == docs.columns
+    # ``one`` links to id 1, ``two`` to no smaller id than its own; of 9 the smallest text stays.
+    assert sorted((r.doc_id, r.text or "") for r in kept.collect()) == sorted(
+        [(1, one + " more"), (5, two), (9, three.upper()), (11, ""), (3, ""), (2, "alone"), (2, "another")])
+
+
 def test_packed_numbers():
     values = np.unique(np.random.default_rng(3).integers(0, 2**63, 1000, np.uint64))
     assert (J.unpack_sorted(J.pack_sorted(values)) == values).all()
