@@ -2,6 +2,7 @@
 
 from stratamart.llm import (  # noqa: F401
     byte_bpe,
+    filter_audit,
     fingerprints,
     jaccard_join,
     language_id,
