@@ -118,7 +118,7 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray):
     starts = np.flatnonzero(begins)
     stops = np.flatnonzero(ends)
     if len(cuts):
-        starts, stops = np.union1d(starts, cuts), np.union1d(stops, cuts)
+        starts, stops = np.sort(np.concatenate([starts, cuts])), np.sort(np.concatenate([stops, cuts]))
     return starts, stops, np.searchsorted(offsets, starts, side="right") - 1
 
 

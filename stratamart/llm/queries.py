@@ -9,6 +9,7 @@ from stratamart.llm import (  # noqa: F401
     license_scan,
     packing,
     quality,
+    secret_scan,
     token_alignment,
     top_inner,
     toxicity,
