@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratamart.llm.common import stored, table
+from stratamart.llm.common import stored, table, text_buffer
 from stratamart.llm.registry import query
 
 #: Bytes of one range; longer texts are cut.
@@ -47,11 +47,13 @@ RANGE = 1 << 15
 #: Fragments composed by one node of the tree.
 FAN = 16
 #: A worker forgets its pieces beyond so many (memory only).
-REMEMBERED = 300_000
+REMEMBERED = 120_000
 #: Pairs held by the documents of one block, about.
-BLOCK_PAIRS = 1 << 21
+BLOCK_PAIRS = 1 << 20
 #: Bytes of text a task aligns at once, about.
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 19
+#: Pieces handed to the tokenizers at once.
+ENCODED = 4096
 #: Pairs are numbered a * B_IDS + b; both vocabularies are smaller than this allows.
 B_IDS = 32_000
 
@@ -148,7 +150,7 @@ class Fragment:
     suffix: tuple[np.ndarray, np.ndarray] = (NO_IDS, NO_IDS)
 
 
-#: The start of a text is a common end.
+#: The start of a text is a common end, and so is its end.
 START = Fragment(cut=True)
 
 
@@ -237,8 +239,11 @@ class Aligner:
 
     def encode(self, pieces: list[str]):
         """Ids of each piece (each begins with a space) by A and B, and whether both give its bytes back."""
-        a = [e.ids for e in self.a.encode_batch_fast(pieces, add_special_tokens=False)]
-        b = [ids or self.space for ids in self.b.encode([p[1:] for p in pieces], num_threads=1)]
+        a, b = [], []
+        for at in range(0, len(pieces), ENCODED):
+            part = pieces[at:at + ENCODED]
+            a += [e.ids for e in self.a.encode_batch_fast(part, add_special_tokens=False)]
+            b += [ids or self.space for ids in self.b.encode([p[1:] for p in part], num_threads=1)]
         raw = [p.encode() for p in pieces]
         a_of, b_of = self.a_bytes.__getitem__, self.b_bytes.__getitem__
         ok = np.array([b"".join(map(a_of, i)) == r == b"".join(map(b_of, j)) for i, j, r in zip(a, b, raw)], bool)
@@ -277,22 +282,39 @@ class Aligner:
         self.ok = np.concatenate([self.ok, ok])
         self.texts += texts
 
-    def align(self, texts: list[str | None]) -> Iterator[tuple]:
-        """(n_a, n_b, n_groups, n_links, groups, codes, times) of each whole text: its pieces' closed fragments, composed at once."""
+    def runs(self, texts: list[list[str]]) -> Iterator[Fragment]:
+        """The closed fragment of each list of whole pieces: it begins and ends at common ends."""
         if len(self.numbers) > REMEMBERED:
             self._forget()
         number = self.numbers.__getitem__
-        rows = [np.array([number(p) for p in CUT.split(" " + t)] if t else [], np.int64) for t in texts]
+        rows = [np.array([number(p) for p in pieces], np.int64) for pieces in texts]
         self._learn()
         for row in rows:
             if not len(row) or not self.ok[row].all():
-                yield 0, 0, 0, 0, "", NO_IDS, NO_IDS
+                yield Fragment(not len(row), True)
                 continue
             sizes = self.begin[row + 1] - self.begin[row]
             ends = np.cumsum(sizes)
             at = np.repeat(self.begin[row] - ends + sizes, sizes) + np.arange(int(ends[-1]))
             text = ";".join(map(self.texts.__getitem__, row.tolist()))
-            yield *self.counts[:, row].sum(axis=1).tolist(), text, *summed(self.codes[at], self.times[at])
+            yield Fragment(True, True, *self.counts[:, row].sum(axis=1).tolist(), [text], *summed(self.codes[at], self.times[at]))
+
+    def part(self, piece: str, low: int, high: int) -> Fragment:
+        """The fragment of a byte range inside one piece."""
+        tokens, ok = self.tokens(piece)
+        return fragment(tokens.between(low, high), ok) if ok else Fragment(False)
+
+    def range(self, text: str, low: int, high: int) -> Fragment:
+        """The fragment of bytes ``low`` to ``high`` of some whole pieces, of which it touches all."""
+        pieces = CUT.split(text)
+        sizes = [len(p.encode()) for p in pieces]
+        last = sum(sizes[:-1])
+        if len(pieces) == 1:
+            return self.part(text, low, high)
+        first = [self.part(pieces[0], low, sizes[0])] if low else []
+        tail = [self.part(pieces[-1], 0, high - last)] if high < last + sizes[-1] else []
+        whole = pieces[1 if first else 0:len(pieces) - len(tail)]
+        return reduce(compose, [*first, *self.runs([whole]), *tail])
 
 
 # --- packed numbers ----------------------------------------------------------
@@ -364,8 +386,7 @@ def _long_texts(docs: DataFrame, models: tuple[str, bytes], size: int) -> DataFr
         for batch in batches:
             for r in batch.to_pylist():
                 aligner = aligner or Aligner(*models)
-                tokens, ok = aligner.tokens(r["pieces"])
-                yield _record(FRAGMENT, [(r["row"], r["no"], *_fragment_row(fragment(tokens.between(r["low"], r["high"]) if ok else Tokens(*[NO_IDS] * 4), ok)))])
+                yield _record(FRAGMENT, [(r["row"], r["no"], *_fragment_row(aligner.range(r["pieces"], r["low"], r["high"])))])
 
     def node(group: pa.Table) -> pa.Table:
         found = sorted(group.to_pylist(), key=lambda r: r["no"])
@@ -383,18 +404,20 @@ def _long_texts(docs: DataFrame, models: tuple[str, bytes], size: int) -> DataFr
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                x = compose(compose(START, _row_fragment(r)), START)
-                fields = (x.n_a, x.n_b, x.n_groups, x.n_links, ";".join(x.texts), pack(x.codes), pack(x.times))
-                yield _record("row long, " + ALIGNED, [(r["row"], *(fields if x.ok else NOTHING))])
+                yield _record("row long, " + ALIGNED, [(r["row"], *aligned_row(compose(compose(START, _row_fragment(r)), START)))])
 
     return numbered.select("row", "k").join(fragments.mapInArrow(finish, "row long, " + ALIGNED), "row").drop("row")
 
 
 ALIGNED = "n_a long, n_b long, n_groups long, n_links long, groups string, codes binary, times binary"
-NOTHING = (0, 0, 0, 0, "", b"", b"")
 _ARROW = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary()}
 
 
+def aligned_row(x: Fragment) -> tuple:
+    """A whole text's fields; zeros where a tokenizer does not give it back."""
+    return (x.n_a, x.n_b, x.n_groups, x.n_links, ";".join(x.texts), pack(x.codes), pack(x.times)) if x.ok else (0, 0, 0, 0, "", b"", b"")
+
+
 def _record(schema: str, rows: list[tuple]) -> pa.RecordBatch:
     names, types = zip(*(f.split() for f in schema.split(", ")))
     return pa.RecordBatch.from_arrays([pa.array(c, _ARROW[t]) for c, t in zip(zip(*rows), types)], list(names))
@@ -402,12 +425,12 @@ def _record(schema: str, rows: list[tuple]) -> pa.RecordBatch:
 
 def _slices(batch: pa.RecordBatch, column: int) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Parts of a batch of about ``BATCH_BYTES`` of text."""
-    texts, begin, size = batch.column(column).to_pylist(), 0, 0
-    for i, text in enumerate(texts):
-        size += len(text or "")
-        if size >= BATCH_BYTES or i == len(texts) - 1:
-            yield batch.slice(begin, i + 1 - begin), texts[begin:i + 1]
-            begin, size = i + 1, 0
+    begin, ends = 0, text_buffer(batch.column(column))[1]
+    while begin < batch.num_rows:
+        end = max(begin + 1, int(np.searchsorted(ends, ends[begin] + BATCH_BYTES, "right")) - 1)
+        part = batch.slice(begin, end - begin)
+        yield part, part.column(column).to_pylist()
+        begin = end
 
 
 def align(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text: str = "text", digest: bool = False, size: int = RANGE) -> DataFrame:
@@ -423,7 +446,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text:
         for batch in batches:
             for part, texts in _slices(batch, 1):
                 aligner = aligner or Aligner(*models)
-                rows = [(*r[:5], pack(r[5]), pack(r[6])) for r in aligner.align(texts)]
+                rows = [aligned_row(x) for x in aligner.runs([CUT.split(" " + t) if t else [] for t in texts])]
                 if digest:
                     rows = [(*r[:4], hashlib.sha256(r[4].encode()).hexdigest() if r[4] else "", *r[5:]) for r in rows]
                 record = _record(ALIGNED, rows)
