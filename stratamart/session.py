@@ -65,23 +65,42 @@ def child_names(spark: SparkSession, folder: str) -> list[str]:
 _SCRATCH: dict[str, list[str]] = {}
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh path that ``release_pinned`` deletes."""
+    path = new_path(spark, label)
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def scratch_paths(spark: SparkSession) -> list[str]:
+    """What ``release_pinned`` would delete now."""
+    return list(_SCRATCH.get(spark.sparkContext.applicationId, []))
+
+
+def delete_scratch(spark: SparkSession, paths: list[str]) -> None:
+    """Delete written intermediates that nothing reads any more."""
+    held = _SCRATCH.get(spark.sparkContext.applicationId, [])
+    for folder in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        if folder in held:
+            held.remove(folder)
+
+
 def pinned(df: DataFrame, label: str) -> DataFrame:
     """Write a frame once and read it back, for plans that read it several times.
 
     The rows stay until ``release_pinned``, because the frame is still lazy here.
     """
     spark = df.sparkSession
-    path = new_path(spark, label)
+    path = scratch_path(spark, label)
     df.write.parquet(path)
-    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def release_pinned(spark: SparkSession) -> None:
-    """Delete everything ``pinned`` wrote in this application; call it once the results are stored."""
-    for folder in _SCRATCH.pop(spark.sparkContext.applicationId, []):
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    """Delete every scratch path of this application; call it once the results are stored."""
+    delete_scratch(spark, scratch_paths(spark))
 
 
 def new_database(spark: SparkSession, label: str) -> str:
