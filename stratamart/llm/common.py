@@ -2,36 +2,42 @@
 
 from __future__ import annotations
 
-import contextlib
 import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from stratamart.session import new_path
+from stratamart.session import delete_scratch, scratch_path
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write once to the shared folder and read back: cuts the lineage, survives lost executors."""
-    path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def stored(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
+    """Write once to the shared folder and read back: cuts the lineage, survives lost executors.
+
+    The files stay until ``drop_stored`` or the session's ``release_pinned``.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.option("compression", codec).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def stored_with(df: DataFrame, label: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``stored``, and aggregates over its rows that are observed while it is written."""
+    watch = Observation()
+    out = stored(df.observe(watch, *[m.alias(name) for name, m in metrics.items()]), label)
+    return out, watch.get
 
 
 def drop_stored(df: DataFrame) -> None:
-    """Delete the files behind ``stored`` frames that nothing reads any more."""
-    spark = df.sparkSession
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    with contextlib.suppress(Exception):
-        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            path = hadoop.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    """Delete the files of a ``stored`` frame that nothing reads any more."""
+    delete_scratch(df.sparkSession, [df.scratch])
 
 
 def own_names(df: DataFrame, *names: str) -> list[str]:
@@ -118,6 +124,7 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray):
     starts = np.flatnonzero(begins)
     stops = np.flatnonzero(ends)
     if len(cuts):
+        cuts = distinct(cuts)  # empty documents repeat an offset
         starts, stops = np.sort(np.concatenate([starts, cuts])), np.sort(np.concatenate([stops, cuts]))
     return starts, stops, np.searchsorted(offsets, starts, side="right") - 1
 

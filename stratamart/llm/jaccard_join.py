@@ -35,13 +35,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratamart.llm.common import distinct, drop_stored, mix64, own_names, parts_for, stored, table, text_buffer, word_hashes, word_spans
-from stratamart.llm.components import components
+from stratamart.llm.components import merged
 from stratamart.llm.registry import query
 
 WORDS = 4
 PERCENT = 85
-#: Documents of a chunk: bounds the memory of a task.
+#: Documents and shingles of a chunk: bound the memory of a task, for short texts and for long ones.
 CHUNK_DOCS = 2048
+CHUNK_SHINGLES = 1 << 21
 #: Rounds with leaders before the exact rest; they only save work.
 LEADER_ROUNDS = 2
 #: Prefixes of up to so many shared shingles travel with each of their entries. Pairs of longer ones are met at
@@ -278,14 +279,14 @@ def _leader_pairs(index: DataFrame, percent: int) -> DataFrame:
     return first.select("grp", "other").unionByName(second.select("grp", "other")).distinct()
 
 
-def links_between(nodes: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of node ids: links whose components are those of all links. ``nodes`` has the columns of ``prefixed`` and ``node``."""
-    ids = nodes.select("mark", "node")
-    heads = nodes.groupBy("grp").agg(F.min(F.hex("mark")).alias("head"), F.max("n").alias("n")).select("grp", F.unhex("head").alias("head"), "n")
-    heads = stored(heads, "jaccard-groups")
+def set_components(nodes: DataFrame, ids: DataFrame, percent: int) -> DataFrame | None:
+    """(node, component) of every node that has a link. ``nodes`` has the columns of ``prefixed``, ``ids`` the (mark, node) that count."""
+    small = nodes.select("mark", "grp", "n").join(ids, "mark")
+    heads = small.groupBy("grp").agg(F.min(F.struct(F.hex("mark").alias("head"), "node")).alias("first"), F.max("n").alias("n"))
+    heads = stored(heads.select("grp", F.unhex("first.head").alias("head"), "first.node", "n"), "jaccard-groups")
     # One entry for each group and shingle: the members' prefixes are equal. Long prefixes stay behind.
     sent = F.when(F.size("tokens") <= PREFIX_SENT, F.col("tokens"))
-    index = nodes.join(heads.select("head"), nodes["mark"] == heads["head"], "left_semi").select(
+    index = nodes.join(heads.select("head", "node"), nodes["mark"] == heads["head"]).select(
         "grp", "node", "n", sent.alias("sent"), F.get("places", F.lit(0)).alias("s"), F.posexplode("tokens").alias("at", "token"), "places")
     index = stored(index.select("grp", "node", "n", "s", "sent", "token", F.get("places", F.col("at")).alias("p")), "jaccard-index")
     named = heads.select("grp", "head")
@@ -295,8 +296,8 @@ def links_between(nodes: DataFrame, percent: int) -> DataFrame:
         return links.join(left, "a").join(right, "b").select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
 
     # Linear rounds: members with the first of their group, then groups with leaders.
-    found = stored(as_nodes(verified(
-        nodes.join(heads, "grp").where(F.col("mark") != F.col("head")).select(F.col("mark").alias("a"), F.col("head").alias("b")), nodes, percent)), "jaccard-links")
+    links = as_nodes(verified(
+        small.join(heads.select("grp", "head"), "grp").where(F.col("mark") != F.col("head")).select(F.col("mark").alias("a"), F.col("head").alias("b")), nodes, percent))
     comps = None
     for _ in range(LEADER_ROUNDS):
         placed = index.select("grp", "n", "s", "token", "node")
@@ -305,11 +306,13 @@ def links_between(nodes: DataFrame, percent: int) -> DataFrame:
         outer = outer.join(named, "grp").withColumnRenamed("head", "a").join(named.select(F.col("grp").alias("other"), F.col("head").alias("b")), "other")
         swap = F.col("a") > F.col("b")
         outer = outer.select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b")).distinct()
-        found = found.unionByName(stored(as_nodes(verified(outer, nodes, percent)), "jaccard-links"))
-        comps = components(found)
+        outer = as_nodes(verified(outer, nodes, percent))
+        comps = merged(comps, outer if links is None else links.unionByName(outer))
+        links = None
 
     # The rest: entries of a shingle whose nodes lie in several components.
-    placed = nodes.select("grp", "mark", "node").join(comps, "node", "left").select("grp", "mark", F.coalesce("component", "node").alias("comp"))
+    placed = small.withColumn("comp", F.col("node")) if comps is None else small.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node"))
+    placed = placed.select("grp", "mark", "comp")
     placed = stored(placed, "jaccard-placed")
     parts = index.drop("node").join(placed.select("grp", "comp").distinct(), "grp")
     mixed = parts.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("token")
@@ -321,21 +324,34 @@ def links_between(nodes: DataFrame, percent: int) -> DataFrame:
     )
     member = lambda x, c: placed.select(F.col("grp").alias(f"grp_{x}"), F.col("comp").alias(f"comp_{x}"), F.col("mark").alias(c))
     pairs = rest.join(member("x", "a"), ["grp_x", "comp_x"]).join(member("y", "b"), ["grp_y", "comp_y"]).select("a", "b")
-    return found.unionByName(stored(as_nodes(verified(pairs, nodes, percent)), "jaccard-links"))
+    return merged(comps, as_nodes(verified(pairs, nodes, percent)))
+
+
+def _sets(docs: DataFrame, key: str, text: str, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(id, mark, n) of every row, and the nodes of ``prefixed``; every text is shingled once for both and once more in its chunk."""
+    seen = stored(first_pass(docs, key, text, words).withColumn("first", F.col("text").isNotNull()), "jaccard-first", "zstd")
+    rows = stored(seen.select("id", "mark", "n"), "jaccard-rows")
+    size = seen.where("first").agg(F.count(F.lit(1)), F.sum("n")).first()
+    chunks = max(parts_for(size[0], CHUNK_DOCS), parts_for(size[1] or 0, CHUNK_SHINGLES))
+    nodes = stored(prefixed(seen.where("first"), chunks, words, percent), "jaccard-prefixes")
+    drop_stored(seen)
+    return rows, nodes
+
+
+def _placed(sets: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """``sets`` with the component of their node."""
+    if comps is None:
+        return sets.withColumn("component", F.col("node"))
+    return sets.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
 def similarity_components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(key, n_shingles, component_id) of every row; the component is the smallest key reachable by links."""
-    chunks = parts_for(docs.count(), CHUNK_DOCS)
-    seen = first_pass(docs, key, text, words)
-    nodes = stored(prefixed(seen.where(F.col("text").isNotNull()), chunks, words, percent), "jaccard-prefixes")
-    rows = stored(seen.select("id", "mark", "n"), "jaccard-rows")
-    sets = rows.where("n > 0 and id is not null").groupBy("mark").agg(F.min("id").alias("node"))
-    named = stored(nodes.join(sets, "mark"), "jaccard-nodes")
+    rows, nodes = _sets(docs, key, text, words, percent)
+    sets = stored(rows.where("n > 0 and id is not null").groupBy("mark").agg(F.min("id").alias("node")), "jaccard-sets")
+    comps = set_components(nodes, sets, percent)
     drop_stored(nodes)
-    comps = components(links_between(named, percent))
-    drop_stored(named)
-    placed = sets.join(comps, "node", "left").select("mark", F.coalesce("component", "node").alias("component_id"))
+    placed = _placed(sets, comps).select("mark", F.col("component").alias("component_id"))
     # A hot set is split by Spark's skew join; rows without a set stand alone.
     joined = rows.join(placed, "mark", "left")
     own = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("component_id")).otherwise(F.col("id"))
@@ -362,19 +378,14 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     Sets are the nodes here, so rows of one doc_id whose texts do not link stay apart. Wordless rows
     of one doc_id are one. Rows with null ids stay; columns unchanged.
     """
-    chunks = parts_for(docs.count(), CHUNK_DOCS)
-    seen = first_pass(docs, "doc_id", "text", words)
-    nodes = stored(prefixed(seen.where(F.col("text").isNotNull()), chunks, words, percent), "jaccard-prefixes")
-    rows = stored(seen.select("id", "mark", "n").where("id is not null"), "jaccard-rows")
+    rows, nodes = _sets(docs, "doc_id", "text", words, percent)
+    rows = rows.where("id is not null")
     # Several sets can share their smallest id, so each has a number of its own; written once, as numbers may not change.
     sets = rows.where("n > 0").groupBy("mark").agg(F.min("id").alias("id"))
     sets = stored(sets.withColumn("node", F.monotonically_increasing_id()), "kept-sets")
-    named = stored(nodes.join(sets.select("mark", "node"), "mark"), "jaccard-nodes")
+    comps = set_components(nodes, sets.select("mark", "node"), percent)
     drop_stored(nodes)
-    comps = components(links_between(named, percent))
-    drop_stored(named)
-    placed = sets.join(comps, "node", "left").select("mark", "id", F.coalesce("component", "node").alias("component"))
-    placed = stored(placed, "kept-placed")
+    placed = stored(_placed(sets, comps).select("mark", "id", "component"), "kept-placed")
     first = placed.groupBy("component").agg(F.min("id").alias("id"))
     # The sets that hold their component's smallest id; wordless rows have no component.
     chosen = placed.join(first, ["component", "id"]).select("id", "mark", "component")
