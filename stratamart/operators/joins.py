@@ -13,12 +13,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratamart.operators.skew import NO_HOT_KEYS, HotKeys, replicated, salted
+from stratamart.operators.skew import NO_HOT_KEYS, HotKeys, flagged, replicated, salted
+
+_FLAGS = ("_lparts", "_rparts")
+
 
 def _on(left_key: str, right_key: str):
     return (F.col(left_key) == F.col(right_key)) & (F.col("_salt") == F.col("_rsalt"))
 
 
+def _split_join(split: DataFrame, copies: DataFrame, split_key: str, copies_key: str, parts: str, salts: int | None, how: str) -> DataFrame:
+    """Join of two flagged sides, ``split`` by the salts of its heavy keys."""
+    split = salted(split, parts, salts).drop(*_FLAGS)
+    copies = replicated(copies, parts, salts, "_rsalt").drop(*_FLAGS)
+    return split.join(copies, _on(split_key, copies_key), how).drop("_salt", "_rsalt")
+
+
 def inner_join(
     left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     hot: HotKeys = NO_HOT_KEYS, salts: int | None = None,
@@ -27,9 +37,8 @@ def inner_join(
     hot = hot.without_null()  # null keys never match and are filtered by the join
     if not hot:
         return left.join(right, F.col(left_key) == F.col(right_key))
-    split = salted(left, left_key, hot, salts)
-    copies = replicated(right, right_key, hot, salts, "_rsalt")
-    return split.join(copies, _on(left_key, right_key)).drop("_salt", "_rsalt")
+    sides = (flagged(left, left_key, _lparts=hot), flagged(right, right_key, _lparts=hot))
+    return _split_join(*sides, left_key, right_key, "_lparts", salts, "inner")
 
 
 def left_join(
@@ -47,18 +56,19 @@ def left_join(
     hot_left = hot_left - hot_right
     if not hot_left and not hot_right:
         return left.join(right, F.col(left_key) == F.col(right_key), "left")
-    rest_left = left.filter(~hot_right.holds(F.col(left_key)))
-    rest_right = right.filter(~hot_right.holds(F.col(right_key)))
-    split = salted(rest_left, left_key, hot_left, salts)
-    copies = replicated(rest_right, right_key, hot_left.without_null(), salts, "_rsalt")
-    joined = split.join(copies, _on(left_key, right_key), "left").drop("_salt", "_rsalt")
+    return _left_flagged(
+        flagged(left, left_key, _lparts=hot_left, _rparts=hot_right),
+        flagged(right, right_key, _lparts=hot_left.without_null(), _rparts=hot_right),
+        left_key, right_key, bool(hot_right), salts)
+
+
+def _left_flagged(left: DataFrame, right: DataFrame, left_key: str, right_key: str, hot_right: bool, salts: int | None) -> DataFrame:
+    """Left join of two sides flagged with the parts of keys heavy on the left (only) and on the right."""
+    rest = F.col("_rparts").isNull()
+    joined = _split_join(left.filter(rest), right.filter(rest), left_key, right_key, "_lparts", salts, "left")
     if not hot_right:
         return joined
-    heavy = inner_join(
-        right.filter(hot_right.holds(F.col(right_key))),
-        left.filter(hot_right.holds(F.col(left_key))),
-        right_key, left_key, hot_right, salts,
-    )
+    heavy = _split_join(right.filter(~rest), left.filter(~rest), right_key, left_key, "_rparts", salts, "inner")
     return joined.unionByName(heavy.select(*joined.columns))
 
 
@@ -73,22 +83,23 @@ def full_join(
     both scans. Spark cannot split a full outer join at run time; heavy keys go
     through a left join plus the right rows whose key the left side lacks.
     """
-    hot_left, hot_right = hot_left.without_null(), hot_right.without_null()
-    hot = hot_left | hot_right
+    hot_right = hot_right.without_null()
+    hot_left = hot_left.without_null() - hot_right
     some_left, some_right = left.filter(F.col(left_key).isNotNull()), right.filter(F.col(right_key).isNotNull())
-    rest_left = some_left.filter(~hot.holds(F.col(left_key))) if hot else some_left
-    rest_right = some_right.filter(~hot.holds(F.col(right_key))) if hot else some_right
-    joined = rest_left.join(rest_right, F.col(left_key) == F.col(right_key), "full")
+    if hot_left or hot_right:
+        some_left, some_right = (flagged(df, key, _lparts=hot_left, _rparts=hot_right) for df, key in ((some_left, left_key), (some_right, right_key)))
+        light = F.col("_lparts").isNull() & F.col("_rparts").isNull()
+        heavy_left, heavy_right = some_left.filter(~light), some_right.filter(~light)
+        some_left, some_right = some_left.filter(light).drop(*_FLAGS), some_right.filter(light).drop(*_FLAGS)
+    joined = some_left.join(some_right, F.col(left_key) == F.col(right_key), "full")
     joined = joined.unionByName(left.filter(F.col(left_key).isNull()), allowMissingColumns=True)
     joined = joined.unionByName(right.filter(F.col(right_key).isNull()), allowMissingColumns=True)
-    if not hot:
+    if not hot_left and not hot_right:
         return joined
-    heavy_left = left.filter(hot.holds(F.col(left_key)))
-    heavy_right = right.filter(hot.holds(F.col(right_key)))
-    matched = left_join(heavy_left, heavy_right, left_key, right_key, hot_left, hot_right, salts)
+    matched = _left_flagged(heavy_left, heavy_right, left_key, right_key, bool(hot_right), salts)
     # At most MAX_HOT_KEYS distinct keys per side.
     seen = heavy_left.select(F.col(left_key).alias("_seen")).distinct()
-    lonely = heavy_right.join(seen, F.col(right_key) == F.col("_seen"), "left_anti")
+    lonely = heavy_right.drop(*_FLAGS).join(seen, F.col(right_key) == F.col("_seen"), "left_anti")
     return joined.unionByName(matched.select(*joined.columns)).unionByName(lonely, allowMissingColumns=True)
 
 

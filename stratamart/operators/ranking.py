@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratamart.operators.skew import NO_HOT_KEYS, HotKeys
+from stratamart.operators.skew import NO_HOT_KEYS, HotKeys, flagged
 from stratamart.session import pinned
 
 
@@ -48,8 +48,9 @@ def rank_within(
     """``df`` plus the eight columns; ``hot`` keys take the range-split way."""
     if not hot:
         return _by_window(df, key, value, tie, nth, names)
-    rest = _by_window(df.filter(~hot.holds(F.col(key))), key, value, tie, nth, names)
-    heavy = _by_ranges(df.filter(hot.holds(F.col(key))), key, value, tie, nth, names, ranges)
+    split, light = flagged(df, key, _parts=hot), F.col("_parts").isNull()
+    rest = _by_window(split.filter(light).drop("_parts"), key, value, tie, nth, names)
+    heavy = _by_ranges(split.filter(~light).drop("_parts"), key, value, tie, nth, names, ranges)
     return rest.unionByName(heavy)
 
 

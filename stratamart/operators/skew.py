@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 #: A key with fewer rows than this fits one task and needs no splitting. The
 #: session setting ``spark.stratamart.minHotRows`` overrides it.
@@ -45,7 +48,8 @@ class HotKeys:
         return HotKeys(tuple(most), tuple(most.values()))
 
     def __sub__(self, other: "HotKeys") -> "HotKeys":
-        return self._only(lambda v: v not in set(other.values))
+        gone = set(other.values)
+        return self._only(lambda v: v not in gone)
 
     def without_null(self) -> "HotKeys":
         return self._only(lambda v: v is not None)
@@ -54,14 +58,13 @@ class HotKeys:
         """Number of parts of each row's key; 1 for keys that are not heavy."""
         if fixed is not None:
             return F.when(self.holds(key), fixed).otherwise(1)
-        out = F.lit(1)
-        for n in sorted(set(self._parts())):
-            same = self._only(lambda v, n=n: dict(zip(self.values, self._parts()))[v] == n)
-            out = F.when(same.holds(key), n).otherwise(out)
+        parts, out = dict(zip(self.values, self._parts())), F.lit(1)
+        for n in sorted(set(parts.values())):
+            out = F.when(self._only(lambda v, n=n: parts[v] == n).holds(key), n).otherwise(out)
         return out
 
     def holds(self, key: Column) -> Column:
-        """True or false, never null, for every row."""
+        """True or false, never null, for every row. An expression of literals: for few keys; plans use ``flagged``."""
         present = [v for v in self.values if v is not None]
         found = F.coalesce(key.isin(present), F.lit(False)) if present else F.lit(False)
         return found | key.isNull() if None in self.values else found
@@ -114,12 +117,32 @@ def salt_of(df: DataFrame, salts: Column | int) -> Column:
     return F.pmod(F.xxhash64(*content, F.spark_partition_id()), salts).cast("int")
 
 
-def salted(df: DataFrame, key: str, hot: HotKeys, salts: int | None = None, name: str = "_salt") -> DataFrame:
-    """Side that is split: heavy rows get a salt, all others 0."""
-    spread = salt_of(df, hot.salts(F.col(key), salts))
-    return df.withColumn(name, F.when(hot.holds(F.col(key)), spread).otherwise(F.lit(0)))
+def flagged(df: DataFrame, key: str, **sides: HotKeys) -> DataFrame:
+    """``df`` with one column for each of ``sides``: the number of parts of the row's key, null where it is not heavy.
 
-
-def replicated(df: DataFrame, key: str, hot: HotKeys, salts: int | None = None, name: str = "_salt") -> DataFrame:
+    The keys are data, not literals: one table of (key, parts, ...) for all sides, at most ``MAX_HOT_KEYS`` rows
+    each, is broadcast and joined once, so the plan is the same for one key and for all.
+    """
+    kind = df.schema[key].dataType
+    found: dict = {}
+    for name, hot in sides.items():
+        for value, parts in zip(hot.values, hot._parts()):
+            found.setdefault(value, {})[name] = parts
+    if not found:
+        return df.withColumns({name: F.lit(None).cast("int") for name in sides})
+    schema = StructType([StructField("_item", kind), *[StructField(name, IntegerType()) for name in sides]])
+    columns = [pa.array(list(found), to_arrow_type(kind)), *[pa.array([p.get(name) for p in found.values()], pa.int32()) for name in sides]]
+    keys = df.sparkSession.createDataFrame(pa.Table.from_arrays(columns, schema.names), schema)
+    return df.join(F.broadcast(keys), F.col(key).eqNullSafe(F.col("_item")), "left").drop("_item")
+
+
+def salted(df: DataFrame, parts: str, salts: int | None = None, name: str = "_salt") -> DataFrame:
+    """Side that is split, of a ``flagged`` frame: heavy rows get a salt, all others 0."""
+    number = F.lit(salts) if salts else F.col(parts)
+    return df.withColumn(name, F.when(F.col(parts).isNotNull(), salt_of(df, number)).otherwise(F.lit(0)))
+
+
+def replicated(df: DataFrame, parts: str, salts: int | None = None, name: str = "_salt") -> DataFrame:
     """Other side: one copy of each heavy-key row per salt of its key."""
-    return df.withColumn(name, F.explode(F.sequence(F.lit(0), hot.salts(F.col(key), salts) - 1)))
+    number = F.lit(salts) if salts else F.col(parts)
+    return df.withColumn(name, F.explode(F.sequence(F.lit(0), F.when(F.col(parts).isNotNull(), number - 1).otherwise(0))))
