@@ -10,9 +10,9 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratamart.session import new_staging_name, staged
+from stratamart.session import new_staging_name
+from stratamart.sinks.versions import HIVE_NULL, current_version, is_versioned, publish
 
-HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 #: Overwrites that depend on a session setting take turns.
 _TURNS = threading.RLock()
@@ -59,8 +59,26 @@ def refresh_table(df: DataFrame, name: str, partition_by: str | None = None) ->
             raise SwapFailed(f"{name}: the new rows are complete in {fresh}") from error
         spark.sql(f"DROP TABLE {fresh}")
     else:
-        spark.sql(f"DROP TABLE {name}")
-        spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+        _swap_in(spark, fresh, name)
+
+
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    spark.sql(f"ALTER TABLE {old} RENAME TO {new}")
+
+
+def _swap_in(spark: SparkSession, fresh: str, name: str) -> None:
+    """Put a table in place of another. The old one is dropped last, and comes back if the new one cannot take its name."""
+    aside = f"{fresh}_old"
+    _rename(spark, name, aside)
+    try:
+        _rename(spark, fresh, name)
+    except Exception as error:
+        try:
+            _rename(spark, aside, name)
+        except Exception:
+            raise SwapFailed(f"{name}: the old rows are complete in {aside}, the new ones in {fresh}") from error
+        raise SwapFailed(f"{name}: holds the old rows; the new ones are complete in {fresh}") from error
+    spark.sql(f"DROP TABLE {aside}")
 
 
 def _store(df: DataFrame, name: str, partition_by: str | None) -> None:
@@ -119,6 +137,9 @@ def reload_partition(df: DataFrame, name: str, column: str, day: date) -> None:
     """
     spark = df.sparkSession
     others = [c for c in spark.table(name).columns if c != column]
+    if is_versioned(spark, name):
+        publish(df.select(*others, F.lit(day).alias(column)), name, [day])
+        return
     spark.sql(
         f"INSERT OVERWRITE {name} PARTITION ({column} = DATE'{day.isoformat()}') SELECT * FROM {{rows}}",
         rows=df.select(*others),
@@ -177,9 +198,13 @@ def replace_partitions(rows: DataFrame, name: str, column: str, touched: list) -
     staging table; only then are the partitions swapped, and those without rows
     dropped. Readers can see the swap between partitions, since plain parquet
     tables have no transactions. If the swap fails, the staging table stays and the
-    error names it: ``finish_swap`` completes the swap from there.
+    error names it: ``finish_swap`` completes the swap from there. A versioned table
+    (``sinks.versions``) is published instead: readers see all old or all new rows.
     """
     spark = rows.sparkSession
+    if is_versioned(spark, name):
+        publish(rows, name, touched)
+        return
     stage = new_staging_name(spark)
     try:
         _store(_in_table_order(rows, name), stage, column)
@@ -222,14 +247,28 @@ def _rewrite(spark: SparkSession, name: str, condition: Column, change) -> None:
     """Rewrite the partitions (or the table) that hold rows meeting a condition."""
     hit = F.coalesce(condition, F.lit(False))
     table = spark.table(name)
-    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    parts = _partition_columns(spark, name)
     if len(parts) == 1:
         touched = touched_partitions(table.filter(hit), parts[0])
         if touched:
             replace_partitions(change(in_partitions(table, parts[0], touched), hit), name, parts[0], touched)
         return
-    with staged(change(table, hit)) as stage:
+    stage = new_staging_name(spark)
+    try:
+        _store(change(table, hit), stage, None)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {stage}")
+        raise
+    try:
         truncate_and_insert(spark.table(stage), name)
+    except Exception as error:  # the table may have lost its rows by now: the stage holds them all
+        raise SwapFailed(f"{name}: complete it with truncate_and_insert(spark.table({stage!r}), {name!r}) and drop {stage}") from error
+    spark.sql(f"DROP TABLE IF EXISTS {stage}")
+
+
+def _partition_columns(spark: SparkSession, name: str) -> list[str]:
+    held = current_version(spark, name) if is_versioned(spark, name) else name
+    return [c.name for c in spark.catalog.listColumns(held) if c.isPartition]
 
 
 def delete_where(spark: SparkSession, name: str, condition: Column) -> None:
@@ -242,8 +281,7 @@ def update_where(spark: SparkSession, name: str, condition: Column, values: dict
 
     A partition column cannot be set: moving rows is the upsert's work.
     """
-    partitioned = {c.name for c in spark.catalog.listColumns(name) if c.isPartition}
-    if partitioned & set(values):
+    if set(_partition_columns(spark, name)) & set(values):
         raise ValueError("a partition column cannot be updated")
 
     def change(rows: DataFrame, hit: Column) -> DataFrame:
