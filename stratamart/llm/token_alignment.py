@@ -31,7 +31,8 @@ import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import lru_cache, reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -56,7 +57,10 @@ BATCH_BYTES = 1 << 19
 ENCODED = 4096
 #: Pairs are numbered a * B_IDS + b; both vocabularies are smaller than this allows.
 B_IDS = 32_000
+MOST_IDS = 65_536
 
+#: Fixed value: the pattern of byte-level pre-tokens that the vocabulary's own pre-tokenizer uses.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CUT = re.compile(r"(?<=\S)(?= )")
 
 
@@ -88,15 +92,38 @@ NO_IDS = np.zeros(0, np.int64)
 
 @dataclass
 class Groups:
-    """Closed groups: counts, each group's text, and pairs as (group, code, number of occurrence pairs)."""
+    """Closed groups: counts, their text with a ``;`` behind each and where each ends, and pairs as (group, code, number of occurrence pairs)."""
 
     n_a: np.ndarray
     n_b: np.ndarray
-    texts: list[str]
+    text: str
+    ends: np.ndarray
     owner: np.ndarray
     codes: np.ndarray
     times: np.ndarray
 
+    def between(self, i: int, j: int) -> str:
+        """Text of groups i to j - 1, without the last separator."""
+        return self.text[self.ends[i - 1] if i else 0:self.ends[j - 1] - 1] if j > i else ""
+
+
+@lru_cache(1)
+def _written() -> tuple[list[str], np.ndarray]:
+    """Every id in decimal with each separator behind it: id + MOST_IDS * place in ``,|;``."""
+    texts = [f"{i}{separator}" for separator in ",|;" for i in range(MOST_IDS)]
+    return texts, np.array([len(t) for t in texts], np.int64)
+
+
+def _texts(tokens: Tokens, a_group: np.ndarray, b_group: np.ndarray) -> tuple[str, np.ndarray]:
+    written, lengths = _written()
+    group = np.concatenate([a_group, b_group])
+    last_a, last_b = (np.append(g[1:] != g[:-1], True)[:len(g)] for g in (a_group, b_group))
+    entry = np.concatenate([tokens.a + MOST_IDS * last_a, tokens.b + 2 * MOST_IDS * last_b])
+    order = np.argsort(group, kind="stable")  # A comes before B in each group
+    entry, group = entry[order], group[order]
+    ends = np.cumsum(lengths[entry])[np.append(group[1:] != group[:-1], True)[:len(group)]]
+    return "".join(map(written.__getitem__, entry.tolist())), ends
+
 
 def _by_group(groups: np.ndarray, ids: np.ndarray):
     """Distinct (group, id) in order, with counts."""
@@ -109,18 +136,14 @@ def close(tokens: Tokens, cuts: np.ndarray) -> Groups:
     size = len(cuts)
     a_group, b_group = np.searchsorted(cuts, tokens.a_ends), np.searchsorted(cuts, tokens.b_ends)
     n_a, n_b = np.bincount(a_group, minlength=size), np.bincount(b_group, minlength=size)
-    a, b = list(map(str, tokens.a.tolist())), list(map(str, tokens.b.tolist()))
-    texts, i, k = [], 0, 0
-    for j, m in zip(np.cumsum(n_a).tolist(), np.cumsum(n_b).tolist()):
-        texts.append(f"{','.join(a[i:j])}|{','.join(b[k:m])}")
-        i, k = j, m
+    text, ends = _texts(tokens, a_group, b_group)
     group, a_ids, a_times = _by_group(a_group, tokens.a)
     of_b, b_ids, b_times = _by_group(b_group, tokens.b)
     begins = np.searchsorted(of_b, np.arange(size + 1))
     width = (begins[1:] - begins[:-1])[group]
     ends = np.cumsum(width)
     at = np.repeat(begins[group] - ends + width, width) + np.arange(int(ends[-1]) if len(ends) else 0)
-    return Groups(n_a, n_b, texts, np.repeat(group, width), np.repeat(a_ids, width) * B_IDS + b_ids[at], np.repeat(a_times, width) * b_times[at])
+    return Groups(n_a, n_b, text, ends, np.repeat(group, width), np.repeat(a_ids, width) * B_IDS + b_ids[at], np.repeat(a_times, width) * b_times[at])
 
 
 def summed(codes: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -167,9 +190,9 @@ def fragment(tokens: Tokens, ok: bool = True) -> Fragment:
 def _with(out: Fragment, groups: Groups) -> Fragment:
     out.n_a += int(groups.n_a.sum())
     out.n_b += int(groups.n_b.sum())
-    out.n_groups += len(groups.texts)
+    out.n_groups += len(groups.ends)
     out.n_links += int((groups.n_a * groups.n_b).sum())
-    out.texts = out.texts + groups.texts
+    out.texts = out.texts + [groups.text[:-1]]
     out.codes, out.times = summed(np.concatenate([out.codes, groups.codes]), np.concatenate([out.times, groups.times]))
     return out
 
@@ -196,6 +219,46 @@ def compose(x: Fragment, y: Fragment) -> Fragment:
     return out
 
 
+class Spelling:
+    """The bytes of each id."""
+
+    def __init__(self, entries: list[bytes]):
+        self.sizes = np.array([len(x) for x in entries], np.int64)
+        self.begin = np.cumsum(self.sizes) - self.sizes
+        self.data = np.frombuffer(b"".join(entries), np.uint8)
+
+    def give_back(self, ids: np.ndarray, counts: np.ndarray, data: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Which pieces (of ``counts`` ids, and of ``sizes`` bytes in ``data``) their ids spell exactly."""
+        owner = np.repeat(np.arange(len(sizes)), counts)
+        ok = np.bincount(owner, weights=self.sizes[ids], minlength=len(sizes)).astype(np.int64) == sizes
+        ids = ids[ok[owner]]
+        width = self.sizes[ids]
+        ends = np.cumsum(width)
+        at = np.repeat(self.begin[ids] - ends + width, width) + np.arange(int(ends[-1]) if len(ends) else 0)
+        of_byte = np.repeat(np.arange(len(sizes)), sizes)
+        right = ok[of_byte]
+        ok[of_byte[right][self.data[at] != data[right]]] = False
+        return ok
+
+
+def _a_encoder(a_json: str, ranks: dict[bytes, int]):
+    """Encoder of one piece by the byte-level vocabulary: ids are ranks of merges where its merges are in the order of their ids."""
+    model = json.loads(a_json)
+    byte = byte_characters()
+    merged = [m if isinstance(m, str) else " ".join(m) for m in model["model"]["merges"]]
+    numbers = [ranks.get(bytes(byte[c] for c in m if c != " "), -1) for m in merged]
+    if numbers == sorted(numbers) and len(set(numbers)) == len(numbers) and numbers[:1] > [255] and model["pre_tokenizer"]["use_regex"]:
+        import tiktoken
+
+        return tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    from tokenizers import Tokenizer
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    own = Tokenizer.from_str(a_json)
+    own.encode_special_tokens = True
+    return lambda piece: own.encode(piece, add_special_tokens=False).ids
+
+
 class _Numbers(dict):
     def __missing__(self, key):
         number = self[key] = len(self)
@@ -207,27 +270,24 @@ class Aligner:
 
     def __init__(self, a_json: str, b_model: bytes):
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.a = Tokenizer.from_str(a_json)
-        self.a.encode_special_tokens = True
-        self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
         byte = byte_characters()
-        entries = self.a.get_vocab()
-        self.a_bytes = [b""] * (max(entries.values()) + 1)
+        entries = {bytes(map(byte.__getitem__, entry)): number for entry, number in json.loads(a_json)["model"]["vocab"].items() if all(c in byte for c in entry)}
+        a_bytes = [b""] * (max(entries.values()) + 1)
         for entry, number in entries.items():
-            if all(c in byte for c in entry):
-                self.a_bytes[number] = bytes(map(byte.__getitem__, entry))
-        self.b_bytes = []
+            a_bytes[number] = entry
+        self.a = _a_encoder(a_json, entries)
+        self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
+        b_bytes = []
         for number in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(number)
             if re.search("[^▁]▁", piece):
                 raise ValueError(f"piece {piece!r} goes on behind a space")
-            self.b_bytes.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(number) else piece.replace("▁", " ").encode())
-        if len(self.b_bytes) > B_IDS or len(self.a_bytes) * B_IDS >= 1 << 31:
+            b_bytes.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(number) else piece.replace("▁", " ").encode())
+        if len(b_bytes) > B_IDS or len(a_bytes) * B_IDS >= 1 << 31:
             raise ValueError("vocabularies too large for 31-bit pairs")
-        self.a_sizes, self.b_sizes = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
+        self.a_bytes, self.b_bytes = Spelling(a_bytes), Spelling(b_bytes)
+        self.a_sizes, self.b_sizes = self.a_bytes.sizes, self.b_bytes.sizes
         self.space = [self.b.piece_to_id("▁")]
         self._forget()
 
@@ -238,30 +298,31 @@ class Aligner:
         self.begin, self.codes, self.times = np.zeros(1, np.int64), NO_IDS, NO_IDS
 
     def encode(self, pieces: list[str]):
-        """Ids of each piece (each begins with a space) by A and B, and whether both give its bytes back."""
-        a, b = [], []
+        """Ids of the pieces (each begins with a space) by A and B end to end, numbers of ids, whether both give a piece's bytes back, and its size."""
+        a, b = list(map(self.a, pieces)), []
         for at in range(0, len(pieces), ENCODED):
-            part = pieces[at:at + ENCODED]
-            a += [e.ids for e in self.a.encode_batch_fast(part, add_special_tokens=False)]
-            b += [ids or self.space for ids in self.b.encode([p[1:] for p in part], num_threads=1)]
+            b += [ids or self.space for ids in self.b.encode([p[1:] for p in pieces[at:at + ENCODED]], num_threads=1)]
         raw = [p.encode() for p in pieces]
-        a_of, b_of = self.a_bytes.__getitem__, self.b_bytes.__getitem__
-        ok = np.array([b"".join(map(a_of, i)) == r == b"".join(map(b_of, j)) for i, j, r in zip(a, b, raw)], bool)
-        return a, b, ok, np.array([len(r) for r in raw], np.int64)
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        sides = []
+        for ids in (a, b):
+            counts = np.fromiter(map(len, ids), np.int64, len(ids))
+            sides.append((np.fromiter(chain.from_iterable(ids), np.int64, int(counts.sum())), counts))
+        ok = self.a_bytes.give_back(*sides[0], data, sizes) & self.b_bytes.give_back(*sides[1], data, sizes)
+        return *sides, ok, sizes
 
     def tokens(self, text: str) -> tuple[Tokens, bool]:
         """All tokens of a text that begins with a space."""
-        a, b, ok, _ = self.encode(CUT.split(text))
-        a, b = (np.fromiter((i for x in s for i in x), np.int64) for s in (a, b))
+        (a, _), (b, _), ok, _ = self.encode(CUT.split(text))
         return Tokens(a, np.cumsum(self.a_sizes[a]), b, np.cumsum(self.b_sizes[b])), bool(ok.all())
 
     def _learn(self) -> None:
         fresh = list(self.numbers)[len(self.ok):]
         if not fresh:
             return
-        a, b, ok, sizes = self.encode(fresh)
-        good = np.flatnonzero(ok).tolist()
-        a, b = (np.fromiter((i for n in good for i in s[n]), np.int64) for s in (a, b))
+        (a, n_a), (b, n_b), ok, sizes = self.encode(fresh)
+        a, b, good = a[np.repeat(ok, n_a)], b[np.repeat(ok, n_b)], np.flatnonzero(ok)
         # The good pieces end to end are one text whose pieces all end at common ends.
         tokens = Tokens(a, np.cumsum(self.a_sizes[a]), b, np.cumsum(self.b_sizes[b]))
         cuts = tokens.cuts()
@@ -272,8 +333,9 @@ class Aligner:
         for i, values in enumerate((groups.n_a, groups.n_b, np.ones(len(cuts), np.int64), groups.n_a * groups.n_b)):
             total = np.concatenate([[0], np.cumsum(values)])
             counts[i, good] = total[ends] - total[starts]
-        for n, i, j in zip(good, starts.tolist(), ends.tolist()):
-            texts[n] = ";".join(groups.texts[i:j])
+        group_ends = np.concatenate([[0], groups.ends])
+        for n, i, j in zip(good.tolist(), group_ends[starts].tolist(), group_ends[ends].tolist()):
+            texts[n] = groups.text[i:j - 1]
         pairs = np.zeros(len(fresh), np.int64)
         pairs[good] = np.searchsorted(groups.owner, ends) - np.searchsorted(groups.owner, starts)
         self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(pairs)])
