@@ -136,14 +136,14 @@ def close(tokens: Tokens, cuts: np.ndarray) -> Groups:
     size = len(cuts)
     a_group, b_group = np.searchsorted(cuts, tokens.a_ends), np.searchsorted(cuts, tokens.b_ends)
     n_a, n_b = np.bincount(a_group, minlength=size), np.bincount(b_group, minlength=size)
-    text, ends = _texts(tokens, a_group, b_group)
+    text, text_ends = _texts(tokens, a_group, b_group)
     group, a_ids, a_times = _by_group(a_group, tokens.a)
     of_b, b_ids, b_times = _by_group(b_group, tokens.b)
     begins = np.searchsorted(of_b, np.arange(size + 1))
     width = (begins[1:] - begins[:-1])[group]
     ends = np.cumsum(width)
     at = np.repeat(begins[group] - ends + width, width) + np.arange(int(ends[-1]) if len(ends) else 0)
-    return Groups(n_a, n_b, text, ends, np.repeat(group, width), np.repeat(a_ids, width) * B_IDS + b_ids[at], np.repeat(a_times, width) * b_times[at])
+    return Groups(n_a, n_b, text, text_ends, np.repeat(group, width), np.repeat(a_ids, width) * B_IDS + b_ids[at], np.repeat(a_times, width) * b_times[at])
 
 
 def summed(codes: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
