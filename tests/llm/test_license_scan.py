@@ -16,11 +16,11 @@ def brute(text, templates):
     every = sorted(i for at in places.values() for i in at)
     base = {label for label, at in places.items() if at}
     found = {}
-    for line in re.split(r"[\r\n]+", text or ""):
-        held = set(words(line))
-        for t in templates:
-            share = len(held & set(t.words)) / len(t.words)
-            if len(held & set(t.words)) >= t.needed:
+    for t in templates:
+        for i in range(len(own)):
+            block = own[i:i + t.width]
+            share = len(set(block) & set(t.words)) / len(t.words)
+            if len(set(block) & set(t.words)) >= t.needed and all(f" {m} " in f" {' '.join(block)} " for m in t.must):
                 found[t.label] = max(share, found.get(t.label, 0))
     score = 1.0 if base else max(found.values(), default=0.0)
     return (len(own), len(every), every[0] if every else None, every[-1] if every else None,
@@ -62,10 +62,8 @@ def test_every_order_finds_the_same(spark, seed):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts())], "doc_id long, text string")
     vocabulary = sorted({w for t in S.TEMPLATES for w in t.words})
     index = S.TemplateIndex.build(S.TEMPLATES, {w: dice.randint(0, 9) for w in vocabulary})
-    got = {(r.doc_id, r.block, r.template) for r in S.matching_blocks(docs, index, [docs.doc_id]).collect()}
-    want = {(i, b, t.label) for i, text in enumerate(texts()) for b, line in enumerate(re.split(r"[\r\n]+", text or ""))
-            for t in S.TEMPLATES if len(set(words(line)) & set(t.words)) >= t.needed}
-    assert got == want
+    got = {r.doc_id: tuple(r)[1:] for r in S.scan(docs, ["doc_id"], index=index).collect()}
+    assert got == {i: brute(text, S.TEMPLATES) for i, text in enumerate(texts())}
 
 
 def test_no_python_and_empty(spark):
@@ -94,6 +92,9 @@ ISC = """ * Permission to use, copy, modify, and/or distribute this software for
     (BSD, ["bsd"]), (MIT, ["mit-grant"]), (ISC, ["isc-grant"]), ("x y\n" * 50 + BSD + "\r\n\r\n" + MIT, ["bsd", "mit-grant"]),
     ("This work is licensed under the GNU General Public License, version 3.", ["gpl-3.0"]),
     ("licensed under the GNU General\nPublic License, version 2", ["gpl-2.0"]),
+    ("This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n"
+     "# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version.", ["gpl-3.0"]),
+    ("This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0.", ["mpl-2.0"]),
     ("licensed under the GNU Lesser General Public License, version 3", ["lgpl"]),
     ("licensed under the GNU Affero General Public License, version 3", ["agpl-3.0"]),
     ("Licensed under CC BY-NC 4.0.", ["cc-by-nc-4.0"]), ("Licensed under CC BY-SA 4.0", ["cc-by-sa-4.0"]), ("Licensed under CC BY 4.0", ["cc-by-4.0"]),
