@@ -3,7 +3,15 @@
 Each stage is (name, function); a function takes (spark, docs, sf_dir) and returns a
 DataFrame. Every stage's result is written as Parquet and read again as the next stage's
 documents. All but the last return the columns of ``documents``; the last returns
-where each document is packed.
+where each document is packed. ``run`` deletes what a stage wrote once the next one is stored.
+
+Every stage, by case. Null, empty and wordless texts are judged like any text by the first two
+stages and packed with length 0; near duplicates keep one row of them for each doc_id. Very long
+texts are taken whole. Ties: of near duplicates the smallest doc_id stays, then the smallest
+text. Repeated rows are judged alike; near duplicates keep one. Rows with a null doc_id, source
+or lang stay rows (nulls are a site of their own; a null doc_id is no duplicate). Without labels
+nothing is rejected; empty documents give empty results. Extra columns, whatever their names,
+pass through all stages but the last.
 """
 
 from __future__ import annotations
@@ -15,6 +23,7 @@ from stratamart.llm.jaccard_join import keep_one
 from stratamart.llm.packing import pack
 from stratamart.llm.quality import drop_poor
 from stratamart.llm.toxicity import drop_toxic
+from stratamart.session import delete_scratch, scratch_paths
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,6 +54,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
+    others = set(scratch_paths(spark))
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        # The stage's input and everything that it wrote on the way have been read by now.
+        delete_scratch(spark, [p for p in scratch_paths(spark) if p not in others and p != docs.scratch])
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -1,13 +1,14 @@
 """Packing: optimal length buckets and token-budget batches.
 
-The global histogram of document lengths (in words, or a given column) is an aggregate; dynamic programming
+The global histogram of document lengths (in tokens, or a given column) is an aggregate; dynamic programming
 over it chooses at most ``buckets`` upper bounds so that padding every document to the
 bound of its bucket adds the fewest tokens. Inside each bucket documents fill batches of
 ``budget`` padded tokens: bound * rows <= budget, at least one row.
 
-The histogram has a row for each distinct length, so the bounds are the optimal ones. Only
-with more than ``MAX_LENGTHS`` distinct lengths are they rounded up to cells first: exact up
-to ``CELLS_EXACT``, within 1/64 of the length beyond. Row numbers inside a bucket come from counts of hash parts and numbers inside each
+A token is a word, or each ``PIECE`` characters of a longer run without white space, so that the
+budget bounds the batches of unbroken texts too. The histogram has a row for each distinct
+length, so the bounds are the optimal ones; ``rounded`` (off by default) takes cells instead,
+exact up to ``CELLS_EXACT`` and within 1/64 of the length beyond. Row numbers inside a bucket come from counts of hash parts and numbers inside each
 part: no bucket is ever sorted in one task, and only its last batch is not full.
 
 Null and empty texts have length 0 and are packed with the shortest. Ties are broken
@@ -26,14 +27,14 @@ from stratamart.llm.registry import query
 BUCKETS = 16
 BUDGET = 8192
 CELLS_EXACT = 256
-#: Distinct lengths that the dynamic programming takes as they are: bounds the driver's memory.
-MAX_LENGTHS = 2**18
+#: Longest run of characters that is one token.
+PIECE = 16
 #: Documents that one task numbers.
 PART_ROWS = 200_000
 
 
-def word_count(text: Column) -> Column:
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"))
+def token_count(text: Column) -> Column:
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(f"[^\\x20\\x09-\\x0D]{{1,{PIECE}}}"))
 
 
 def cell(length: Column) -> Column:
@@ -88,20 +89,20 @@ def best_bounds(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[i
 
 
 def pack(docs: DataFrame, text: str = "text", key: str = "doc_id", buckets: int = BUCKETS, budget: int = BUDGET,
-         length: str | None = None) -> DataFrame:
+         length: str | None = None, rounded: bool = False) -> DataFrame:
     """(key, n_tokens, bucket, bound, batch, slot) of every document.
 
     ``bucket`` counts from 0, ``bound`` is its padded length, ``batch`` counts from 0 inside
     the bucket and ``slot`` inside the batch. ``n_tokens`` is the column ``length`` (null counts as 0)
-    where given, else the words of the text.
+    where given, else the text's tokens.
     """
-    tokens = word_count(F.col(f"`{text}`").cast("string")) if length is None else F.coalesce(F.col(f"`{length}`"), F.lit(0))
+    tokens = token_count(F.col(f"`{text}`").cast("string")) if length is None else F.coalesce(F.col(f"`{length}`"), F.lit(0))
     rows = docs.select(
         F.col(f"`{key}`").alias("__key"), tokens.cast("long").alias("n_tokens"),
         F.xxhash64(F.col(f"`{key}`"), F.col(f"`{text}`").cast("string")).alias("__h"))
     # Read several times; written once, without the texts.
     rows = stored(rows, "packing-lengths")
-    lengths = F.col("n_tokens") if rows.select("n_tokens").distinct().count() <= MAX_LENGTHS else cell(F.col("n_tokens"))
+    lengths = cell(F.col("n_tokens")) if rounded else F.col("n_tokens")
     histogram = rows.withColumn("cell", lengths).groupBy("cell").agg(F.count("*").alias("n"), F.max("n_tokens").alias("most")).orderBy("cell").toPandas()
     bounds = best_bounds(histogram["most"].to_numpy(np.int64), histogram["n"].to_numpy(np.int64), buckets)
     if not bounds:

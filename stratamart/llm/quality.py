@@ -33,8 +33,6 @@ MAX_ROWS = 8_000
 THRESHOLD = 0.5
 #: Texts whose statistics are computed together.
 TOGETHER = 256
-#: Group evidence moves a document's log odds by at most so much.
-MAX_SHIFT = 4.0
 
 _SPACE, _LOWER, _UPPER, _DIGIT, _POINT, _SIGN = range(6)
 _CLASS = np.full(256, _SIGN, np.uint8)
@@ -199,8 +197,7 @@ def posterior(good: Column, n: Column, total: Column, prior: Column, strength: C
         return F.log(p / (1 - p))
 
     others = (strength * prior + total - good) / (strength + n - 1)
-    shift = F.greatest(F.least(logit(others) - logit(rate), F.lit(MAX_SHIFT)), F.lit(-MAX_SHIFT))
-    return 1 / (1 + F.exp(-(logit(good) + shift)))
+    return 1 / (1 + F.exp(-(logit(good) + logit(others) - logit(rate))))
 
 
 def document_sites(docs: DataFrame) -> tuple[Column, Column]:

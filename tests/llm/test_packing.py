@@ -3,6 +3,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from stratamart.llm import packing as P
 
@@ -42,10 +43,19 @@ def test_batches(spark, monkeypatch):
         assert fill["count"].max() <= size
 
 
+def test_budget_bounds_unbroken_texts_and_many_lengths(spark):
+    """Texts without blanks have their real size, and bounds are exact for any number of lengths."""
+    docs = spark.createDataFrame([(i, "x" * 30_000) for i in range(5)] + [(9, "é" * 33 + " " + "y" * 16)], "doc_id long, text string")
+    out = P.pack(docs, budget=4000).toPandas()
+    assert sorted(out.n_tokens) == [4] + [1875] * 5 and out[out.n_tokens > 4].groupby("batch").size().max() == 2
+    lengths = spark.range(300_000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), (F.col("id") * 3 + 1).alias("n"))
+    bounds = {r.bound for r in P.pack(lengths, length="n", buckets=2).select("bound").distinct().collect()}
+    # Equal counts of evenly spaced lengths: two halves.
+    assert bounds == {3 * 149_999 + 1, 3 * 299_999 + 1}
+
+
 @pytest.mark.parametrize("length", [0, 1, 255, 256, 257, 300, 511, 512, 513, 1000, 65_537, 10_000_000])
 def test_cells(spark, length):
-    from pyspark.sql import functions as F
-
     got = spark.range(1).select(P.cell(F.lit(length).cast("long"))).first()[0]
     assert length <= got <= length + max(0, length // 64)
 
@@ -54,16 +64,15 @@ def test_empty(spark):
     assert P.pack(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
-def test_long_lengths_are_packed_at_the_optimum(spark, monkeypatch):
-    """Lengths that one cell would hold together; beyond MAX_LENGTHS the cells bound the excess."""
+def test_long_lengths_are_packed_at_the_optimum(spark):
+    """Lengths that one cell would hold together; rounded, the cells bound the excess."""
     lengths = [300] * 9 + [301] * 50 + [302] * 2 + [303] * 40 + [1000, 1003, 1010] * 5 + [1015]
     docs = spark.createDataFrame([(i, "w " * n) for i, n in enumerate(lengths)], "doc_id long, text string")
     distinct = sorted(set(lengths))
     padded = lambda bounds: sum(min(b for b in bounds if b >= x) for x in lengths)
     best = min(padded([*some, distinct[-1]]) for r in range(4) for some in combinations(distinct[:-1], r))
     assert sum(r.bound for r in P.pack(docs, buckets=4).collect()) == best
-    monkeypatch.setattr(P, "MAX_LENGTHS", 3)
-    assert best <= sum(r.bound for r in P.pack(docs, buckets=4).collect()) <= best * 65 / 64
+    assert best <= sum(r.bound for r in P.pack(docs, buckets=4, rounded=True).collect()) <= best * 65 / 64
 
 
 def test_given_lengths_bound_the_batches(spark):
