@@ -11,7 +11,7 @@ from stratamart.operators.summaries import rows_per
 from stratamart.plans.audit import SUCCESS, StepLog
 from stratamart.plans.curation import curate_delta
 from stratamart.sinks.tables import create_table
-from stratamart.sinks.upsert import snapshot_type2, upsert_type1
+from stratamart.sinks.upsert import snapshot_type2, upsert_indexed, upsert_ordered, upsert_type1
 from stratamart.sources.budget import MAX_BAD_RECORDS, drop_external, load_external
 from stratamart.sources.catalog import lookup_rule
 from stratamart.sources.schemas import DELTA
@@ -32,6 +32,18 @@ def apply_type1(delta: DataFrame, table: str) -> None:
     upsert_type1(delta, table, "custno", "datadt")
 
 
+def apply_ordered(delta: DataFrame, table: str) -> None:
+    """Type 1 in which a row wins only over an older one: days may come in any order."""
+    create_change_table(delta.sparkSession, table)
+    upsert_ordered(delta, table, "custno", "datadt")
+
+
+def apply_indexed(delta: DataFrame, table: str) -> None:
+    """Type 1 through the table's key index."""
+    create_change_table(delta.sparkSession, table)
+    upsert_indexed(delta, table, "custno", "datadt")
+
+
 def apply_type2(delta: DataFrame, table: str, day) -> None:
     create_change_table(delta.sparkSession, table)
     snapshot_type2(delta, table, day, "datadt")

@@ -237,9 +237,10 @@ def touched_partitions(rows: DataFrame, column: str) -> list:
     return [r[0] for r in rows.select(column).distinct().collect()]
 
 
-def in_partitions(df: DataFrame, column: str, values: list) -> DataFrame:
+def in_partitions(df: DataFrame, column: str, values: list, as_text: bool = False) -> DataFrame:
+    """Rows of some partitions; ``as_text`` compares the values' text (partitions are pruned either way)."""
     present = [v for v in values if v is not None]
-    keep = F.col(column).isin(present)
+    keep = (F.col(column).cast("string") if as_text else F.col(column)).isin(present)
     return df.filter(keep | F.col(column).isNull() if None in values else keep)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 from stratamart.functions.dates import path_date
 from stratamart.plans.audit import FAILURE, StepLog
 from stratamart.plans.curation import curate_delta
-from stratamart.plans.customer_changes import apply_type1, apply_type2, create_change_table
+from stratamart.plans.customer_changes import apply_ordered, apply_type2, create_change_table
 from stratamart.session import child_names
 from stratamart.sinks.upsert import AmbiguousMatch
 from stratamart.sources.budget import MAX_BAD_RECORDS
@@ -46,10 +46,9 @@ def apply_batch(
 
     Rows land under ``landed`` by day and file; a replayed batch replaces its own
     files only. A day's snapshot (type 2) is reloaded from all of its files, so it
-    does not matter in how many batches they came. For the upsert (type 1) the
-    touched day and every later landed day are applied again in date order, so a late
-    file never overwrites newer values; rows that the table already holds as
-    they are take no part.
+    does not matter in how many batches they came. In the upsert (type 1) a row wins only over
+    an older one, so a late file never overwrites newer values and touches its own keys only: no
+    later day is read again. Rows that the table already holds as they are take no part.
 
     The budget of malformed rows holds for a dated delta, however many files it
     has. A day over budget, or a file without a date, is set aside with an audit
@@ -59,35 +58,36 @@ def apply_batch(
     before = set(landed_days(spark, landed))
     # Each split holds rows of one file, so a task writes one folder: no shuffle.
     rows = batch.withColumn("source", F.sha2(F.col("_file").cast("binary"), 256)).drop("_file")
+    # The days are observed on the write (as many as files at most): the files are parsed once.
+    watch = Observation()
+    rows = rows.observe(watch, F.collect_set("datadt").alias("days"), F.count_if(F.col("datadt").isNull()).alias("dateless"))
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("datadt", "source").parquet(landed)
-    touched = [r["datadt"] for r in rows.select("datadt").distinct().collect()]
+    touched = list(watch.get["days"])
     database = (type1_table or type2_table or "default.x").rpartition(".")[0] or "default"
     log = StepLog(spark, audit_table or f"{database}.audit_tbl", JOB)
-    if None in touched:
+    if watch.get["dateless"]:
         log.record(SET_ASIDE, FAILURE, "a delta file carries no date in its name")
-    days = sorted(d for d in touched if d is not None)
-    if not days:
-        return
+    days = sorted(touched)
     good = {}
-    for day in [d for d in landed_days(spark, landed) if d >= days[0]]:
+    for day in days:
         # One pass over a small column; a day is at most one dated delta.
         bad = landed_rows(spark, landed, day).filter(F.col(BAD_RECORD).isNotNull()).count()
         if bad <= max_bad_records:
             good[day] = curate_delta(landed_rows(spark, landed, day).filter(F.col(BAD_RECORD).isNull()), day)
-        elif day in days:
+        else:
             log.record(SET_ASIDE, FAILURE, f"delta of {day}: {bad} malformed rows, {max_bad_records} allowed")
     for day in days:
         if type2_table and day in good:
             apply_type2(good[day], type2_table, day)
     if type1_table:
         for day, delta in good.items():
-            again = day in before or day not in days
+            again = day in before
             try:
                 # All rows of the day count when two of them claim one key.
                 conflicting = delta.groupBy("custno").count().filter("custno is not null and count > 1").take(1) if again else []
                 if conflicting:
                     raise AmbiguousMatch(f"{type1_table}: several source rows match one target row on custno")
-                apply_type1(unapplied(delta, type1_table) if again else delta, type1_table)
+                apply_ordered(unapplied(delta, type1_table) if again else delta, type1_table)
             except AmbiguousMatch as error:  # raised before anything changes
                 log.record(SET_ASIDE, FAILURE, f"delta of {day}: {error}")
 

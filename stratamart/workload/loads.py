@@ -12,12 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratamart.plans import customer_changes as changes
-from stratamart.plans import layers, transfers
+from stratamart.plans import kpi_days, layers, transfers
 from stratamart.plans.audit import counted, reconcile
 from stratamart.plans.curation import curate_delta, unnest_products
+from stratamart.plans.discovery import kpi_by_place
 from stratamart.plans.outbound import export_report
 from stratamart.session import new_database, new_path
-from stratamart.sinks import tables
+from stratamart.sinks import tables, versions
 from stratamart.sinks.files import export_csv, write_csv, write_json
 from stratamart.sources import catalog, files
 from stratamart.sources.budget import load_external
@@ -26,6 +27,7 @@ from stratamart.streaming.deltas import pick_up_deltas
 from stratamart.workload.adapters import CLOCK, DAY1, DAY2
 from stratamart.workload.domain import REPORT, WIDE
 from stratamart.workload.registry import query
+from stratamart.workload.relations import KPI_ROWS
 
 D1, D2 = date.fromisoformat(DAY1), date.fromisoformat(DAY2)
 CHANGED = "SELECT * FROM delta1 WHERE custno NOT IN (SELECT custno FROM delta2) UNION ALL SELECT * FROM delta2"
@@ -228,6 +230,69 @@ def scd1_upsert(t):
     return t.spark.table(name)
 
 
+@query(CHANGED)
+def scd1_published(t):
+    """The upsert into a versioned table: each load appears in one step, old versions are collected."""
+    name = f"{_database(t)}.cust_part_curated_merge"
+    versions.create_versioned(t.spark, name, changes.CHANGE_COLUMNS, "datadt")
+    changes.apply_type1(curate_delta(t.delta_day1(), D1), name)
+    changes.apply_type1(curate_delta(t.delta_day2(), D2), name)
+    versions.collect_versions(t.spark, name)
+    return t.spark.table(name)
+
+
+@query(CHANGED)
+def scd1_indexed(t):
+    """The upsert that finds its partitions through the key index."""
+    name = f"{_database(t)}.cust_part_curated_merge"
+    changes.apply_indexed(curate_delta(t.delta_day1(), D1), name)
+    changes.apply_indexed(curate_delta(t.delta_day2(), D2), name)
+    return t.spark.table(name)
+
+
+@query(CHANGED)
+def scd1_late_day(t):
+    """The first day comes last: its rows win only where no later day has the key."""
+    name = f"{_database(t)}.cust_part_curated_merge"
+    changes.apply_ordered(curate_delta(t.delta_day2(), D2), name)
+    changes.apply_ordered(curate_delta(t.delta_day1(), D1), name)
+    changes.apply_ordered(curate_delta(t.delta_day2(), D2), name)
+    return t.spark.table(name)
+
+
+@query("SELECT custno, profession, datadt FROM delta2")
+def delete_published(t):
+    """Deletes and a reloaded day in a versioned table."""
+    name = f"{_database(t)}.customers"
+    versions.create_versioned(t.spark, name, changes.CHANGE_COLUMNS, "datadt")
+    changes.apply_type2(curate_delta(t.delta_day1(), D1), name, D1)
+    changes.apply_type2(curate_delta(t.delta_day1(), D1).filter("profession IS NULL"), name, D2)
+    tables.delete_where(t.spark, name, F.col("datadt") == F.lit(D1))
+    changes.apply_type2(curate_delta(t.delta_day2(), D2), name, D2)
+    return t.spark.table(name).select("custno", "profession", "datadt")
+
+
+@query(f"""SELECT state, city, category, product, max(amount) AS max_amt, min(amount) AS min_amt, sum(amount) AS sum_amt,
+                  count(*) FILTER (WHERE state IN ('Nevada', 'Texas', 'Oregon')) AS states_cnt,
+                  count(*) FILTER (WHERE amount < 100) AS mid_amt_cnt, count(*) FILTER (WHERE amount >= 100) AS high_amt_cnt,
+                  count(DISTINCT custno) AS customers, TRUE AS within
+           FROM {KPI_ROWS} GROUP BY state, city, category, product""")
+def kpi_by_load_day(t):
+    """Partials of two load days, one of them loaded wrongly at first; the estimate is held against the exact count."""
+    name, (one, two) = f"{_database(t)}.kpi_partials", (D1, D2)
+    day = F.when(F.col("custno") % 2 == 0, F.lit(one)).otherwise(F.lit(two))
+    sources = t.consumer(), t.pos().withColumn("loaddt", day), t.mobile_of(2023)
+    partials = kpi_days.day_partials(*sources)
+    kpi_days.load_days(partials, name, [one])
+    kpi_days.load_days(partials.withColumn("sum_amt", F.lit(-1.0)), name, [two])
+    kpi_days.load_days(partials, name, [two])
+    exact = kpi_by_place(*sources, exact_customers=True).select(*kpi_days.PLACE, F.col("approx_cnt_cust").alias("customers"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in kpi_days.PLACE]
+    joined = kpi_days.merged_kpi(t.spark, name).join(exact.withColumnsRenamed({c: f"_{c}" for c in kpi_days.PLACE}), same)
+    within = F.abs(F.col("approx_cnt_cust") - F.col("customers")) <= 0.05 * F.col("customers") + 1
+    return joined.withColumn("within", within).drop("approx_cnt_cust", *[f"_{c}" for c in kpi_days.PLACE])
+
+
 @query(BOTH_DAYS)
 def scd2_snapshot(t):
     name = f"{_database(t)}.cust_part_curated"
