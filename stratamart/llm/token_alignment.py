@@ -48,7 +48,7 @@ RANGE = 1 << 15
 #: Fragments composed by one node of the tree.
 FAN = 16
 #: A worker forgets its pieces beyond so many (memory only).
-REMEMBERED = 120_000
+REMEMBERED = 100_000
 #: Pairs held by the documents of one block, about.
 BLOCK_PAIRS = 1 << 20
 #: Bytes of text a task aligns at once, about.
@@ -495,13 +495,8 @@ def _slices(batch: pa.RecordBatch, column: int) -> Iterator[tuple[pa.RecordBatch
         begin = end
 
 
-def align(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text: str = "text", digest: bool = False, size: int = RANGE) -> DataFrame:
-    """(k, n_a, n_b, n_groups, n_links, groups, codes, times) of every row.
-
-    ``groups`` is ``a1,a2|b1;a3|b2,b3`` (with ``digest`` its SHA-256 in hex, empty without tokens);
-    ``codes`` and ``times`` are the packed distinct pairs and their links.
-    """
-    models = _models(a_path, b_path)
+def _aligning(models: tuple[str, bytes], digest: bool):
+    """The function that aligns batches of (k, text) of texts of one range."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = None
@@ -514,55 +509,85 @@ def align(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text:
                 record = _record(ALIGNED, rows)
                 yield pa.RecordBatch.from_arrays([part.column(0), *record.columns], ["k", *record.schema.names])
 
+    return run
+
+
+def _split(docs: DataFrame, models: tuple[str, bytes], key: str, text: str, digest: bool, size: int) -> tuple[DataFrame, DataFrame]:
+    """(k, text) of texts of one range, and the aligned longer ones."""
     rows = docs.select(F.col(f"`{key}`").alias("k"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("t"))
     long = F.octet_length("t") >= size
-    schema = f"k {rows.schema['k'].dataType.simpleString()}, {ALIGNED}"
-    short = rows.where(~long).mapInArrow(run, schema)
     far = _long_texts(rows.where(long), models, size)
     if digest:
         far = far.withColumn("groups", F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)))
-    return short.unionByName(far.select(short.columns))
+    return rows.where(~long), far.select(*COLUMNS)
+
+
+def align(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text: str = "text", digest: bool = False, size: int = RANGE) -> DataFrame:
+    """(k, n_a, n_b, n_groups, n_links, groups, codes, times) of every row.
+
+    ``groups`` is ``a1,a2|b1;a3|b2,b3`` (with ``digest`` its SHA-256 in hex, empty without tokens);
+    ``codes`` and ``times`` are the packed distinct pairs and their links.
+    """
+    models = _models(a_path, b_path)
+    short, far = _split(docs, models, key, text, digest, size)
+    schema = f"k {short.schema['k'].dataType.simpleString()}, {ALIGNED}"
+    return short.mapInArrow(_aligning(models, digest), schema).unionByName(far)
+
+
+COLUMNS = ["k", "n_a", "n_b", "n_groups", "n_links", "groups", "codes", "times"]
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Aligned documents block by block, each followed by a row of the block's distinct pairs and their documents."""
+    task, number, held, size = TaskContext.get().partitionId(), 0, [], 0
+
+    def flush():
+        codes = [unpack(c) for part in held for c in part.column(6).to_pylist()]
+        distinct, documents = np.unique(np.concatenate([*codes, NO_IDS]), return_counts=True)
+        block = task << 32 | number
+        at = iter(codes)
+        for part in held:
+            places = [pack(np.diff(np.searchsorted(distinct, next(at)), prepend=0)) for _ in range(part.num_rows)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block] * part.num_rows, pa.int64()), pa.array([False] * part.num_rows), *part.columns[:6],
+                 pa.array(places, pa.binary()), part.column(7)], ["block", "is_block", *COLUMNS])
+        if len(distinct):
+            empty = [pa.nulls(1, held[0].column(i).type) for i in range(6)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block], pa.int64()), pa.array([True]), *empty, pa.array([pack(distinct)], pa.binary()), pa.array([pack(documents)], pa.binary())],
+                ["block", "is_block", *COLUMNS])
+
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            held.append(part)
+            size += sum(map(len, part.column(6).to_pylist())) // 4
+            if size >= BLOCK_PAIRS:
+                yield from flush()
+                number, held, size = number + 1, [], 0
+    if held:
+        yield from flush()
+
+
+def _block_schema(rows: DataFrame) -> str:
+    return f"block long, is_block boolean, k {rows.schema['k'].dataType.simpleString()}, {ALIGNED}"
 
 
 def with_pair_counts(aligned: DataFrame) -> DataFrame:
     """``aligned`` with n_best and count_sum in place of the pairs: how many documents hold each linked pair, corpus-wide."""
-    key_type = aligned.schema["k"].dataType.simpleString()
-    columns = ["k", "n_a", "n_b", "n_groups", "n_links", "groups", "codes", "times"]
-
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Documents block by block, each followed by a row of the block's distinct pairs and their documents."""
-        task, number, held, size = TaskContext.get().partitionId(), 0, [], 0
-
-        def flush():
-            codes = [unpack(c) for part in held for c in part.column(6).to_pylist()]
-            distinct, documents = np.unique(np.concatenate([*codes, NO_IDS]), return_counts=True)
-            block = task << 32 | number
-            at = iter(codes)
-            for part in held:
-                places = [pack(np.diff(np.searchsorted(distinct, next(at)), prepend=0)) for _ in range(part.num_rows)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block] * part.num_rows, pa.int64()), pa.array([False] * part.num_rows), *part.columns[:6],
-                     pa.array(places, pa.binary()), part.column(7)], ["block", "is_block", *columns])
-            if len(distinct):
-                empty = [pa.nulls(1, held[0].column(i).type) for i in range(6)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block], pa.int64()), pa.array([True]), *empty, pa.array([pack(distinct)], pa.binary()), pa.array([pack(documents)], pa.binary())],
-                    ["block", "is_block", *columns])
+    return _counted(stored(aligned.select(*COLUMNS).mapInArrow(_blocks, _block_schema(aligned)), "align-blocks"))
+
+
+def counted_alignment(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text: str = "text", digest: bool = False, size: int = RANGE) -> DataFrame:
+    """``with_pair_counts`` of ``align``; short texts are aligned and blocked by one Python worker."""
+    models = _models(a_path, b_path)
+    short, far = _split(docs, models, key, text, digest, size)
+    aligning, schema = _aligning(models, digest), _block_schema(far)
+    blocks = short.mapInArrow(lambda batches: _blocks(aligning(batches)), schema).unionByName(far.mapInArrow(_blocks, schema))
+    return _counted(stored(blocks, "align-blocks"))
 
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                held.append(part)
-                size += sum(map(len, part.column(6).to_pylist())) // 4
-                if size >= BLOCK_PAIRS:
-                    yield from flush()
-                    number, held, size = number + 1, [], 0
-        if held:
-            yield from flush()
-
-    schema = f"block long, is_block boolean, k {key_type}, {ALIGNED}"
-    written = stored(aligned.select(columns).mapInArrow(blocks, schema), "align-blocks")
 
+def _counted(written: DataFrame) -> DataFrame:
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, codes, documents in zip(*(c.to_pylist() for c in batch.columns)):
@@ -589,9 +614,10 @@ def with_pair_counts(aligned: DataFrame) -> DataFrame:
             at, times = np.cumsum(unpack(places)), unpack(times)
             n_best.append(int((times * best[at]).sum()))
             sums.append(int((times * docs[at]).sum()))
-        kept = documents.select(columns[:6])
+            kept = documents.select(COLUMNS[:6])
         return kept.append_column("n_best", pa.array(n_best, pa.int64())).append_column("count_sum", pa.array(sums, pa.int64()))
 
+    key_type = written.schema["k"].dataType.simpleString()
     out = f"k {key_type}, n_a long, n_b long, n_groups long, n_links long, groups string, n_best long, count_sum long"
     return written.where("not is_block").drop("is_block").groupBy("block").cogroup(back.groupBy("block")).applyInArrow(answer, out)
 
@@ -602,6 +628,6 @@ def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     a, b = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
-    counted = with_pair_counts(align(table(spark, folder, "documents"), a, b, digest=True))
+    counted = counted_alignment(table(spark, folder, "documents"), a, b, digest=True)
     return counted.select(
         F.col("k").cast("long").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))

@@ -86,7 +86,7 @@ def texts():
 
 def run(spark, rows, size):
     docs = spark.createDataFrame([(i, t, "c", 1, 2) for i, t in enumerate(rows)], "doc_id long, text string, codes string, k int, row int").repartition(3)
-    got = T.with_pair_counts(T.align(docs, A, B, digest=True, size=size)).orderBy("k").collect()
+    got = T.counted_alignment(docs, A, B, digest=True, size=size).orderBy("k").collect()
     return [(r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, r.groups) for r in got]
 
 
@@ -134,8 +134,10 @@ def test_blocks_do_not_change_the_counts(spark, monkeypatch):
 
 def test_empty_table_and_groups_text(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
-    assert T.with_pair_counts(T.align(docs, A, B)).count() == 0
+    assert T.with_pair_counts(T.align(docs, A, B)).count() == 0 and T.counted_alignment(docs, A, B).count() == 0
     docs = spark.createDataFrame([(None, "ab cd"), (1, "ab cd"), (1, None)], "doc_id long, text string")
+    sums = T.with_pair_counts(T.align(docs, A, B)).groupBy("n_links", "n_best", "count_sum").count().collect()
+    assert sorted(map(tuple, sums)) == [(0, 0, 0, 1), (2, 2, 4, 2)]
     got = T.align(docs, A, B).select("k", "groups", F.length("codes")).collect()
     text = ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in plain_groups("ab cd"))
     assert sorted((str(r[0]), r[1]) for r in got) == [("1", ""), ("1", text), ("None", text)]
