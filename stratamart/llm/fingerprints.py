@@ -35,8 +35,9 @@ from stratamart.llm.registry import query
 
 KEPT = 96
 FIRST_LEVEL = 2
-#: Rows of a range partition.
+#: Rows and bytes of text of a range partition, about.
 PART_ROWS = 20_000
+PART_BYTES = 1 << 25
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _PLACE = mix64(np.arange(1, 4097, dtype=np.uint64)) | np.uint64(1)
 _RUN = np.uint64(0xD6E8FEB86659FD93)
@@ -185,8 +186,8 @@ def compare_with_next(docs: DataFrame, key: str = "doc_id", text: str = "text")
     the end of the last), so that every document finds its next one in its own task.
     """
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
-    spark, count = docs.sparkSession, docs.count()
-    parts = parts_for(count, PART_ROWS)
+    spark, size = docs.sparkSession, rows.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
+    parts = max(parts_for(size[0], PART_ROWS), parts_for(size[1] or 0, PART_BYTES))
     # Boundaries are keys; equal keys stay together. One number for each PART_ROWS documents.
     cuts = sorted(set(rows.approxQuantile("key", [i / parts for i in range(1, parts)], 0.1 / parts))) if parts > 1 else []
     cuts = [int(c) for c in cuts]
@@ -210,7 +211,9 @@ def compare_with_next(docs: DataFrame, key: str = "doc_id", text: str = "text")
         rows.join(F.broadcast(moves), F.col("key").eqNullSafe(F.col("head"))).groupBy("goes", "key").agg(F.min("text").alias("text"))
         .select("key", "text", F.col("goes").alias("range"), F.lit(1).alias("ghost"))
     )
-    dealt = rows.withColumn("ghost", F.lit(0)).unionByName(ghosts).repartition(max(1, len(firsts)), "range").sortWithinPartitions(
+    # One task for each range: its place among the ranges that hold documents is the task's number.
+    place = F.array_position(F.lit([r["range"] for r in firsts] or [0]), F.col("range")).cast("int") - 1
+    dealt = rows.withColumn("ghost", F.lit(0)).unionByName(ghosts).withColumn("place", place).repartitionById(max(1, len(firsts)), "place").drop("place").sortWithinPartitions(
         "range", "ghost", F.col("key").asc_nulls_first(), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
