@@ -212,24 +212,25 @@ class Network:
 
 def sample_windows(docs: DataFrame, key: str, text: str, lang: str, learn: Column | None):
     """Training windows (one row of symbols each) and their languages; bounded, see the module's text."""
-    rows = docs.select(F.col(key).alias("k"), F.col(lang).cast("string").alias("y")).where(F.col("y").isNotNull() & F.col("k").isNotNull())
-    known = docs.where(F.col(lang).isNotNull() & F.col(key).isNotNull())
-    if learn is not None:
-        rows, known = docs.where(learn).select(F.col(key).alias("k"), F.col(lang).cast("string").alias("y")).where("k is not null and y is not null"), known.where(learn)
-    # The rows of a frequent language are thinned by hash first, so that no task ranks many of them.
+    # Texts are ranked, not keys: rows of one key and text are one text, and other texts of that key are their own.
+    known = (docs if learn is None else docs.where(learn)).select(
+        F.col(f"`{lang}`").cast("string").alias("y"), F.col(f"`{text}`").cast("string").alias("t"), F.col(f"`{key}`").alias("k"))
+    known = known.where("k is not null and y is not null").select("y", "t", F.xxhash64("k", "t").alias("h"))
+    rows = known.select("y", "h").distinct()
+    # The texts of a frequent language are thinned by hash first, so that no task ranks many of them.
     counts = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
     shares = F.create_map(*[F.lit(x) for y, n in counts.items() for x in (y, min(1.0, 4 * DOCS_PER_LANGUAGE / n))]) if counts else F.create_map(F.lit(""), F.lit(0.0))
-    thinned = rows.where(F.pmod(F.xxhash64("k"), F.lit(1 << 20)) < F.try_element_at(shares, F.col("y")) * (1 << 20))
-    rank = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("k"), "k"))
-    # At most DOCS_PER_LANGUAGE keys of each language: a bounded broadcast.
-    keys = thinned.withColumn("n", rank).where(F.col("n") <= DOCS_PER_LANGUAGE).select("k").distinct()
-    chosen = known.select(F.col(key).alias("k"), F.col(lang).cast("string").alias("y"), F.col(text).cast("string").alias("t")).join(F.broadcast(keys), "k")
+    thinned = rows.where(F.pmod(F.xxhash64("h"), F.lit(1 << 20)) < F.try_element_at(shares, F.col("y")) * (1 << 20))
+    rank = F.row_number().over(Window.partitionBy("y").orderBy("h"))
+    # At most DOCS_PER_LANGUAGE texts of each language: the broadcast grows with the languages, not with the documents.
+    keys = thinned.withColumn("n", rank).where(F.col("n") <= DOCS_PER_LANGUAGE).select("y", "h")
+    chosen = known.join(F.broadcast(keys), ["y", "h"]).groupBy("y", "h").agg(F.max("t").alias("t"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, windows = [], []
-            data, offsets = text_buffer(batch.column(2))
-            for y, a, b in zip(batch.column(1).to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist()):
+            data, offsets = text_buffer(batch.column(1))
+            for y, a, b in zip(batch.column(0).to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist()):
                 for w in range(WINDOWS_PER_DOC):
                     # From before the first byte to behind the last one.
                     at = a - TRAIN_LENGTH // 4 + (b - a + TRAIN_LENGTH // 2 - TRAIN_LENGTH) * w // max(1, WINDOWS_PER_DOC - 1)
@@ -240,7 +241,7 @@ def sample_windows(docs: DataFrame, key: str, text: str, lang: str, learn: Colum
                         windows.append(np.where(inside, data[np.clip(place, 0, len(data) - 1)].astype(np.uint16), np.uint16(OUTSIDE)).astype("<u2").tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(windows, pa.binary())], ["y", "w"])
 
-    got = chosen.mapInArrow(cut, "y string, w binary").orderBy("y", "w").toPandas()
+    got = chosen.select("y", "t").mapInArrow(cut, "y string, w binary").orderBy("y", "w").toPandas()
     languages = sorted(got.y.unique())
     if not languages:
         return np.zeros((0, TRAIN_LENGTH), np.int64), np.zeros(0, np.int64), []

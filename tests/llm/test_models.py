@@ -74,6 +74,16 @@ def test_language_held_out(spark):
     assert len(held) > 100 and (held.lang == held.lang_pred).mean() > 0.97
 
 
+def test_repeated_ids_in_the_language_sample(spark):
+    """Many rows of one id: equal texts are one, different ones are ranked like any other text, and no language is lost."""
+    rows = [(7, f"text {i}", "aa") for i in range(3000)] + [(8, "the same", "bb")] * 3000 + [(i, f"other {i}", "cc") for i in range(100, 140)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    windows, target, languages = L.sample_windows(docs, "doc_id", "text", "lang", None)
+    counts = np.bincount(target)
+    assert languages == ["aa", "bb", "cc"] and counts[0] <= L.DOCS_PER_LANGUAGE * L.WINDOWS_PER_DOC
+    assert 0 < counts[1] <= L.WINDOWS_PER_DOC and counts[0] >= L.DOCS_PER_LANGUAGE and counts[2] >= 40
+
+
 def test_language_edges(spark, monkeypatch):
     monkeypatch.setattr(L, "STEPS", 20)
     rows = [(i, t, None, "x") for i, t in enumerate(ODD)] + [(100 + i, "the quick brown fox", "en", "x") for i in range(5)]
@@ -101,6 +111,74 @@ def test_grams_against_plain_strings():
     assert (X.grams("ABC") == X.grams("abc")).all()
 
 
+MASK = 2**64 - 1
+
+
+def plain_mix(x):
+    x &= MASK
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & MASK
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & MASK
+    return x ^ x >> 31
+
+
+def plain_grams(text):
+    """Distinct buckets of a text's 4-, 6- and 8-grams, each hashed on its own."""
+    chars = " " + text.lower() + " " if text else ""
+    out = set()
+    for size in (4, 6, 8):
+        for i in range(len(chars) - size + 1):
+            rolled = sum(ord(c) * (plain_mix(k + 1) | 1) for k, c in enumerate(chars[i:i + size])) & MASK
+            out.add(((rolled ^ rolled >> 29) * (0xBF58476D1CE4E5B9 + 2 * (size - 1)) & MASK) >> 42)
+    return out
+
+
+def plain_toxicity(texts, labels, share):
+    """Score function by dictionaries: log-count ratios, logistic regression by Adam, intercept moved to the true share."""
+    import math
+
+    rows = [plain_grams(t) for t in texts]
+    counts = {}
+    for found, y in zip(rows, labels):
+        for g in found:
+            counts.setdefault(g, [0, 0])[y] += 1
+    counts = {g: n for g, n in counts.items() if sum(n) >= X.MIN_ROWS}
+    sums = [sum(n[y] + 1 for n in counts.values()) for y in (0, 1)]
+    ratio = {g: math.log((n[1] + 1) / sums[1]) - math.log((n[0] + 1) / sums[0]) for g, n in counts.items()}
+    rows = [[g for g in found if g in ratio] for found in rows]
+    norm = math.sqrt(sum(ratio[g] ** 2 for found in rows for g in found) / len(rows))
+    value = {g: r / norm for g, r in ratio.items()}
+    w, m, v, b, mb, vb = dict.fromkeys(ratio, 0.0), dict.fromkeys(ratio, 0.0), dict.fromkeys(ratio, 0.0), 0.0, 0.0, 0.0
+    for step in range(1, 201):
+        errors = [1 / (1 + math.exp(-(b + sum(w[g] * value[g] for g in found)))) - y for found, y in zip(rows, labels)]
+        grad = dict.fromkeys(ratio, 0.0)
+        for found, e in zip(rows, errors):
+            for g in found:
+                grad[g] += e * value[g]
+        one, two = 1 - 0.9**step, 1 - 0.999**step
+        for g in ratio:
+            d = (grad[g] + 0.02 * w[g]) / len(rows)
+            m[g], v[g] = 0.9 * m[g] + 0.1 * d, 0.999 * v[g] + 0.001 * d * d
+            w[g] -= 0.05 * (m[g] / one) / (math.sqrt(v[g] / two) + 1e-8)
+        d = sum(errors) / len(errors)
+        mb, vb = 0.9 * mb + 0.1 * d, 0.999 * vb + 0.001 * d * d
+        b -= 0.05 * (mb / one) / (math.sqrt(vb / two) + 1e-8)
+    mean = sum(labels) / len(labels)
+    b += math.log(share / (1 - share)) - math.log(mean / (1 - mean))
+    return lambda text: 1 / (1 + math.exp(-(b + sum(w[g] * value[g] for g in plain_grams(text) if g in ratio))))
+
+
+def test_toxicity_equals_plain_dictionaries(spark):
+    dice = random.Random(6)
+    words, bad = ["sun", "tree", "Walk", "café", "the", "river"], ["vile", "scum", "rot"]
+    rows = [(i, " ".join(dice.choice(words + bad * (2 * (i % 4 == 0))) for _ in range(dice.randint(3, 12))), int(i % 4 == 0)) for i in range(48)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string").repartition(3)
+    model = X.fit(docs, spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
+    score = plain_toxicity([t for _, t, _ in rows], [y for *_, y in rows], 0.25)
+    fresh = ["", "the vile river", "a walk in the sun", "scum and rot", "CAFÉ tree", "z" * 3000]
+    for text in fresh + [t for _, t, _ in rows]:
+        assert model.score(text) == pytest.approx(score(text), abs=2e-4)
+
+
 def test_toxicity_held_out(spark):
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
     out = X.op4_toxicity(spark, FOLDER)
