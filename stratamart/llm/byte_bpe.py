@@ -8,7 +8,9 @@ taken at once as arrays, entries whose pair has changed meanwhile are stale and
 skipped, and the pairs that a merge makes are filed under their own ranks. A pre-token
 of any length costs one list node per byte, never a rescan.
 
-Nulls and empty texts have no ids; extra columns pass through.
+Nulls and empty texts have no ids; extra columns pass through, a column ``ids`` (``decoded``) of the
+input is replaced. Repeated rows are encoded each. Ties: of equal ranks the leftmost pair merges
+first. An empty table gives no rows.
 """
 
 from __future__ import annotations

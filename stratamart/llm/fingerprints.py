@@ -16,7 +16,10 @@ with at most ``KEPT`` names. Equal texts have equal fingerprints.
 
 Null texts are empty; an empty text has an empty fingerprint, like another empty one and
 unlike all others. The next document is the one with the next key (nulls first, ties by
-text); after the last comes the first, and a single document follows itself.
+text); after the last comes the first, and a single document follows itself. Rows of one key stay
+in one range, whole texts included, however many they are. Very long texts are taken whole. An
+empty table gives no rows. Other columns are not read (``with_fingerprint`` passes them through
+and replaces its own).
 """
 
 from __future__ import annotations

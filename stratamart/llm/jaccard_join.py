@@ -21,7 +21,9 @@ A document's set are its distinct word shingles. Two sets x, y link when
 
 Shingles are 64-bit hashes. Null, empty and wordless texts have empty sets and link with
 nothing; with fewer words than a shingle the whole sequence is the one shingle. Rows with
-null keys are no nodes. Repeated rows are copies.
+null keys are no nodes. Repeated rows are copies. Ties: a component is its smallest node. Very long
+texts are taken whole; chunks are cut by shingles too. An empty table gives no rows. Other columns
+are not read; ``keep_one`` returns all columns unchanged.
 """
 
 from __future__ import annotations

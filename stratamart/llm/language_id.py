@@ -4,14 +4,17 @@ Two GRUs read the UTF-8 bytes from the left and from the right; a softmax over b
 states labels every position, and the mean over a text's positions gives its
 probabilities. The network is trained in numpy by backpropagation through time on
 windows of at most ``DOCS_PER_LANGUAGE`` documents of each language (those with the
-smallest hash of their key, ``WINDOWS_PER_DOC`` windows spread over the whole text).
+smallest hash of key and text, ``WINDOWS_PER_DOC`` windows spread over the whole text).
 
 Texts of any length are labelled whole, in windows of ``CORE`` positions; each
 direction starts ``CONTEXT`` positions outside the window, so that its state is warm.
 The gates use a piecewise linear sigmoid.
 
 Null texts and texts without a letter are ``und`` with score 0. Null languages are not
-learned from. Without any training row every text with a letter is ``und``, too.
+learned from. Without any training row every text with a letter is ``und``, too. Repeated rows of
+a key and text are learned from once and labelled each. Ties: the first language by name. An
+empty table gives no rows. Columns lang_pred, score and lang_spans of the input are replaced,
+other columns pass through.
 """
 
 from __future__ import annotations

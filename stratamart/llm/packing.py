@@ -11,8 +11,9 @@ length, so the bounds are the optimal ones; ``rounded`` (off by default) takes c
 exact up to ``CELLS_EXACT`` and within 1/64 of the length beyond. Row numbers inside a bucket come from counts of hash parts and numbers inside each
 part: no bucket is ever sorted in one task, and only its last batch is not full.
 
-Null and empty texts have length 0 and are packed with the shortest. Ties are broken
-by the hash of the whole row's key and text; repeated rows are packed each.
+Null and empty texts have length 0 and are packed with the shortest; a text longer than the
+budget is a batch of its own. Ties are broken by the hash of the whole row's key and text;
+repeated rows are packed each. An empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations

@@ -11,7 +11,10 @@
 
 Nulls: a null text is an empty one, null hosts and paths are groups of their own. Without
 labels of both classes every p is the share of good labels (1 without any). Repeated rows
-count each. Group sums are combined before the shuffle, so a hot host is one row per task.
+count each. Very long texts are taken whole. An empty table gives no rows. Other columns pass
+through; columns good and quality of the input are replaced by ``classify`` and kept by ``drop_poor``.
+Ties: a document exactly at the threshold stays. Odds are cut only to stay finite: a document's own
+at e**12, probabilities of groups at 1e-6. Group sums are combined before the shuffle, so a hot host is one row per task.
 """
 
 from __future__ import annotations

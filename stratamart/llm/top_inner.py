@@ -19,7 +19,8 @@ hold stops the query, as the cast of its SQL does, and so does a scaled value be
 
 Vectors that are null or hold nulls or non-finite values take no part, nor do null ids;
 rows of the query's own id are not its candidates. Vectors of unequal length count as
-filled up with zeros. Repeated rows are candidates each.
+filled up with zeros. Repeated rows are candidates each. Ties go to the smaller id. Long vectors
+are taken whole. An empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations

@@ -8,7 +8,10 @@ the smallest hash of their key; the class balance of all labelled rows corrects
 intercept. Scoring covers every row and every character.
 
 Nulls and empty texts get the score of a text without features. Rows whose label or key
-is null are not learned from; a key labelled more than once counts by its largest label.
+is null are not learned from; a key labelled more than once counts by its largest label, and of a
+key's texts the largest is learned from. Very long texts are taken whole. An empty table gives no
+rows. A column ``score`` of the input is replaced, other columns pass through; ``drop_toxic`` keeps all.
+Ties: a score exactly at the threshold marks a text.
 With no training row, or only one class, every score is that class's share (0 if none).
 """
 

@@ -7,7 +7,10 @@ url fetch the rules filed under them, and only those run their expression. A rul
 without such a token is filed under the empty token, which every url fetches.
 
 Everything is DataFrame operations. Nulls: a null url equals no rule and gets empty
-host and path. Repeated urls are judged once and joined back, so no url is hot.
+host and path. Repeated urls are judged once and joined back to their rows (Spark's skew join
+splits the rows of a very common url). Ties: of rules of one priority the larger name wins. Long
+urls are matched whole. An empty table gives no rows. Columns host, path, rule, verdict and
+priority of the pages are replaced, all others pass through.
 """
 
 from __future__ import annotations
@@ -61,12 +64,13 @@ BASE_RULES = (
 
 #: Default patterns for unwanted pages: advertising, betting, spam and adult hosts, and their exception.
 PATTERN_RULES = (
-    PatternRule("ads-host", "block", r"(?i)://(?:[^/?#]*[.-])?ads?[.-]", ("ads",), 10),
+    PatternRule("ads-host", "block", r"(?i)://(?:[^/?#]*[.-])?ads[.-]", ("ads",), 10),
     PatternRule("ad-host", "block", r"(?i)://(?:[^/?#]*[.-])?ad[.-]", ("ad",), 10),
     PatternRule("track-host", "block", r"(?i)://(?:[^/?#]*[.-])?track[.-]", ("track",), 10),
     PatternRule("casino", "block", r"(?i)://[^/?#]*\bcasino\b", ("casino",), 10),
     PatternRule("spam", "block", r"(?i)://[^/?#]*\bspam\b", ("spam",), 10),
-    PatternRule("adult", "block", r"(?i)://[^/?#]*\b(?:xxx|porn)\b", (), 10),
+    PatternRule("adult-xxx", "block", r"(?i)://[^/?#]*\bxxx\b", ("xxx",), 10),
+    PatternRule("adult-porn", "block", r"(?i)://[^/?#]*\bporn\b", ("porn",), 10),
     PatternRule("ads-path", "block", r"(?i)://[^/?#]*/(?:[^?#]*/)?ads/", ("ads",), 5),
     PatternRule("robots", "allow", r"(?i)://[^/?#]*/robots\.txt(?:[?#]|$)", ("robots", "txt"), 20),
 )
