@@ -12,12 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratamart.plans import customer_changes as changes
-from stratamart.plans import kpi_days, layers, transfers
+from stratamart.plans import key_maps, kpi_days, layers, transfers
 from stratamart.plans.audit import ContentMismatch, checksummed, counted, reconcile, reconcile_content
 from stratamart.plans.curation import curate_delta, unnest_products
 from stratamart.plans.discovery import kpi_by_place
 from stratamart.plans.outbound import export_report
-from stratamart.session import new_database, new_path
+from stratamart.session import new_database, new_path, pinned
 from stratamart.sinks import tables, versions
 from stratamart.sinks.files import export_csv, write_csv, write_json
 from stratamart.sources import catalog, files
@@ -365,6 +365,22 @@ def reconcile_contents(t):
     return copied.agg(F.lit(count).alias("n_rows"), F.sum("o_orderkey").alias("keys"))
 
 
+@query("""SELECT count(*) AS n_keys, 1 AS least, count(*) AS most, count(*) AS n_numbers, 0 AS moved
+          FROM (SELECT DISTINCT orderId, p.productId AS productid FROM items) k""")
+def dense_keys(t):
+    """Order items numbered in two loads: dense, unique, and the first load's numbers stay."""
+    name = f"{_database(t)}.item_keys"
+    items = unnest_products(t.online_raw()).select("orderId", F.col("product.productId").alias("productid"))
+    key_maps.extend_key_map(items.filter(F.pmod(F.xxhash64("orderId"), F.lit(3)) > 0), name, "orderId", "productid")
+    first = pinned(t.spark.table(name), "first-keys")
+    for _ in range(2):
+        key_maps.extend_key_map(items, name, "orderId", "productid")
+    same = [F.col("a.orderId").eqNullSafe(F.col("b.orderId")), F.col("a.productid").eqNullSafe(F.col("b.productid"))]
+    return t.spark.table(name).alias("b").join(first.alias("a"), same, "left").agg(
+        F.count(F.lit(1)).alias("n_keys"), F.min("b.sk").cast("int").alias("least"), F.max("b.sk").alias("most"),
+        F.count_distinct("b.sk").alias("n_numbers"), F.count_if(F.col("a.sk") != F.col("b.sk")).cast("int").alias("moved"))
+
+
 # -- procedures and stream --------------------------------------------------
 
 
