@@ -18,12 +18,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratamart.llm.common import stored, table
+from stratamart.llm.common import release, stored, table
 from stratamart.llm.jaccard_join import keep_one
 from stratamart.llm.packing import pack
 from stratamart.llm.quality import drop_poor
 from stratamart.llm.toxicity import drop_toxic
-from stratamart.session import delete_scratch, scratch_paths
+from stratamart.session import scratch_paths
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,5 +58,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
         # The stage's input and everything that it wrote on the way have been read by now.
-        delete_scratch(spark, [p for p in scratch_paths(spark) if p not in others and p != docs.scratch])
+        release(spark, [p for p in scratch_paths(spark) if p not in others and p != docs.scratch])
     return STAGES[-1][1](spark, docs, sf_dir)

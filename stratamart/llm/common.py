@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import math
 
 import numpy as np
@@ -37,7 +38,18 @@ def stored_with(df: DataFrame, label: str, **metrics: Column) -> tuple[DataFrame
 
 def drop_stored(df: DataFrame) -> None:
     """Delete the files of a ``stored`` frame that nothing reads any more."""
-    delete_scratch(df.sparkSession, [df.scratch])
+    release(df.sparkSession, [df.scratch])
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete written intermediates, and let go of the shuffles and broadcasts behind them.
+
+    Spark's cleaner drops those once the driver's JVM has collected the plans that refer to them, which it
+    does of itself only when its heap is full: a loop of many small jobs would hold all of them.
+    """
+    delete_scratch(spark, paths)
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def own_names(df: DataFrame, *names: str) -> list[str]:
