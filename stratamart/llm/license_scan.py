@@ -93,7 +93,8 @@ TEMPLATES = (
     Template("cc-by-sa-4.0", "Licensed under CC BY-SA 4.0", ("by sa 4 0",)),
     Template("cc-by-4.0", "Licensed under CC BY 4.0", ("by 4 0",)),
     Template("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted", ("redistribution and use",)),
-    Template("mit-grant", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software", ("free of charge",)),
+    Template("mit-grant", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
+             ("free of charge", "any person obtaining")),
     Template("isc-grant", "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted",
              ("permission to use", "or without fee")),
     Template("mpl-2.0", "subject to the terms of the Mozilla Public License, v. 2.0", ("mozilla public license", "2 0")),
