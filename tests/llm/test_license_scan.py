@@ -17,10 +17,11 @@ def brute(text, templates):
     base = {label for label, at in places.items() if at}
     found = {}
     for t in templates:
-        for i in range(len(own)):
-            block = own[i:i + t.width]
-            share = len(set(block) & set(t.words)) / len(t.words)
-            if len(set(block) & set(t.words)) >= t.needed and all(f" {m} " in f" {' '.join(block)} " for m in t.must):
+        wanted, width, needed = set(t.words), t.width, t.needed
+        for i in range(len(own) if len(wanted & set(own)) >= needed else 0):
+            block = own[i:i + width]
+            share = len(wanted.intersection(block)) / len(wanted)
+            if len(wanted.intersection(block)) >= needed and all(f" {m} " in f" {' '.join(block)} " for m in t.must):
                 found[t.label] = max(share, found.get(t.label, 0))
     score = 1.0 if base else max(found.values(), default=0.0)
     return (len(own), len(every), every[0] if every else None, every[-1] if every else None,
