@@ -4,7 +4,9 @@ Without heavy keys each function is one plain Spark join, and AQE picks
 broadcast, hash or sort-merge by measured size. Heavy keys are salted: one
 side is split (into parts by the key's weight, or into ``salts``), the other
 replicated for those keys only. No row is dropped. With heavy keys an input is read
-more than once: give stored tables, or ``pinned`` frames.
+more than once: give stored tables, or ``pinned`` frames. ``fans_out`` tells that the result
+has many times the rows of its inputs: AQE merges partitions by what is shuffled, which would leave
+such a join little more than one task for each core, so it keeps all shuffle partitions.
 Both inputs must have distinct column names.
 """
 
@@ -16,16 +18,36 @@ from pyspark.sql import functions as F
 from stratamart.operators.skew import NO_HOT_KEYS, HotKeys, flagged, replicated, salted
 
 _FLAGS = ("_lparts", "_rparts")
+#: Most rows that ``sized`` sends to every task.
+BROADCAST_ROWS = 50_000
+
+
+def sized(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Right side of a join, broadcast or sort-merged by its number of rows (at most ``rows``; none: unknown, so merged).
+
+    Spark takes the size of a stored table's files for the size of its rows. Compressed keys fill a small
+    file with so many rows that a broadcast of them costs the driver many times the size that was allowed.
+    """
+    return F.broadcast(df) if rows is not None and rows <= BROADCAST_ROWS else df.hint("merge")
 
 
 def _on(left_key: str, right_key: str):
     return (F.col(left_key) == F.col(right_key)) & (F.col("_salt") == F.col("_rsalt"))
 
 
-def _split_join(split: DataFrame, copies: DataFrame, split_key: str, copies_key: str, parts: str, salts: int | None, how: str) -> DataFrame:
+def _uncoalesced(df: DataFrame, *keys: str) -> DataFrame:
+    """One side of a join, shuffled as the join asks for; by a given number, so that AQE merges the partitions of neither side."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
+def _split_join(
+    split: DataFrame, copies: DataFrame, split_key: str, copies_key: str, parts: str, salts: int | None, how: str, fans_out: bool = False,
+) -> DataFrame:
     """Join of two flagged sides, ``split`` by the salts of its heavy keys."""
     split = salted(split, parts, salts).drop(*_FLAGS)
     copies = replicated(copies, parts, salts, "_rsalt").drop(*_FLAGS)
+    if fans_out:
+        copies = _uncoalesced(copies, copies_key, "_rsalt")
     return split.join(copies, _on(split_key, copies_key), how).drop("_salt", "_rsalt")
 
 
@@ -43,7 +65,7 @@ def inner_join(
 
 def left_join(
     left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-    hot_left: HotKeys = NO_HOT_KEYS, hot_right: HotKeys = NO_HOT_KEYS, salts: int | None = None,
+    hot_left: HotKeys = NO_HOT_KEYS, hot_right: HotKeys = NO_HOT_KEYS, salts: int | None = None, fans_out: bool = False,
 ) -> DataFrame:
     """Left outer join, safe for heavy keys of either side.
 
@@ -55,20 +77,23 @@ def left_join(
     hot_right = hot_right.without_null()
     hot_left = hot_left - hot_right
     if not hot_left and not hot_right:
+        right = _uncoalesced(right, right_key) if fans_out else right
         return left.join(right, F.col(left_key) == F.col(right_key), "left")
     return _left_flagged(
         flagged(left, left_key, _lparts=hot_left, _rparts=hot_right),
         flagged(right, right_key, _lparts=hot_left.without_null(), _rparts=hot_right),
-        left_key, right_key, bool(hot_right), salts)
+        left_key, right_key, bool(hot_right), salts, fans_out)
 
 
-def _left_flagged(left: DataFrame, right: DataFrame, left_key: str, right_key: str, hot_right: bool, salts: int | None) -> DataFrame:
+def _left_flagged(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, hot_right: bool, salts: int | None, fans_out: bool = False,
+) -> DataFrame:
     """Left join of two sides flagged with the parts of keys heavy on the left (only) and on the right."""
     rest = F.col("_rparts").isNull()
-    joined = _split_join(left.filter(rest), right.filter(rest), left_key, right_key, "_lparts", salts, "left")
+    joined = _split_join(left.filter(rest), right.filter(rest), left_key, right_key, "_lparts", salts, "left", fans_out)
     if not hot_right:
         return joined
-    heavy = _split_join(right.filter(~rest), left.filter(~rest), right_key, left_key, "_rparts", salts, "inner")
+    heavy = _split_join(right.filter(~rest), left.filter(~rest), right_key, left_key, "_rparts", salts, "inner", fans_out)
     return joined.unionByName(heavy.select(*joined.columns))
 
 

@@ -7,10 +7,10 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratamart.operators.joins import left_join
+from stratamart.operators.joins import left_join, sized
 from stratamart.session import staged
 from stratamart.sinks.key_index import FILTER_BITS, add_keys, candidate_partitions, index_name, rebuild_key_index
-from stratamart.sinks.tables import in_partitions, reload_partition, replace_partitions, touched_partitions
+from stratamart.sinks.tables import in_partitions, reload_partition, replace_partitions
 
 
 class AmbiguousMatch(ValueError):
@@ -37,11 +37,14 @@ def upsert_type1(
     searched = target
     if candidates is not None:
         searched = in_partitions(target, partition, candidates, as_text=True)
+    # The source's partitions, and its size for the joins, by one pass.
+    days = source.groupBy(partition).agg(F.count(F.lit(1)).alias("n_rows")).collect()
+    size = sum(row["n_rows"] for row in days)
     copies = (
         source.filter(F.col(key).isNotNull())
         .groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_copies"))
     )
-    matched = searched.select(key, partition).join(copies, F.col(key) == F.col("_key"))
+    matched = searched.select(key, partition).join(sized(copies, size), F.col(key) == F.col("_key"))
     # Matched target rows combined to one row per key and partition.
     hits = matched.groupBy("_key", partition).agg(F.max("_copies").alias("_copies"))
     with staged(hits) as stage:
@@ -49,11 +52,11 @@ def upsert_type1(
         losing = found.groupBy(partition).agg(F.max("_copies").alias("_copies")).collect()
         if any(row["_copies"] > 1 for row in losing):
             raise AmbiguousMatch(f"{name}: several source rows match one target row on {key}")
-        touched = list(dict.fromkeys([row[partition] for row in losing] + touched_partitions(source, partition)))
+        touched = list(dict.fromkeys([row[partition] for row in losing + days]))
         if not touched:
             return
-        inserts = source.join(found.select("_key").distinct(), F.col(key) == F.col("_key"), "left_anti")
-        rows = _updated(in_partitions(target, partition, touched), source, key)
+        inserts = source.join(sized(found.select("_key").distinct(), size), F.col(key) == F.col("_key"), "left_anti")
+        rows = _updated(in_partitions(target, partition, touched), source, key, size)
         replace_partitions(rows.unionByName(inserts.select(*target.columns)), name, partition, touched)
 
 
@@ -84,7 +87,7 @@ def newest_only(source: DataFrame, name: str, key: str = "custno", partition: st
     held = source.sparkSession.table(name).filter(F.col(partition) > F.lit(first)).select(F.col(key).alias("_held"), F.col(partition).alias("_later"))
     # A key that is held several times counts by its latest date: combined before the shuffle, so no key is hot.
     held = held.filter(F.col("_held").isNotNull()).groupBy("_held").agg(F.max("_later").alias("_later"))
-    return source.join(held, (F.col(key) == F.col("_held")) & (F.col("_later") > F.col(partition)), "left_anti")
+    return source.join(sized(held), (F.col(key) == F.col("_held")) & (F.col("_later") > F.col(partition)), "left_anti")
 
 
 def upsert_ordered(source: DataFrame, name: str, key: str = "custno", partition: str = "datadt") -> None:
@@ -104,12 +107,12 @@ def live_rows(rows: DataFrame, deleted: str = "deleted") -> DataFrame:
     return rows.filter(~F.coalesce(F.col(deleted), F.lit(False)))
 
 
-def _updated(current: DataFrame, source: DataFrame, key: str) -> DataFrame:
+def _updated(current: DataFrame, source: DataFrame, key: str, size: int) -> DataFrame:
     """Target rows, with the source's values where the key matches."""
     incoming = source.select(
         *[F.col(c).alias(f"_new_{c}") for c in current.columns], F.lit(True).alias("_hit")
     )
-    joined = left_join(current, incoming, key, f"_new_{key}")
+    joined = left_join(current, sized(incoming, size), key, f"_new_{key}")
     return joined.select(*[
         F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in current.columns
     ])

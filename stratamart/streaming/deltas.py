@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from stratamart.functions.dates import path_date
+from stratamart.operators.joins import sized
 from stratamart.plans.audit import FAILURE, StepLog
 from stratamart.plans.curation import curate_delta
 from stratamart.plans.customer_changes import apply_ordered, apply_type2, create_change_table
@@ -101,7 +102,7 @@ def unapplied(delta: DataFrame, table: str) -> DataFrame:
     condition = days[0]
     for part in days[1:]:
         condition = condition & part
-    return delta.join(held.select(*[F.col(c).alias(f"_h_{c}") for c in delta.columns]), condition, "left_anti")
+    return delta.join(sized(held.select(*[F.col(c).alias(f"_h_{c}") for c in delta.columns])), condition, "left_anti")
 
 
 def pick_up_deltas(

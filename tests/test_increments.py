@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratamart.plans import kpi_days
-from stratamart.sinks import key_index, tables
+from stratamart.sinks import key_index, tables, upsert
 from stratamart.sinks.upsert import live_rows, upsert_indexed, upsert_ordered, upsert_type1
 from tests.conftest import rows
 
@@ -131,3 +131,19 @@ def test_kpi_days_merge_and_reload(spark, db):
     kpi_days.load_days(kpi_days.day_partials(consumers, changed, mobile), name, [DAYS[1], DAYS[2]])
     left = joined.filter(F.col("loaddt") == str(DAYS[0])).unionByName(changed.join(mobile, "txnno").join(consumers, "custno").select(*joined.columns))
     assert got() == exact(left)
+
+
+def test_large_upsert_broadcasts_no_keys(spark, table, monkeypatch):
+    """Sequential keys fill a small file with many rows; a small delta is still broadcast."""
+    plans = []
+
+    def keep(rows, *args):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        tables.replace_partitions(rows, *args)
+
+    monkeypatch.setattr(upsert, "replace_partitions", keep)
+    for n in (60_000, 70_000, 10):
+        upsert_ordered(spark.range(n).selectExpr("id AS custno", f"'{n}' AS v", "DATE'2025-03-01' AS datadt"), table)
+    assert ["BroadcastHashJoin" in plan for plan in plans] == [False, False, True]
+    found = spark.table(table).groupBy("v").count()
+    assert rows(found) == [("10", 10), ("70000", 69_990)]
