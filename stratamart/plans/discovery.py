@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -79,22 +79,28 @@ def widen(
 ) -> DataFrame:
     """The 20-column fact: consumers with online items, left-joined to POS and mobile rows.
 
-    A consumer with m online items and n POS rows gives max(1, m) * max(1, n) rows.
+    A consumer with m online items and n POS rows gives max(1, m) * max(1, n) rows, so what needs
+    one side only is computed before the join.
     Mobile-only rows have no consumer and match nobody, so they are not shuffled.
     """
-    trans = (
-        pos_mobile.filter(F.col("custno").isNotNull())
-        .withColumnRenamed("custno", "trans_custno")
-        .withColumnRenamed("trans_type", "channel")
+    trans = pos_mobile.filter(F.col("custno").isNotNull()).select(
+        F.col("custno").alias("trans_custno"), F.coalesce("mob_txnno", "pos_txnno").alias("trans_txnno"), "txndt", "trans_day",
+        F.col("trans_type").alias("channel"), "net", "amount", "geo_coordinate", "provider", "activity", "spendby",
+        "city", "state", "category", "product",
+        F.coalesce("pos_loadts", "mob_loadts").alias("trans_loadts"), F.coalesce("pos_loaddt", "mob_loaddt").alias("trans_loaddt"),
     )
-    wide = left_join(cust_online, trans, "custno", "trans_custno", hot_left=hot_online, hot_right=hot_pos)
+    cust = cust_online.select(
+        "custno", "fullname", "age", "profession", "transsk", "productcategory", "online_trans_type", "online_trans_loaddt",
+        F.col("productprice").cast("double").alias("price"), "consumer_loadts", "consumer_loaddt",
+    )
+    wide = left_join(cust, trans, "custno", "trans_custno", hot_left=hot_online, hot_right=hot_pos, fans_out=True)
     return wide.select(
-        F.coalesce("mob_txnno", "pos_txnno", "transsk").alias("txnno"),
+        F.coalesce("trans_txnno", "transsk").alias("txnno"),
         F.coalesce("txndt", "online_trans_loaddt").alias("txndt"),
         "custno", "fullname", "age", "profession", "trans_day",
         F.coalesce("online_trans_type", "channel").alias("trans_type"),
         default_if_null(F.col("net"), MISSING_TEXT).alias("net"),
-        F.coalesce(F.col("productprice").cast("double"), F.col("amount"), F.lit(0.0)).alias("online_pos_amount"),
+        F.coalesce(F.col("price"), F.col("amount"), F.lit(0.0)).alias("online_pos_amount"),
         "geo_coordinate",
         default_if_null(F.col("provider"), MISSING_TEXT).alias("provider"),
         default_if_null(F.col("activity"), MISSING_TEXT).alias("activity"),
@@ -103,17 +109,20 @@ def widen(
         default_if_null(F.col("state"), MISSING_PLACE).alias("state"),
         F.coalesce("productcategory", "category").alias("online_pos_category"),
         "product",
-        F.coalesce("pos_loadts", "mob_loadts", "consumer_loadts").alias("loadts"),
-        F.coalesce("pos_loaddt", "mob_loaddt", "consumer_loaddt").alias("loaddt"),
+        F.coalesce("trans_loadts", "consumer_loadts").alias("loadts"),
+        F.coalesce("trans_loaddt", "consumer_loaddt").alias("loaddt"),
     )
 
 
 def consumer_wide(
     consumers: DataFrame, online: DataFrame, mobile: DataFrame, pos: DataFrame,
     hot_online: HotKeys | None = None, hot_pos: dict[str, HotKeys] | None = None,
+    before_join: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Wide fact from the four curated tables.
 
+    ``before_join`` changes types of both stitched frames (say, dates to text), once for each of their
+    rows instead of once for each of the many rows that the join makes of them.
     Heavy consumers are looked up in the base tables, never in a join's output. With
     any, the split join reads its inputs several times, so both stitched
     frames are written once before (until ``release_pinned``).
@@ -124,6 +133,8 @@ def consumer_wide(
         hot_pos = find_all_hot_keys(pos, "txnno", "custno")
     cust_online = stitch_consumer_online(consumers, online, hot_online)
     pos_mobile = stitch_pos_mobile(mobile, pos, hot_pos=hot_pos["txnno"])
+    if before_join:
+        cust_online, pos_mobile = before_join(cust_online), before_join(pos_mobile)
     if hot_online or hot_pos["custno"]:
         cust_online, pos_mobile = pinned(cust_online, "consumer-online"), pinned(pos_mobile, "pos-mobile")
     return widen(cust_online, pos_mobile, hot_online, hot_pos["custno"])

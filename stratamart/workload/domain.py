@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from stratamart.plans import curation, discovery, outbound
 from stratamart.operators.skew import above_mean, find_hot_keys
 from stratamart.workload.adapters import CLOCK
-from stratamart.workload.registry import query
+from stratamart.workload.registry import dates_as_text, query
 from stratamart.workload.relations import PEERS, ROWS
 
 STAMPS = "'2023-06-30 08:04:11' AS loadts, '2023-06-30' AS loaddt"
@@ -69,7 +69,7 @@ FROM cust_online c LEFT JOIN pos_mob p ON p.custno = c.custno
 @query(WIDE)
 def consumer_wide(t):
     """Rows without a store or mobile side carry the online surrogate key, left out here."""
-    wide = discovery.consumer_wide(t.consumer(), t.online(), t.mobile(), t.pos())
+    wide = discovery.consumer_wide(t.consumer(), t.online(), t.mobile(), t.pos(), before_join=dates_as_text)
     return wide.select(
         F.when(F.col("trans_day").isNotNull(), F.col("txnno")).alias("txnno"),
         *[c for c in wide.columns if c not in ("txnno", "geo_coordinate")], "geo_coordinate.lon", "geo_coordinate.lat",
@@ -82,7 +82,7 @@ def consumer_wide_split(t):
     online, pos = t.online(), t.pos()
     hot_pos = {k: find_hot_keys(pos, k, min_rows=above_mean(pos, k)) for k in ("txnno", "custno")}
     hot_online = find_hot_keys(online, "customerid", min_rows=above_mean(online, "customerid"))
-    wide = discovery.consumer_wide(t.consumer(), online, t.mobile(), pos, hot_online, hot_pos)
+    wide = discovery.consumer_wide(t.consumer(), online, t.mobile(), pos, hot_online, hot_pos, dates_as_text)
     return wide.select(
         F.when(F.col("trans_day").isNotNull(), F.col("txnno")).alias("txnno"),
         *[c for c in wide.columns if c not in ("txnno", "geo_coordinate")], "geo_coordinate.lon", "geo_coordinate.lat",

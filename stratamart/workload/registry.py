@@ -32,12 +32,21 @@ def query(sql: str | None):
     return register
 
 
+def _is_time(field) -> bool:
+    return isinstance(field.dataType, (DateType, TimestampType, TimestampNTZType))
+
+
+def dates_as_text(df: DataFrame) -> DataFrame:
+    """Dates and times as text, as ``comparable`` writes them."""
+    return df.select(*[F.col(f"`{f.name}`").cast("string").alias(f.name) if _is_time(f) else f"`{f.name}`" for f in df.schema])
+
+
 def comparable(df: DataFrame) -> DataFrame:
     """Dates and times as text, whole decimals as integers: equal on every engine."""
     out = []
     for field in df.schema:
         column = df[f"`{field.name}`"]
-        if isinstance(field.dataType, (DateType, TimestampType, TimestampNTZType)):
+        if _is_time(field):
             column = column.cast("string").alias(field.name)
         elif isinstance(field.dataType, DecimalType):
             # A fraction would be lost without a trace, so it is an error.

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stratamart.operators.joins import full_join, inner_join, left_join, semi_join
 from stratamart.operators.ranking import rank_within
-from stratamart.operators.skew import HotKeys, find_all_hot_keys, find_hot_keys
+from stratamart.operators.skew import NO_HOT_KEYS, HotKeys, find_all_hot_keys, find_hot_keys
 from tests.conftest import rows
 
 LEFT = [(1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "e"), (5, "f"), (9, "g"), (9, "g"), (9, "g")]
@@ -99,3 +99,19 @@ def test_ranking_values(spark):
         (1, 4, 4, 4, 3, 1.0, 10.0, 20.0, None, 20.0),
         (2, 5, 1, 1, 1, 1.0, 7.0, None, None, None),
     ], key=repr)
+
+
+@pytest.mark.parametrize("hot", [NO_HOT_KEYS, HotKeys((3,), (2,))])
+def test_join_that_fans_out_keeps_its_partitions(spark, hot):
+    """Little is shuffled and much comes out, so partitions merged by the bytes shuffled would make one large task."""
+    left = spark.range(400).selectExpr("id % 40 AS k", "id AS a")
+    right = spark.range(400).selectExpr("id % 50 AS j", "id AS b")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        many = left_join(left, right, "k", "j", hot_right=hot, fans_out=True)
+        plain = left_join(left, right, "k", "j")
+        assert many.groupBy(F.spark_partition_id()).count().count() > plain.groupBy(F.spark_partition_id()).count().count()
+        assert rows(many) == rows(plain)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
