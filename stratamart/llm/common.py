@@ -41,17 +41,22 @@ def drop_stored(df: DataFrame) -> None:
     release(df.sparkSession, [df.scratch])
 
 
-def release(spark: SparkSession, paths: list[str]) -> None:
-    """Delete written intermediates, and let go of the shuffles and broadcasts behind them.
+def settle(spark: SparkSession) -> None:
+    """Let go of the plans of finished jobs, and of the shuffles and broadcasts behind them.
 
     Spark's cleaner drops those once the driver's JVM has collected the plans that refer to them, which it
-    does of itself only when its heap is full: a loop of many small jobs would hold all of them.
+    does of itself only when its heap is full: a row of many small jobs would hold all of them.
     """
-    delete_scratch(spark, paths)
     gc.collect()
     spark._jvm.System.gc()
 
 
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete written intermediates that nothing reads any more, and ``settle``."""
+    delete_scratch(spark, paths)
+    settle(spark)
+
+
 def own_names(df: DataFrame, *names: str) -> list[str]:
     """Column names that ``df`` does not have yet, made of the given ones."""
     mark, taken = "__", {c.lower() for c in df.columns}

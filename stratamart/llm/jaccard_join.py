@@ -33,10 +33,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stratamart.llm.common import distinct, drop_stored, mix64, own_names, parts_for, stored, table, text_buffer, word_hashes, word_spans
+from stratamart.llm.common import distinct, drop_stored, mix64, own_names, parts_for, release, settle, stored, table, text_buffer, word_hashes, word_spans
 from stratamart.llm.components import merged
 from stratamart.llm.registry import query
 
@@ -264,25 +264,26 @@ def _leader_pairs(index: DataFrame, percent: int) -> DataFrame:
     are left out, and the first of those left leads the others.
     """
     size_class = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
-    name = F.concat(F.lpad(F.col("s").cast("string"), 12, "0"), F.hex("grp"))
+    # The component stands behind the group, so it never decides the order.
+    name = F.concat(F.lpad(F.col("s").cast("string"), 12, "0"), F.hex("grp"), F.col("comp").cast("string"))
     classed = index.select("grp", "comp", "token", size_class.alias("class"), name.alias("name"))
+    # The first of each component; the first two of those are of different components.
+    firsts = classed.groupBy("token", "class", "comp").agg(F.min("name").alias("name"))
+    firsts = firsts.withColumn("at", F.row_number().over(Window.partitionBy("token", "class").orderBy("name"))).where("at <= 2")
+    two = firsts.groupBy("token", "class").agg(F.min("name").alias("one"), F.max("name").alias("two"))
+    leader = lambda c: F.struct(F.unhex(F.substring(c, 13, 32)).alias("grp"), F.substring(c, 45, 20).cast("long").alias("comp"))
+    leaders = stored(two.select("token", "class", leader("one").alias("one"), leader("two").alias("two")), "jaccard-leaders")
     around = classed.select("grp", "comp", "token", F.explode(F.array(F.col("class"), F.col("class") + 1)).alias("class"))
-
-    def led(members: DataFrame, candidates: DataFrame) -> DataFrame:
-        best = candidates.groupBy("token", "class").agg(F.min("name").alias("name"))
-        best = best.join(candidates, ["token", "class", "name"]).select("token", "class", F.col("grp").alias("other"), F.col("comp").alias("other_comp"))
-        return members.join(best, ["token", "class"]).where("comp <> other_comp")
-
-    first = led(around, classed)
-    # A second leader among those that the first one's component does not hold.
-    outside = classed.join(classed.groupBy("token", "class").agg(F.min("name").alias("name")).join(
-        classed.select("token", "class", "name", F.col("comp").alias("lead")), ["token", "class", "name"]).drop("name"), ["token", "class"]).where("comp <> lead").drop("lead")
-    second = led(first.select("grp", "comp", "token", "class"), outside)
-    return first.select("grp", "other").unionByName(second.select("grp", "other")).distinct()
+    led = around.join(leaders, ["token", "class"]).where(F.col("comp") != F.col("one.comp"))
+    led = led.select("grp", "comp", F.explode(F.array("one", "two")).alias("lead")).where(F.col("comp") != F.col("lead.comp"))
+    pairs = stored(led.select("grp", F.col("lead.grp").alias("other")).distinct(), "jaccard-led")
+    drop_stored(leaders)
+    return pairs
 
 
 def set_components(nodes: DataFrame, ids: DataFrame, percent: int) -> DataFrame | None:
     """(node, component) of every node that has a link. ``nodes`` has the columns of ``prefixed``, ``ids`` the (mark, node) that count."""
+    spark = nodes.sparkSession
     small = nodes.select("mark", "grp", "n").join(ids, "mark")
     heads = small.groupBy("grp").agg(F.min(F.struct(F.hex("mark").alias("head"), "node")).alias("first"), F.max("n").alias("n"))
     heads = stored(heads.select("grp", F.unhex("first.head").alias("head"), "first.node", "n"), "jaccard-groups")
@@ -291,6 +292,7 @@ def set_components(nodes: DataFrame, ids: DataFrame, percent: int) -> DataFrame
     index = nodes.join(heads.select("head", "node"), nodes["mark"] == heads["head"]).select(
         "grp", "node", "n", sent.alias("sent"), F.get("places", F.lit(0)).alias("s"), F.posexplode("tokens").alias("at", "token"), "places")
     index = stored(index.select("grp", "node", "n", "s", "sent", "token", F.get("places", F.col("at")).alias("p")), "jaccard-index")
+    settle(spark)
     named = heads.select("grp", "head")
 
     def as_nodes(links: DataFrame) -> DataFrame:
@@ -298,18 +300,20 @@ def set_components(nodes: DataFrame, ids: DataFrame, percent: int) -> DataFrame
         return links.join(left, "a").join(right, "b").select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
 
     # Linear rounds: members with the first of their group, then groups with leaders.
-    links = as_nodes(verified(
-        small.join(heads.select("grp", "head"), "grp").where(F.col("mark") != F.col("head")).select(F.col("mark").alias("a"), F.col("head").alias("b")), nodes, percent))
-    comps = None
+    # Each step is written before the next one, so that no plan holds several of them.
+    inside = small.join(named, "grp").where(F.col("mark") != F.col("head")).select(F.col("mark").alias("a"), F.col("head").alias("b"))
+    links, comps = stored(as_nodes(verified(inside, nodes, percent)), "jaccard-links"), None
     for _ in range(LEADER_ROUNDS):
         placed = index.select("grp", "n", "s", "token", "node")
         placed = placed.withColumn("comp", F.col("node")) if comps is None else placed.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node"))
-        outer = _leader_pairs(placed, percent)
-        outer = outer.join(named, "grp").withColumnRenamed("head", "a").join(named.select(F.col("grp").alias("other"), F.col("head").alias("b")), "other")
+        led = _leader_pairs(placed, percent)
+        outer = led.join(named, "grp").withColumnRenamed("head", "a").join(named.select(F.col("grp").alias("other"), F.col("head").alias("b")), "other")
         swap = F.col("a") > F.col("b")
         outer = outer.select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b")).distinct()
-        outer = as_nodes(verified(outer, nodes, percent))
-        comps = merged(comps, outer if links is None else links.unionByName(outer))
+        found = stored(as_nodes(verified(outer, nodes, percent)), "jaccard-links")
+        drop_stored(led)
+        comps = merged(comps, found if links is None else links.unionByName(found))
+        release(spark, [f.scratch for f in (found, links) if f is not None])
         links = None
 
     # The rest: entries of a shingle whose nodes lie in several components.
@@ -320,13 +324,19 @@ def set_components(nodes: DataFrame, ids: DataFrame, percent: int) -> DataFrame
     mixed = parts.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("token")
     parts = stored(parts.join(mixed, "token", "left_semi"), "jaccard-rest")
     side = lambda x: parts.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("grp", "n", "s", "p", "comp", "sent")])
+    settle(spark)
     rest = (
         side("x").join(side("y"), "token").where((F.col("comp_x") < F.col("comp_y")) & _size_fits("n_x", "n_y", percent) & _can_reach("x", "y", percent))
         .select("grp_x", "comp_x", "grp_y", "comp_y").distinct()
     )
+    rest = stored(rest, "jaccard-pairs")
+    release(spark, [index.scratch, parts.scratch])
     member = lambda x, c: placed.select(F.col("grp").alias(f"grp_{x}"), F.col("comp").alias(f"comp_{x}"), F.col("mark").alias(c))
     pairs = rest.join(member("x", "a"), ["grp_x", "comp_x"]).join(member("y", "b"), ["grp_y", "comp_y"]).select("a", "b")
-    return merged(comps, as_nodes(verified(pairs, nodes, percent)))
+    found = stored(as_nodes(verified(pairs, nodes, percent)), "jaccard-links")
+    comps = merged(comps, found)
+    release(spark, [f.scratch for f in (found, rest, placed, heads)])
+    return comps
 
 
 def _sets(docs: DataFrame, key: str, text: str, words: int, percent: int) -> tuple[DataFrame, DataFrame]:

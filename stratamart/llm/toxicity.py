@@ -37,6 +37,8 @@ BUCKET_BITS = 22
 MIN_ROWS = 3
 #: At most so many n-grams keep a weight (a property of the model, not of the texts).
 MAX_WEIGHTS = 40_000
+#: Rows whose margins are summed together while fitting.
+TOGETHER = 512
 #: A score from here on marks a text.
 THRESHOLD = 0.3
 
@@ -62,6 +64,16 @@ class Model:
     weights: np.ndarray
     intercept: float
 
+    def __getstate__(self):
+        """Only the weights that are not 0 travel."""
+        kept = np.flatnonzero(self.weights)
+        return len(self.weights), kept, self.weights[kept], self.intercept
+
+    def __setstate__(self, state) -> None:
+        size, kept, values, self.intercept = state
+        self.weights = np.zeros(size, values.dtype)
+        self.weights[kept] = values
+
     def score(self, text: str | None) -> float:
         """A text's features are distinct n-grams; most have no weight and drop out before they are made distinct."""
         found = grams(text)
@@ -100,10 +112,11 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     strong = counted.withColumn("ratio", ratio).orderBy(strength.desc(), "b").limit(MAX_WEIGHTS).select("b", "ratio").toPandas().sort_values("b")
     drop_stored(counted)
     kept, scale = strong.b.to_numpy(np.int64), strong.ratio.to_numpy(float)
-    number = np.full(1 << BUCKET_BITS, -1, np.int32)
-    number[kept] = np.arange(len(kept))
+    del strong
 
     def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = np.full(1 << BUCKET_BITS, -1, np.int32)
+        number[kept] = np.arange(len(kept))
         for batch in batches:
             ids = [np.unique((n := number[grams(t)])[n >= 0]).astype("<u4").tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(ids, pa.binary())], ["k", "y", "ids"])
@@ -114,7 +127,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     y = data.y.to_numpy(float)
     if data.y.nunique() < 2:
         return Model(np.zeros(1 << BUCKET_BITS, np.float32), float(np.log(share / (1 - share))))
-    weights, intercept = logistic([np.frombuffer(x, "<u4") for x in data.ids], y, scale)
+    ids = [np.frombuffer(x, "<u4") for x in data.ids]
+    del data
+    weights, intercept = logistic(ids, y, scale)
     sampled = y.mean()
     intercept += np.log(share / (1 - share)) - np.log(sampled / (1 - sampled))
     full = np.zeros(1 << BUCKET_BITS, np.float32)
@@ -131,16 +146,26 @@ def logistic(rows: list[np.ndarray], y: np.ndarray, scale: np.ndarray, steps: in
     """Weights of a logistic regression on ``scale``-d indicator features (Adam, full batch, balanced classes)."""
     sizes = np.array([len(r) for r in rows])
     flat = np.concatenate([*rows, np.zeros(0, np.uint32)]).astype(np.int64)
-    owner = np.repeat(np.arange(len(rows)), sizes)
+    begin = np.concatenate([[0], np.cumsum(sizes)])
+
+    def margins(weights: np.ndarray) -> np.ndarray:
+        """Sum of the weights of each row, some rows at a time: no array beside ``flat`` is as long for good."""
+        parts = [np.zeros(0)]
+        for i in range(0, len(rows), TOGETHER):
+            n = sizes[i:i + TOGETHER]
+            ids = flat[begin[i]:begin[i + len(n)]]
+            parts.append(np.bincount(np.repeat(np.arange(len(n)), n), weights=weights[ids], minlength=len(n)))
+        return np.concatenate(parts)
+
     # Each row is scaled to unit length in the mean, so that the step size suits any text length.
     norm = np.sqrt(max(1e-9, (scale[flat] ** 2).sum() / max(1, len(rows))))
     value = scale / norm
     w, b = np.zeros(len(scale)), 0.0
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for step in range(1, steps + 1):
-        z = b + np.bincount(owner, weights=(w * value)[flat], minlength=len(rows))
+        z = b + margins(w * value)
         error = 1 / (1 + np.exp(-np.clip(z, -35, 35))) - y
-        grad = np.bincount(flat, weights=error[owner], minlength=len(scale)) * value / len(rows) + ridge * w / len(rows)
+        grad = np.bincount(flat, weights=np.repeat(error, sizes), minlength=len(scale)) * value / len(rows) + ridge * w / len(rows)
         grad_b = error.mean()
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         mb, vb = 0.9 * mb + 0.1 * grad_b, 0.999 * vb + 0.001 * grad_b**2

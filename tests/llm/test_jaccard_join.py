@@ -6,6 +6,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from stratamart.llm import common
+from stratamart.llm import components as components_module
 from stratamart.llm import jaccard_join as J
 from stratamart.llm.components import components
 
@@ -122,3 +124,19 @@ def test_components_of_chains_and_stars(spark):
     out = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert out == {**{i: 0 for i in range(41)}, **{i: 100 for i in [*range(100, 130), 200]}}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_no_plan_holds_several_steps(spark, monkeypatch):
+    """The driver plans a step again after each of its stages, so what a plan costs grows with the square of its joins."""
+    joins, written = [], common.stored
+
+    def stored(df, *more):
+        joins.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+        return written(df, *more)
+
+    for module in (common, J, components_module):
+        monkeypatch.setattr(module, "stored", stored)
+    rows = corpus(1)[:60]
+    out = J.similarity_components(spark.createDataFrame([(d, t, "x") for d, t in rows], SCHEMA), words=4, percent=85)
+    assert sorted((tuple(r) for r in out.collect()), key=repr) == brute(rows, 4, 85)
+    assert max(joins) <= 6
