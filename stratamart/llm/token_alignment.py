@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratamart.llm.common import stored, table, text_buffer
+from stratamart.llm.common import drop_stored, stored, table, text_buffer
 from stratamart.llm.registry import query
 
 #: Bytes of one range; longer texts are cut.
@@ -392,6 +392,7 @@ def unpack(data: bytes) -> np.ndarray:
 
 FRAGMENT = ("row long, no int, ok boolean, cut boolean, n_a long, n_b long, n_groups long, n_links long, groups string, "
             "codes binary, times binary, prefix_a binary, prefix_b binary, suffix_a binary, suffix_b binary")
+FRAGMENT_NAMES = [f.split()[0] for f in FRAGMENT.split(", ")]
 
 
 def _fragment_row(x: Fragment) -> tuple:
@@ -431,12 +432,15 @@ def _models(a_path: str, b_path: str) -> tuple[str, bytes]:
 
 
 def _long_texts(docs: DataFrame, models: tuple[str, bytes], size: int) -> DataFrame:
-    """(k, counts, groups, codes, times) of texts longer than one range: ranges in tasks of their own, composed by a tree."""
+    """(k, fragment) of texts longer than one range: ranges in tasks of their own, composed by a tree.
+
+    Each step is a job of its own, so that no task holds the Python workers of several steps.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = byte_ranges(text, size)
+            for row, text in zip(batch.column(0), batch.column(1)):  # one text at a time
+                row, found = row.as_py(), byte_ranges(text.as_py(), size)
                 for at in range(0, len(found), 64):
                     part = found[at:at + 64]
                     yield pa.RecordBatch.from_arrays([
@@ -446,7 +450,7 @@ def _long_texts(docs: DataFrame, models: tuple[str, bytes], size: int) -> DataFr
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = None
         for batch in batches:
-            for r in batch.to_pylist():
+            for r in _each(batch):
                 aligner = aligner or Aligner(*models)
                 yield _record(FRAGMENT, [(r["row"], r["no"], *_fragment_row(aligner.range(r["pieces"], r["low"], r["high"])))])
 
@@ -457,18 +461,15 @@ def _long_texts(docs: DataFrame, models: tuple[str, bytes], size: int) -> DataFr
 
     numbered = stored(docs.withColumn("row", F.monotonically_increasing_id()), "align-long")
     ranges = numbered.select("row", "t").mapInArrow(cut, "row long, no int, pieces string, low long, high long")
-    fragments = stored(ranges.repartition("row", "no").mapInArrow(leaves, FRAGMENT), "align-ranges")
-    most = fragments.agg(F.max("no")).first()[0]
+    leaf = stored(ranges.repartition("row", "no").mapInArrow(leaves, FRAGMENT), "align-ranges")
+    fragments, most = leaf, leaf.agg(F.max("no")).first()[0]
     while most:
         fragments = fragments.groupBy("row", F.floor(F.col("no") / FAN)).applyInArrow(node, FRAGMENT)
         most //= FAN
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                yield _record("row long, " + ALIGNED, [(r["row"], *aligned_row(compose(compose(START, _row_fragment(r)), START)))])
-
-    return numbered.select("row", "k").join(fragments.mapInArrow(finish, "row long, " + ALIGNED), "row").drop("row")
+    if fragments is not leaf:
+        fragments = stored(fragments, "align-whole")
+        drop_stored(leaf)
+    return numbered.select("row", "k").join(fragments, "row")
 
 
 ALIGNED = "n_a long, n_b long, n_groups long, n_links long, groups string, codes binary, times binary"
@@ -485,6 +486,12 @@ def _record(schema: str, rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, _ARROW[t]) for c, t in zip(zip(*rows), types)], list(names))
 
 
+def _each(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows of a batch, one at a time."""
+    for at in range(batch.num_rows):
+        yield from batch.slice(at, 1).to_pylist()
+
+
 def _slices(batch: pa.RecordBatch, column: int) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Parts of a batch of about ``BATCH_BYTES`` of text."""
     begin, ends = 0, text_buffer(batch.column(column))[1]
@@ -504,22 +511,35 @@ def _aligning(models: tuple[str, bytes], digest: bool):
             for part, texts in _slices(batch, 1):
                 aligner = aligner or Aligner(*models)
                 rows = [aligned_row(x) for x in aligner.runs([CUT.split(" " + t) if t else [] for t in texts])]
-                if digest:
-                    rows = [(*r[:4], hashlib.sha256(r[4].encode()).hexdigest() if r[4] else "", *r[5:]) for r in rows]
-                record = _record(ALIGNED, rows)
+                record = _record(ALIGNED, [_digested(r) for r in rows] if digest else rows)
                 yield pa.RecordBatch.from_arrays([part.column(0), *record.columns], ["k", *record.schema.names])
 
     return run
 
 
-def _split(docs: DataFrame, models: tuple[str, bytes], key: str, text: str, digest: bool, size: int) -> tuple[DataFrame, DataFrame]:
-    """(k, text) of texts of one range, and the aligned longer ones."""
+def _digested(row: tuple) -> tuple:
+    """An aligned row with the SHA-256 of its groups."""
+    return (*row[:4], hashlib.sha256(row[4].encode()).hexdigest() if row[4] else "", *row[5:])
+
+
+def _finishing(digest: bool):
+    """The function that makes aligned rows of batches of (k, fragment of a whole text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, r in enumerate(_each(batch.select(FRAGMENT_NAMES))):
+                row = aligned_row(compose(compose(START, _row_fragment(r)), START))
+                record = _record(ALIGNED, [_digested(row) if digest else row])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 1), *record.columns], ["k", *record.schema.names])
+
+    return run
+
+
+def _split(docs: DataFrame, models: tuple[str, bytes], key: str, text: str, size: int) -> tuple[DataFrame, DataFrame]:
+    """(k, text) of texts of one range, and the (k, fragment) of longer ones."""
     rows = docs.select(F.col(f"`{key}`").alias("k"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("t"))
     long = F.octet_length("t") >= size
-    far = _long_texts(rows.where(long), models, size)
-    if digest:
-        far = far.withColumn("groups", F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)))
-    return rows.where(~long), far.select(*COLUMNS)
+    return rows.where(~long), _long_texts(rows.where(long), models, size).select("k", *FRAGMENT_NAMES)
 
 
 def align(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text: str = "text", digest: bool = False, size: int = RANGE) -> DataFrame:
@@ -529,9 +549,9 @@ def align(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text:
     ``codes`` and ``times`` are the packed distinct pairs and their links.
     """
     models = _models(a_path, b_path)
-    short, far = _split(docs, models, key, text, digest, size)
+    short, far = _split(docs, models, key, text, size)
     schema = f"k {short.schema['k'].dataType.simpleString()}, {ALIGNED}"
-    return short.mapInArrow(_aligning(models, digest), schema).unionByName(far)
+    return short.mapInArrow(_aligning(models, digest), schema).unionByName(far.mapInArrow(_finishing(digest), schema))
 
 
 COLUMNS = ["k", "n_a", "n_b", "n_groups", "n_links", "groups", "codes", "times"]
@@ -579,11 +599,12 @@ def with_pair_counts(aligned: DataFrame) -> DataFrame:
 
 
 def counted_alignment(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text: str = "text", digest: bool = False, size: int = RANGE) -> DataFrame:
-    """``with_pair_counts`` of ``align``; short texts are aligned and blocked by one Python worker."""
+    """``with_pair_counts`` of ``align``; aligning and blocking are one Python worker's work."""
     models = _models(a_path, b_path)
-    short, far = _split(docs, models, key, text, digest, size)
-    aligning, schema = _aligning(models, digest), _block_schema(far)
-    blocks = short.mapInArrow(lambda batches: _blocks(aligning(batches)), schema).unionByName(far.mapInArrow(_blocks, schema))
+    short, far = _split(docs, models, key, text, size)
+    aligning, finishing, schema = _aligning(models, digest), _finishing(digest), _block_schema(far)
+    blocks = short.mapInArrow(lambda batches: _blocks(aligning(batches)), schema)
+    blocks = blocks.unionByName(far.mapInArrow(lambda batches: _blocks(finishing(batches)), schema))
     return _counted(stored(blocks, "align-blocks"))
 
 

@@ -141,3 +141,17 @@ def test_empty_table_and_groups_text(spark):
     got = T.align(docs, A, B).select("k", "groups", F.length("codes")).collect()
     text = ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in plain_groups("ab cd"))
     assert sorted((str(r[0]), r[1]) for r in got) == [("1", ""), ("1", text), ("None", text)]
+
+
+def test_a_task_holds_one_python_worker_for_blocks(spark, monkeypatch):
+    """The tree of long texts is written before the blocks are made, whose task has one Python function only."""
+    plans, written = {}, T.stored
+
+    def stored(df, label, *more):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return written(df, label, *more)
+
+    monkeypatch.setattr(T, "stored", stored)
+    rows = texts()[15:30]
+    assert run(spark, rows, 40) == plain(rows)
+    assert plans["align-blocks"].count("InArrow") == 2  # one of short texts, one of long ones
